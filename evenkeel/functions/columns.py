@@ -8,6 +8,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ref(name: str) -> Column:
@@ -49,6 +50,14 @@ def split_names_col(text: Column) -> Column:
     return F.coalesce(F.filter(parts, lambda p: F.length(p) > 0), F.array().cast("array<string>"))
 
 
+def column_type(df: DataFrame, name: str) -> T.DataType:
+    """Declared type of a column, found the way Spark resolves names: ignoring case."""
+    for field in df.schema:
+        if field.name.lower() == name.lower():
+            return field.dataType
+    raise ValueError(f"column {name!r} is absent; there are {df.columns}")
+
+
 def all_set(columns: Iterable[str]) -> Column:
     return reduce(and_, [ref(c).isNotNull() for c in columns])
 
@@ -59,13 +68,8 @@ def any_null(columns: Iterable[str]) -> Column:
 
 def require_same_types(left: DataFrame, right: DataFrame, columns: Iterable[str], operator: str) -> None:
     """Refuse to compare columns whose declared types differ."""
-    left_types = {f.name.lower(): f.dataType for f in left.schema}
-    right_types = {f.name.lower(): f.dataType for f in right.schema}
     for name in columns:
-        for side, types in (("first", left_types), ("second", right_types)):
-            if name.lower() not in types:
-                raise ValueError(f"{operator}: column {name!r} is absent from the {side} input")
-        one, other = left_types[name.lower()], right_types[name.lower()]
+        one, other = column_type(left, name), column_type(right, name)
         if one != other:
             raise ValueError(
                 f"{operator}: column {name!r} has type {one.simpleString()} on one side "

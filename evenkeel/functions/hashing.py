@@ -1,18 +1,21 @@
 """Text hashes of keys and rows.
 
 Rows are compared through a text form of their columns. The published hash columns are md5 of that text; the
-comparisons themselves use two 64-bit numbers per text, because numeric buffers keep Spark on HashAggregate
-and make the shuffled rows narrow.
+comparisons themselves use two 64-bit numbers that agree exactly where the texts do, because numeric buffers keep
+Spark on HashAggregate and make the shuffled rows narrow.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from evenkeel.functions.columns import ref
+from evenkeel.functions.columns import column_type, ref
 
 # The separator and the tokens that stand for null.
 SEPARATOR = "|"
@@ -42,24 +45,73 @@ def key_hash(columns: Iterable[str | Column]) -> Column:
     return F.md5(key_text(columns))
 
 
-def text_digest(text: Column) -> tuple[Column, Column]:
-    """128 bits as two bigints, seeded differently."""
-    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+# Types whose text form is different for every different value and never holds the separator.
+_PLAIN_TYPES = (
+    T.BooleanType,
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.FloatType,
+    T.DoubleType,
+    T.DecimalType,
+    T.DateType,
+    T.TimestampNTZType,
+)
+
+
+def plain_columns(left: DataFrame, right: DataFrame, columns: Iterable[str]) -> set[str]:
+    """Columns that can be compared by value instead of by text: same type on both sides, and a plain one."""
+    return {
+        c
+        for c in columns
+        if isinstance(column_type(left, c), _PLAIN_TYPES) and column_type(left, c) == column_type(right, c)
+    }
+
+
+def _value_parts(df: DataFrame, column: str) -> list[Column]:
+    """What to hash for a plain column. The hash function skips nulls and takes -0.0 for 0.0; their texts differ."""
+    value = ref(column)
+    parts = [value.isNull(), value]
+    if isinstance(column_type(df, column), (T.FloatType, T.DoubleType)):
+        parts.append(F.when(value == 0, value.cast("string")))
+    return parts
+
+
+def _digest(df: DataFrame, columns: list[str], plain: set[str], null_token: str) -> tuple[Column, Column]:
+    """128 bits (two bigints) that agree exactly where the joined texts of the columns agree.
+
+    Joining matters only where a text column holds the separator; other rows are hashed column by column, plain
+    columns by value, which saves most of the casts to text. Rows with and without a separator inside a column
+    have a different number of separators, so they never have equal texts.
+    """
+    texts = {c: F.coalesce(ref(c).cast("string"), F.lit(null_token)) for c in columns if c not in plain}
+    parts = [part for c in columns for part in ([texts[c]] if c in texts else _value_parts(df, c))]
+    holds_separator = [text.contains(SEPARATOR) for text in texts.values()] if len(columns) > 1 else []
+    joined = _joined_text([ref(c) for c in columns], null_token)
+
+    def half(seed: int) -> Column:
+        by_column = F.xxhash64(F.lit(seed), *parts)
+        if not holds_separator:
+            return by_column
+        return F.when(reduce(or_, holds_separator), F.xxhash64(F.lit(seed), joined)).otherwise(by_column)
+
+    return half(1), half(2)
+
 
+def key_digest(df: DataFrame, keys: list[str], plain: set[str]) -> tuple[Column, Column]:
+    return _digest(df, keys, plain, NULL_KEY)
 
-def row_digest(columns: list[str]) -> tuple[Column, Column]:
+
+def row_digest(df: DataFrame, columns: list[str], plain: set[str]) -> tuple[Column, Column]:
     if not columns:
         return F.lit(0).cast("long"), F.lit(0).cast("long")
-    return text_digest(row_text(columns))
+    return _digest(df, columns, plain, NULL_VALUE)
 
 
 def value_digest(columns: list[str]) -> tuple[Column, Column]:
-    """Digest of the typed values: equal exactly where every column is null-safe equal.
-
-    The hash function skips nulls, so a leading text of null flags tells (null, 'a') from ('a', null).
-    """
+    """Digest of the typed values: equal exactly where every column is null-safe equal."""
     if not columns:
         return F.lit(0).cast("long"), F.lit(0).cast("long")
-    flags = F.concat(*[F.when(ref(c).isNull(), "1").otherwise("0") for c in columns])
-    values = [ref(c) for c in columns]
-    return F.xxhash64(flags, *values), F.xxhash64(F.lit(1), flags, *values)
+    parts = [part for c in columns for part in (ref(c).isNull(), ref(c))]
+    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)

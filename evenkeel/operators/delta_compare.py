@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 
 from evenkeel.functions.columns import (
     all_set,
+    column_type,
     key_list,
     non_key_columns,
     ref,
     require_same_types,
     sorted_columns,
 )
-from evenkeel.functions.hashing import row_digest, row_hash
+from evenkeel.functions.hashing import plain_columns, row_digest, row_hash
 from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, fetch, key_bytes, nothing, pin, sum_where
 
 # Change names, key classes and messages.
@@ -29,7 +30,9 @@ NEW_DUPLICATE_TEXT = "NEW (duplicate key)"
 NO_MATCH_TEXT = ("DUPLICATE KEY — no content match (", " view rows, ", " before rows)")
 PARTIAL_MATCH_TEXT = ("DUPLICATE KEY — partial match (", " of ", " view rows matched)")
 
-# Pair counts can exceed a bigint: one key may hold billions of equal rows on both sides.
+# Pair counts can exceed a bigint: one key may hold billions of equal rows on both sides. Contents with at most
+# _SMALL rows per side are summed as bigints, the rare others as decimals.
+_SMALL = 1 << 20
 _WIDE = T.DecimalType(38, 0)
 
 
@@ -56,8 +59,10 @@ def _profile(view: DataFrame, before: DataFrame, keys: list[str], columns: list[
     contents meet in one task; the second step combines those counts map-side before its shuffle.
     """
 
+    plain = plain_columns(view, before, columns)
+
     def narrow(df: DataFrame, in_view: int) -> DataFrame:
-        row1, row2 = row_digest(columns)
+        row1, row2 = row_digest(df, columns, plain)
         return df.select(
             *[ref(k) for k in keys],
             row1.alias("_ek_r1"),
@@ -68,6 +73,7 @@ def _profile(view: DataFrame, before: DataFrame, keys: list[str], columns: list[
 
     key_refs = [ref(k) for k in keys]
     n_v, n_b = F.col("n_v"), F.col("n_b")
+    small = (n_v <= _SMALL) & (n_b <= _SMALL)
     return (
         narrow(view, 1)
         .unionByName(narrow(before, 0))
@@ -77,7 +83,8 @@ def _profile(view: DataFrame, before: DataFrame, keys: list[str], columns: list[
         .agg(
             F.sum(n_v).alias("n_v"),
             F.sum(n_b).alias("n_b"),
-            F.sum(n_v.cast(_WIDE) * n_b.cast(_WIDE)).cast(_WIDE).alias("pairs"),
+            F.coalesce(F.sum(F.when(small, n_v * n_b)), F.lit(0)).alias("small_pairs"),
+            F.sum(F.when(~small, n_v.cast(_WIDE) * n_b.cast(_WIDE))).cast(_WIDE).alias("large_pairs"),
         )
     )
 
@@ -95,12 +102,18 @@ def compare_delta(
     require_same_types(view, before, [*keys, *columns], "delta_compare")
     view, before = view.where(all_set(keys)), before.where(all_set(keys))
 
-    n_v, n_b, pairs = F.col("n_v"), F.col("n_b"), F.col("pairs")
+    n_v, n_b = F.col("n_v"), F.col("n_b")
+    small_pairs, large_pairs = F.col("small_pairs"), F.col("large_pairs")
+    all_pairs = large_pairs + small_pairs.cast(_WIDE)
+
+    def pairs_are(number: Column) -> Column:
+        return F.when(large_pairs.isNull(), small_pairs == number).otherwise(all_pairs == number)
+
     single = (n_v == 1) & (n_b == 1)
     repeated = (n_v > 1) | (n_b > 1)
     is_new = (n_v > 0) & (n_b == 0)
     if columns:
-        unequal = F.when(single, pairs == 0).otherwise((pairs != n_v) | (pairs != n_b))
+        unequal = F.when(single, small_pairs == 0).otherwise(~(pairs_are(n_v) & pairs_are(n_b)))
     else:
         unequal = repeated
     is_updated = (n_v > 0) & (n_b > 0) & unequal
@@ -122,12 +135,14 @@ def compare_delta(
     )
     stats["total_changes"] = stats["new"] + stats["updated"]
 
+    counts = ["n_v", "n_b", "small_pairs", "large_pairs"]
+
     def side(df: DataFrame, name: str, weight: str) -> DataFrame:
         """Rows of the changed keys, tagged with their side, in the form the representative is chosen from."""
         rows = df.select(*[ref(k) for k in keys], *[ref(c) for c in columns])
         found = fetch(
             rows,
-            picked.where(F.col(weight) > 0).select(*[ref(k) for k in keys], "n_v", "n_b", "pairs"),
+            picked.where(F.col(weight) > 0).select(*[ref(k) for k in keys], *counts),
             keys,
             weight,
             stats["picked_bytes"],
@@ -136,13 +151,11 @@ def compare_delta(
             limits,
         )
         payload = F.struct(F.lit(1).alias("present"), *[ref(c).alias(f"c{i}") for i, c in enumerate(columns)])
-        ordered = [ref(c).alias(f"o{i}") for i, c in enumerate(columns) if _orderable(df.schema[c].dataType)]
+        ordered = [ref(c).alias(f"o{i}") for i, c in enumerate(columns) if _orderable(column_type(df, c))]
         rank = F.struct(row_hash(columns).alias("row_hash"), *ordered)
         return found.select(
             *[ref(k) for k in keys],
-            "n_v",
-            "n_b",
-            "pairs",
+            *counts,
             F.lit(name).alias("_ek_side"),
             payload.alias("_ek_payload"),
             rank.alias("_ek_rank"),
@@ -156,9 +169,7 @@ def compare_delta(
     if stats["total_changes"] == 0:
         both = nothing(both)
     grouped = both.groupBy(*[ref(k) for k in keys]).agg(
-        F.max("n_v").alias("n_v"),
-        F.max("n_b").alias("n_b"),
-        F.max("pairs").alias("pairs"),
+        *[F.max(c).alias(c) for c in counts],
         chosen("view", "_ek_payload").alias("v"),
         chosen("before", "_ek_payload").alias("b"),
         F.min(F.when(F.col("_ek_side") == "view", F.col("_ek_rank"))).alias("_ek_v_rank"),
@@ -167,12 +178,11 @@ def compare_delta(
 
     after = [F.col(f"v.c{i}") for i in range(len(columns))]
     prior = [F.col(f"b.c{i}") for i in range(len(columns))]
-    no_match = F.lit(True) if not columns else pairs == 0
+    no_match = pairs_are(F.lit(0)) if columns else F.lit(True)
+    pairs_text = F.when(large_pairs.isNull(), small_pairs.cast("string")).otherwise(all_pairs.cast("string"))
 
     def message(parts: tuple[str, str, str], first: Column, second: Column) -> Column:
-        return F.concat(
-            F.lit(parts[0]), first.cast("string"), F.lit(parts[1]), second.cast("string"), F.lit(parts[2])
-        )
+        return F.concat(F.lit(parts[0]), first, F.lit(parts[1]), second, F.lit(parts[2]))
 
     changed_columns = F.concat_ws(
         ", ", *[F.when(~a.eqNullSafe(p), F.lit(c)) for c, a, p in zip(columns, after, prior, strict=True)]
@@ -181,8 +191,8 @@ def compare_delta(
         F.when((n_v == 1) & (n_b == 0), NEW)
         .when(n_b == 0, NEW_DUPLICATE_TEXT)
         .when(single, changed_columns)
-        .when(no_match, message(NO_MATCH_TEXT, n_v, n_b))
-        .otherwise(message(PARTIAL_MATCH_TEXT, pairs, n_v))
+        .when(no_match, message(NO_MATCH_TEXT, n_v.cast("string"), n_b.cast("string")))
+        .otherwise(message(PARTIAL_MATCH_TEXT, pairs_text, n_v.cast("string")))
     )
     rows = grouped.select(
         *[ref(k) for k in keys],

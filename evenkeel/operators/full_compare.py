@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.columns import key_list, non_key_columns, ref
-from evenkeel.functions.hashing import key_hash, key_text, row_digest, row_hash, text_digest
+from evenkeel.functions.hashing import key_digest, key_hash, plain_columns, row_digest, row_hash
 from evenkeel.plans.keyed import DEFAULT_LIMITS, ROW_OVERHEAD_BYTES, Limits, fetch, nothing, pin, sum_where
 
 # Anomaly names and their descriptions.
@@ -37,12 +37,14 @@ class FullComparison:
     stats: dict[str, int]
 
 
-def _profile(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def _profile(
+    source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], plain: set[str]
+) -> DataFrame:
     """Per key: rows on each side, and the xor of all row digests (zero for a 1:1 pair of equal rows)."""
 
     def narrow(df: DataFrame, in_source: int) -> DataFrame:
-        key1, key2 = text_digest(key_text(keys))
-        row1, row2 = row_digest(columns)
+        key1, key2 = key_digest(df, keys, plain)
+        row1, row2 = row_digest(df, columns, plain)
         return df.select(
             key1.alias(_KEY[0]),
             key2.alias(_KEY[1]),
@@ -83,6 +85,7 @@ def compare_full(
     keys = key_list(key_columns, "full_compare")
     columns = list(compare_columns or non_key_columns(source, keys, ignore_case=False))
     target_name = target_name or "test_query"
+    plain = plain_columns(source, target, [*keys, *columns])
 
     n_s, n_t = F.col("n_s"), F.col("n_t")
     missing_t = (n_s == 1) & (n_t == 0)
@@ -91,7 +94,7 @@ def compare_full(
     anomalous = missing_t | missing_s | mismatch | (n_s > 1) | (n_t > 1)
 
     picked, stats = pin(
-        _profile(source, target, keys, columns),
+        _profile(source, target, keys, columns, plain),
         keep=anomalous,
         stats={
             "source_rows": F.sum(n_s),
@@ -128,7 +131,7 @@ def compare_full(
         """
         mine, theirs = F.col(own), F.col(other)
         wanted = picked.where((mine > 1) | ((mine == 1) & (theirs <= 1)))
-        key1, key2 = text_digest(key_text(keys))
+        key1, key2 = key_digest(df, keys, plain)
         rows = df.select(
             key1.alias(_KEY[0]),
             key2.alias(_KEY[1]),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions.columns import (
     all_set,
     any_null,
+    column_type,
     key_list,
     non_key_columns,
     ref,
@@ -83,7 +84,6 @@ def compare_deletes(
     if stats["null_key_rows"]:
         found = found.unionByName(payload.where(any_null(keys)))
 
-    types = {f.name: f.dataType for f in payload.schema}
     rows = found.select(
         *key_refs,
         F.lit(HARD_DELETED).alias("change_type"),
@@ -92,7 +92,7 @@ def compare_deletes(
             for c in columns
             for col in (
                 ref(c).alias(f"before_delta_{c}"),
-                F.lit(None).cast(types[c]).alias(f"after_delta_{c}"),
+                F.lit(None).cast(column_type(before, c)).alias(f"after_delta_{c}"),
             )
         ],
         F.lit(stats["total_deletes"]).cast("long").alias("total_deletes_count"),

@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import all_set, any_null, key_list, non_key_columns, ref, require_same_types
+from evenkeel.functions.columns import all_set, any_null, column_type, key_list, non_key_columns, ref, require_same_types
 from evenkeel.functions.hashing import value_digest
 from evenkeel.plans.keyed import (
     DEFAULT_LIMITS,
@@ -31,7 +31,7 @@ _REPEAT_STEP = 1_000_000
 
 def watermark(df: DataFrame, column: str, buffer_seconds: int = 0) -> Column:
     """``max(column) - buffer`` of a table as a scalar subquery, planned into the scan it filters."""
-    data_type = df.schema[column].dataType
+    data_type = column_type(df, column)
     newest = F.coalesce(F.max(ref(column)), F.lit(BEGINNING).cast(data_type))
     if buffer_seconds:
         newest = newest - F.make_dt_interval(secs=F.lit(buffer_seconds))

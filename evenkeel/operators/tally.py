@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.columns import key_list
-from evenkeel.functions.hashing import key_text, text_digest
+from evenkeel.functions.hashing import key_digest, plain_columns
 from evenkeel.operators import delta_compare as delta
 from evenkeel.operators import full_compare as full
 
@@ -19,7 +19,8 @@ def _count(condition: Column) -> Column:
 
 def key_stats(df: DataFrame, key_columns: str | Sequence[str]) -> DataFrame:
     """Keys found once, keys found more often, and the rows of the latter."""
-    first, second = text_digest(key_text(key_list(key_columns, "key_stats")))
+    keys = key_list(key_columns, "key_stats")
+    first, second = key_digest(df, keys, plain_columns(df, df, keys))
     counts = (
         df.select(first.alias("k1"), second.alias("k2"))
         .groupBy("k1", "k2")
