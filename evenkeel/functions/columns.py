@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """A column name as it is written in an SQL expression, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    """A text constant as it is written in an SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ref(name: str) -> Column:
-    """Column by its literal name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its literal name."""
+    return F.col(quoted(name))
 
 
 def key_list(key_columns: str | Sequence[str] | None, operator: str) -> list[str]:
@@ -58,12 +66,12 @@ def column_type(df: DataFrame, name: str) -> T.DataType:
     raise ValueError(f"column {name!r} is absent; there are {df.columns}")
 
 
-def all_set(columns: Iterable[str]) -> Column:
-    return reduce(and_, [ref(c).isNotNull() for c in columns])
+def all_set(columns: Iterable[str]) -> str:
+    return "(" + " and ".join(f"{quoted(c)} is not null" for c in columns) + ")"
 
 
-def any_null(columns: Iterable[str]) -> Column:
-    return reduce(or_, [ref(c).isNull() for c in columns])
+def any_null(columns: Iterable[str]) -> str:
+    return "(" + " or ".join(f"{quoted(c)} is null" for c in columns) + ")"
 
 
 def require_same_types(left: DataFrame, right: DataFrame, columns: Iterable[str], operator: str) -> None:

@@ -1,50 +1,27 @@
-"""Text hashes of keys and rows.
+"""Text hashes of keys and rows, as SQL expressions.
 
 Rows are compared through a text form of their columns. The published hash columns are md5 of that text; the
 comparisons themselves use two 64-bit numbers that agree exactly where the texts do, because numeric buffers keep
 Spark on HashAggregate and make the shuffled rows narrow.
+
+The functions return expression text for ``selectExpr``: a wide table's expression is then handed to Spark at once
+instead of function by function.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from evenkeel.functions.columns import column_type, ref
+from evenkeel.functions.columns import column_type, quoted
 
 # The separator and the tokens that stand for null.
 SEPARATOR = "|"
 NULL_VALUE = "NULL"
 NULL_KEY = "___NULL_KEY___"
 
-
-def _joined_text(columns: Iterable[Column], null_token: str) -> Column:
-    return F.concat_ws(SEPARATOR, *[F.coalesce(c.cast("string"), F.lit(null_token)) for c in columns])
-
-
-def row_text(columns: Iterable[str | Column]) -> Column:
-    return _joined_text([ref(c) if isinstance(c, str) else c for c in columns], NULL_VALUE)
-
-
-def key_text(columns: Iterable[str | Column]) -> Column:
-    return _joined_text([ref(c) if isinstance(c, str) else c for c in columns], NULL_KEY)
-
-
-def row_hash(columns: Iterable[str | Column]) -> Column:
-    """md5 of the row text; null when there is nothing to compare."""
-    columns = list(columns)
-    return F.md5(row_text(columns)) if columns else F.lit(None).cast("string")
-
-
-def key_hash(columns: Iterable[str | Column]) -> Column:
-    return F.md5(key_text(columns))
-
-
 # Types whose text form is different for every different value and never holds the separator.
 _PLAIN_TYPES = (
     T.BooleanType,
@@ -60,6 +37,23 @@ _PLAIN_TYPES = (
 )
 
 
+def _text(column: str, null_token: str) -> str:
+    return f"coalesce(cast({quoted(column)} as string), '{null_token}')"
+
+
+def _joined(columns: Iterable[str], null_token: str) -> str:
+    return f"concat_ws('{SEPARATOR}', {', '.join(_text(c, null_token) for c in columns)})"
+
+
+def row_hash(columns: list[str]) -> str:
+    """md5 of the row text; null when there is nothing to compare."""
+    return f"md5({_joined(columns, NULL_VALUE)})" if columns else "cast(null as string)"
+
+
+def key_hash(columns: list[str]) -> str:
+    return f"md5({_joined(columns, NULL_KEY)})"
+
+
 def plain_columns(left: DataFrame, right: DataFrame, columns: Iterable[str]) -> set[str]:
     """Columns that can be compared by value instead of by text: same type on both sides, and a plain one."""
     return {
@@ -69,49 +63,44 @@ def plain_columns(left: DataFrame, right: DataFrame, columns: Iterable[str]) ->
     }
 
 
-def _value_parts(df: DataFrame, column: str) -> list[Column]:
+def _value(df: DataFrame, column: str) -> str:
     """What to hash for a plain column. The hash function skips nulls and takes -0.0 for 0.0; their texts differ."""
-    value = ref(column)
-    parts = [value.isNull(), value]
+    value = quoted(column)
     if isinstance(column_type(df, column), (T.FloatType, T.DoubleType)):
-        parts.append(F.when(value == 0, value.cast("string")))
-    return parts
+        return f"isnull({value}), {value}, case when {value} = 0 then cast({value} as string) end"
+    return f"isnull({value}), {value}"
 
 
-def _digest(df: DataFrame, columns: list[str], plain: set[str], null_token: str) -> tuple[Column, Column]:
+def _digest(df: DataFrame, columns: list[str], plain: set[str], null_token: str) -> tuple[str, str]:
     """128 bits (two bigints) that agree exactly where the joined texts of the columns agree.
 
     Joining matters only where a text column holds the separator; other rows are hashed column by column, plain
     columns by value, which saves most of the casts to text. Rows with and without a separator inside a column
     have a different number of separators, so they never have equal texts.
     """
-    texts = {c: F.coalesce(ref(c).cast("string"), F.lit(null_token)) for c in columns if c not in plain}
-    parts = [part for c in columns for part in ([texts[c]] if c in texts else _value_parts(df, c))]
-    holds_separator = [text.contains(SEPARATOR) for text in texts.values()] if len(columns) > 1 else []
-    joined = _joined_text([ref(c) for c in columns], null_token)
-
-    def half(seed: int) -> Column:
-        by_column = F.xxhash64(F.lit(seed), *parts)
-        if not holds_separator:
+    texts = {c: _text(c, null_token) for c in columns if c not in plain}
+    parts = ", ".join(texts[c] if c in texts else _value(df, c) for c in columns)
+
+    def half(seed: int) -> str:
+        by_column = f"xxhash64({seed}, {parts})"
+        if not texts or len(columns) == 1:
             return by_column
-        return F.when(reduce(or_, holds_separator), F.xxhash64(F.lit(seed), joined)).otherwise(by_column)
+        holds_separator = " or ".join(f"contains({text}, '{SEPARATOR}')" for text in texts.values())
+        by_text = f"xxhash64({seed}, {_joined(columns, null_token)})"
+        return f"case when {holds_separator} then {by_text} else {by_column} end"
 
     return half(1), half(2)
 
 
-def key_digest(df: DataFrame, keys: list[str], plain: set[str]) -> tuple[Column, Column]:
+def key_digest(df: DataFrame, keys: list[str], plain: set[str]) -> tuple[str, str]:
     return _digest(df, keys, plain, NULL_KEY)
 
 
-def row_digest(df: DataFrame, columns: list[str], plain: set[str]) -> tuple[Column, Column]:
-    if not columns:
-        return F.lit(0).cast("long"), F.lit(0).cast("long")
-    return _digest(df, columns, plain, NULL_VALUE)
+def row_digest(df: DataFrame, columns: list[str], plain: set[str]) -> tuple[str, str]:
+    return _digest(df, columns, plain, NULL_VALUE) if columns else ("0L", "0L")
 
 
-def value_digest(columns: list[str]) -> tuple[Column, Column]:
+def value_digest(columns: list[str]) -> tuple[str, str]:
     """Digest of the typed values: equal exactly where every column is null-safe equal."""
-    if not columns:
-        return F.lit(0).cast("long"), F.lit(0).cast("long")
-    parts = [part for c in columns for part in (ref(c).isNull(), ref(c))]
-    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+    parts = "".join(f", isnull({quoted(c)}), {quoted(c)}" for c in columns)
+    return f"xxhash64(1{parts})", f"xxhash64(2{parts})"

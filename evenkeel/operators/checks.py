@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import ref
-from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, fetch, key_bytes, nothing, pin, sum_where
+from evenkeel.functions.columns import all_set, quoted, ref
+from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, fetch, key_bytes, max_where, nothing, pin, sum_where
 
 
 def check_unique(df: DataFrame, column: str) -> DataFrame:
@@ -37,39 +37,35 @@ def check_relationships(
     The keys of both tables are reduced to one row each before they meet, so a key that many children share
     costs no more than any other.
     """
-    key = [column]
-    child_keys = child.where(ref(column).isNotNull()).select(ref(column), F.lit(1).alias("_ek_c"), F.lit(0).alias("_ek_p"))
-    parent_keys = parent.where(ref(parent_column).isNotNull()).select(
-        ref(parent_column).alias(column), F.lit(0).alias("_ek_c"), F.lit(1).alias("_ek_p")
+    name = quoted(column)
+    child_keys = child.where(all_set([column])).selectExpr(name, "1 as _ek_c", "0 as _ek_p")
+    parent_keys = parent.where(all_set([parent_column])).selectExpr(
+        f"{quoted(parent_column)} as {name}", "0 as _ek_c", "1 as _ek_p"
     )
-    profile = (
-        child_keys.unionByName(parent_keys)
-        .groupBy(ref(column))
-        .agg(F.sum("_ek_c").alias("_ek_n_c"), F.max("_ek_p").alias("_ek_has_parent"))
-    )
-    n_c = F.col("_ek_n_c")
-    orphaned = (n_c > 0) & (F.col("_ek_has_parent") == 0)
+    orphaned = "_ek_n_c > 0 and _ek_has_parent = 0"
     orphans, stats = pin(
-        profile,
+        child_keys.unionByName(parent_keys)
+        .groupBy(name)
+        .agg(F.expr("sum(_ek_c) as _ek_n_c"), F.expr("max(_ek_p) as _ek_has_parent")),
         keep=orphaned,
         stats={
-            "child_rows": F.sum(n_c),
-            "orphan_rows": sum_where(orphaned, n_c),
-            "bytes": sum_where(orphaned, key_bytes(key)),
-            "heaviest": F.max(F.when(orphaned, n_c)),
+            "child_rows": "sum(_ek_n_c)",
+            "orphan_rows": sum_where(orphaned, "_ek_n_c"),
+            "bytes": sum_where(orphaned, key_bytes([column])),
+            "heaviest": max_where(orphaned, "_ek_n_c"),
         },
         label="orphans",
     )
     found = fetch(
         child,
-        orphans.select(ref(column), "_ek_n_c"),
-        key,
+        orphans.select(name, "_ek_n_c"),
+        [column],
         "_ek_n_c",
         stats["bytes"],
         stats["heaviest"],
         stats["child_rows"],
         limits,
-    ).select(*[ref(c) for c in child.columns])
+    ).select(*[quoted(c) for c in child.columns])
     return found if stats["orphan_rows"] else nothing(found)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,12 +14,13 @@ from evenkeel.functions.columns import (
     column_type,
     key_list,
     non_key_columns,
-    ref,
+    quoted,
     require_same_types,
     sorted_columns,
+    text_literal,
 )
 from evenkeel.functions.hashing import plain_columns, row_digest, row_hash
-from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, fetch, key_bytes, nothing, pin, sum_where
+from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, fetch, key_bytes, max_where, nothing, pin, sum_where
 
 # Change names, key classes and messages.
 NEW = "NEW"
@@ -33,7 +34,7 @@ PARTIAL_MATCH_TEXT = ("DUPLICATE KEY — partial match (", " of ", " view rows m
 # Pair counts can exceed a bigint: one key may hold billions of equal rows on both sides. Contents with at most
 # _SMALL rows per side are summed as bigints, the rare others as decimals.
 _SMALL = 1 << 20
-_WIDE = T.DecimalType(38, 0)
+_WIDE = "decimal(38,0)"
 
 
 @dataclass(frozen=True)
@@ -58,34 +59,28 @@ def _profile(view: DataFrame, before: DataFrame, keys: list[str], columns: list[
     Rows are first counted per (key, content), so neither equal copies nor a key with many different
     contents meet in one task; the second step combines those counts map-side before its shuffle.
     """
-
     plain = plain_columns(view, before, columns)
+    key_names = [quoted(k) for k in keys]
 
     def narrow(df: DataFrame, in_view: int) -> DataFrame:
         row1, row2 = row_digest(df, columns, plain)
-        return df.select(
-            *[ref(k) for k in keys],
-            row1.alias("_ek_r1"),
-            row2.alias("_ek_r2"),
-            F.lit(in_view).alias("_ek_v"),
-            F.lit(1 - in_view).alias("_ek_b"),
+        return df.selectExpr(
+            *key_names, f"{row1} as _ek_r1", f"{row2} as _ek_r2", f"{in_view} as _ek_v", f"{1 - in_view} as _ek_b"
         )
 
-    key_refs = [ref(k) for k in keys]
-    n_v, n_b = F.col("n_v"), F.col("n_b")
-    small = (n_v <= _SMALL) & (n_b <= _SMALL)
-    return (
+    contents = (
         narrow(view, 1)
         .unionByName(narrow(before, 0))
-        .groupBy(*key_refs, "_ek_r1", "_ek_r2")
-        .agg(F.sum("_ek_v").alias("n_v"), F.sum("_ek_b").alias("n_b"))
-        .groupBy(*key_refs)
-        .agg(
-            F.sum(n_v).alias("n_v"),
-            F.sum(n_b).alias("n_b"),
-            F.coalesce(F.sum(F.when(small, n_v * n_b)), F.lit(0)).alias("small_pairs"),
-            F.sum(F.when(~small, n_v.cast(_WIDE) * n_b.cast(_WIDE))).cast(_WIDE).alias("large_pairs"),
-        )
+        .groupBy(*key_names, "_ek_r1", "_ek_r2")
+        .agg(F.expr("sum(_ek_v) as n_v"), F.expr("sum(_ek_b) as n_b"))
+    )
+    small = f"n_v <= {_SMALL} and n_b <= {_SMALL}"
+    product = f"cast(n_v as {_WIDE}) * cast(n_b as {_WIDE})"
+    return contents.groupBy(*key_names).agg(
+        F.expr("sum(n_v) as n_v"),
+        F.expr("sum(n_b) as n_b"),
+        F.expr(f"coalesce(sum(case when {small} then n_v * n_b end), 0) as small_pairs"),
+        F.expr(f"cast(sum(case when not ({small}) then {product} end) as {_WIDE}) as large_pairs"),
     )
 
 
@@ -101,48 +96,47 @@ def compare_delta(
     columns = sorted_columns(compare_columns or non_key_columns(view, keys))
     require_same_types(view, before, [*keys, *columns], "delta_compare")
     view, before = view.where(all_set(keys)), before.where(all_set(keys))
+    key_names = [quoted(k) for k in keys]
 
-    n_v, n_b = F.col("n_v"), F.col("n_b")
-    small_pairs, large_pairs = F.col("small_pairs"), F.col("large_pairs")
-    all_pairs = large_pairs + small_pairs.cast(_WIDE)
+    all_pairs = f"(large_pairs + cast(small_pairs as {_WIDE}))"
 
-    def pairs_are(number: Column) -> Column:
-        return F.when(large_pairs.isNull(), small_pairs == number).otherwise(all_pairs == number)
+    def pairs_are(number: str) -> str:
+        return f"(case when large_pairs is null then small_pairs = {number} else {all_pairs} = {number} end)"
 
-    single = (n_v == 1) & (n_b == 1)
-    repeated = (n_v > 1) | (n_b > 1)
-    is_new = (n_v > 0) & (n_b == 0)
+    single = "(n_v = 1 and n_b = 1)"
+    repeated = "(n_v > 1 or n_b > 1)"
     if columns:
-        unequal = F.when(single, small_pairs == 0).otherwise(~(pairs_are(n_v) & pairs_are(n_b)))
+        unequal = f"(case when {single} then small_pairs = 0 else not ({pairs_are('n_v')} and {pairs_are('n_b')}) end)"
     else:
         unequal = repeated
-    is_updated = (n_v > 0) & (n_b > 0) & unequal
-    changed = is_new | is_updated
+    is_new = "(n_v > 0 and n_b = 0)"
+    is_updated = f"(n_v > 0 and n_b > 0 and {unequal})"
+    changed = f"({is_new} or {is_updated})"
 
     picked, stats = pin(
         _profile(view, before, keys, columns),
         keep=changed,
         stats={
-            "view_rows": F.sum(n_v),
-            "before_rows": F.sum(n_b),
-            "new": F.count_if(is_new),
-            "updated": F.count_if(is_updated),
+            "view_rows": "sum(n_v)",
+            "before_rows": "sum(n_b)",
+            "new": f"count_if{is_new}",
+            "updated": f"count_if{is_updated}",
             "picked_bytes": sum_where(changed, key_bytes(keys)),
-            "heaviest_view": F.max(F.when(changed, n_v)),
-            "heaviest_before": F.max(F.when(changed, n_b)),
+            "heaviest_view": max_where(changed, "n_v"),
+            "heaviest_before": max_where(changed, "n_b"),
         },
         label="delta-compare",
     )
     stats["total_changes"] = stats["new"] + stats["updated"]
 
     counts = ["n_v", "n_b", "small_pairs", "large_pairs"]
+    orderable = [c for c in columns if _orderable(column_type(view, c))]
 
     def side(df: DataFrame, name: str, weight: str) -> DataFrame:
         """Rows of the changed keys, tagged with their side, in the form the representative is chosen from."""
-        rows = df.select(*[ref(k) for k in keys], *[ref(c) for c in columns])
         found = fetch(
-            rows,
-            picked.where(F.col(weight) > 0).select(*[ref(k) for k in keys], *counts),
+            df.select(*key_names, *[quoted(c) for c in columns]),
+            picked.where(f"{weight} > 0").select(*key_names, *counts),
             keys,
             weight,
             stats["picked_bytes"],
@@ -150,64 +144,58 @@ def compare_delta(
             stats[f"{name}_rows"],
             limits,
         )
-        payload = F.struct(F.lit(1).alias("present"), *[ref(c).alias(f"c{i}") for i, c in enumerate(columns)])
-        ordered = [ref(c).alias(f"o{i}") for i, c in enumerate(columns) if _orderable(column_type(df, c))]
-        rank = F.struct(row_hash(columns).alias("row_hash"), *ordered)
-        return found.select(
-            *[ref(k) for k in keys],
+        payload = "".join(f", 'c{i}', {quoted(c)}" for i, c in enumerate(columns))
+        rank = "".join(f", 'o{i}', {quoted(c)}" for i, c in enumerate(orderable))
+        return found.selectExpr(
+            *key_names,
             *counts,
-            F.lit(name).alias("_ek_side"),
-            payload.alias("_ek_payload"),
-            rank.alias("_ek_rank"),
+            f"'{name}' as _ek_side",
+            f"named_struct('present', true{payload}) as _ek_payload",
+            f"named_struct('row_hash', {row_hash(columns)}{rank}) as _ek_rank",
         )
 
     # One row per key and side; for a repeated key the row with the smallest (hash, columns) stands for all.
-    def chosen(name: str, what: str) -> Column:
-        return F.min_by(what, F.when(F.col("_ek_side") == name, F.col("_ek_rank")))
-
     both = side(view, "view", "n_v").unionByName(side(before, "before", "n_b"))
     if stats["total_changes"] == 0:
         both = nothing(both)
-    grouped = both.groupBy(*[ref(k) for k in keys]).agg(
-        *[F.max(c).alias(c) for c in counts],
-        chosen("view", "_ek_payload").alias("v"),
-        chosen("before", "_ek_payload").alias("b"),
-        F.min(F.when(F.col("_ek_side") == "view", F.col("_ek_rank"))).alias("_ek_v_rank"),
-        F.min(F.when(F.col("_ek_side") == "before", F.col("_ek_rank"))).alias("_ek_b_rank"),
+    view_rank = "case when _ek_side = 'view' then _ek_rank end"
+    before_rank = "case when _ek_side = 'before' then _ek_rank end"
+    grouped = both.groupBy(*key_names).agg(
+        *[F.expr(f"max({c}) as {c}") for c in counts],
+        F.expr(f"min_by(_ek_payload, {view_rank}) as v"),
+        F.expr(f"min_by(_ek_payload, {before_rank}) as b"),
+        F.expr(f"min({view_rank}) as v_rank"),
+        F.expr(f"min({before_rank}) as b_rank"),
     )
 
-    after = [F.col(f"v.c{i}") for i in range(len(columns))]
-    prior = [F.col(f"b.c{i}") for i in range(len(columns))]
-    no_match = pairs_are(F.lit(0)) if columns else F.lit(True)
-    pairs_text = F.when(large_pairs.isNull(), small_pairs.cast("string")).otherwise(all_pairs.cast("string"))
-
-    def message(parts: tuple[str, str, str], first: Column, second: Column) -> Column:
-        return F.concat(F.lit(parts[0]), first, F.lit(parts[1]), second, F.lit(parts[2]))
+    def message(parts: tuple[str, str, str], first: str, second: str) -> str:
+        one, two, three = (text_literal(part) for part in parts)
+        return f"concat({one}, {first}, {two}, {second}, {three})"
 
-    changed_columns = F.concat_ws(
-        ", ", *[F.when(~a.eqNullSafe(p), F.lit(c)) for c, a, p in zip(columns, after, prior, strict=True)]
+    differing = "".join(
+        f", case when not (v.c{i} <=> b.c{i}) then {text_literal(c)} end" for i, c in enumerate(columns)
     )
+    no_match = pairs_are("0") if columns else "true"
+    pairs_text = f"case when large_pairs is null then cast(small_pairs as string) else cast({all_pairs} as string) end"
     changes = (
-        F.when((n_v == 1) & (n_b == 0), NEW)
-        .when(n_b == 0, NEW_DUPLICATE_TEXT)
-        .when(single, changed_columns)
-        .when(no_match, message(NO_MATCH_TEXT, n_v.cast("string"), n_b.cast("string")))
-        .otherwise(message(PARTIAL_MATCH_TEXT, pairs_text, n_v.cast("string")))
+        f"case when n_v = 1 and n_b = 0 then {text_literal(NEW)} when n_b = 0 then {text_literal(NEW_DUPLICATE_TEXT)} "
+        f"when {single} then concat_ws(', '{differing}) "
+        f"when {no_match} then {message(NO_MATCH_TEXT, 'n_v', 'n_b')} "
+        f"else {message(PARTIAL_MATCH_TEXT, pairs_text, 'n_v')} end"
     )
-    rows = grouped.select(
-        *[ref(k) for k in keys],
-        F.when(n_b == 0, NEW).otherwise(UPDATED).alias("change_type"),
-        F.when(repeated, DUPLICATE).otherwise(UNIQUE).alias("key_classification"),
-        changes.alias("columns_changed"),
-        F.col("_ek_v_rank.row_hash").alias("after_delta_row_hash"),
-        F.col("_ek_b_rank.row_hash").alias("before_delta_row_hash"),
-        *[
-            col
-            for c, a, p in zip(columns, after, prior, strict=True)
-            for col in (a.alias(f"after_delta_{c}"), p.alias(f"before_delta_{c}"))
-        ],
-        F.lit(stats["total_changes"]).cast("long").alias("total_changes_count"),
-        F.when(n_b == 0, stats["new"]).otherwise(stats["updated"]).cast("long").alias("change_type_count"),
+    values = []
+    for i, c in enumerate(columns):
+        values += [f"v.c{i} as {quoted(f'after_delta_{c}')}", f"b.c{i} as {quoted(f'before_delta_{c}')}"]
+    rows = grouped.selectExpr(
+        *key_names,
+        f"case when n_b = 0 then {text_literal(NEW)} else {text_literal(UPDATED)} end as change_type",
+        f"case when {repeated} then {text_literal(DUPLICATE)} else {text_literal(UNIQUE)} end as key_classification",
+        f"{changes} as columns_changed",
+        "v_rank.row_hash as after_delta_row_hash",
+        "b_rank.row_hash as before_delta_row_hash",
+        *values,
+        f"cast({stats['total_changes']} as bigint) as total_changes_count",
+        f"cast(case when n_b = 0 then {stats['new']} else {stats['updated']} end as bigint) as change_type_count",
     )
     return DeltaComparison(rows, stats)
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import key_list, non_key_columns, ref
+from evenkeel.functions.columns import key_list, non_key_columns, quoted, text_literal
 from evenkeel.functions.hashing import key_digest, key_hash, plain_columns, row_digest, row_hash
-from evenkeel.plans.keyed import DEFAULT_LIMITS, ROW_OVERHEAD_BYTES, Limits, fetch, nothing, pin, sum_where
+from evenkeel.plans.keyed import DEFAULT_LIMITS, ROW_OVERHEAD_BYTES, Limits, fetch, max_where, nothing, pin, sum_where
 
 # Anomaly names and their descriptions.
 MISSING_IN_TARGET = "MISSING_IN_TARGET"
@@ -45,26 +45,17 @@ def _profile(
     def narrow(df: DataFrame, in_source: int) -> DataFrame:
         key1, key2 = key_digest(df, keys, plain)
         row1, row2 = row_digest(df, columns, plain)
-        return df.select(
-            key1.alias(_KEY[0]),
-            key2.alias(_KEY[1]),
-            F.lit(in_source).alias("s"),
-            F.lit(1 - in_source).alias("t"),
-            row1.alias("r1"),
-            row2.alias("r2"),
+        return df.selectExpr(
+            f"{key1} as {_KEY[0]}",
+            f"{key2} as {_KEY[1]}",
+            f"{in_source} as s",
+            f"{1 - in_source} as t",
+            f"{row1} as r1",
+            f"{row2} as r2",
         )
 
-    return (
-        narrow(source, 1)
-        .unionByName(narrow(target, 0))
-        .groupBy(*_KEY)
-        .agg(
-            F.sum("s").alias("n_s"),
-            F.sum("t").alias("n_t"),
-            F.bit_xor("r1").alias("x1"),
-            F.bit_xor("r2").alias("x2"),
-        )
-    )
+    sums = [F.expr(e) for e in ("sum(s) as n_s", "sum(t) as n_t", "bit_xor(r1) as x1", "bit_xor(r2) as x2")]
+    return narrow(source, 1).unionByName(narrow(target, 0)).groupBy(*_KEY).agg(*sums)
 
 
 def compare_full(
@@ -87,29 +78,27 @@ def compare_full(
     target_name = target_name or "test_query"
     plain = plain_columns(source, target, [*keys, *columns])
 
-    n_s, n_t = F.col("n_s"), F.col("n_t")
-    missing_t = (n_s == 1) & (n_t == 0)
-    missing_s = (n_s == 0) & (n_t == 1)
-    mismatch = (n_s == 1) & (n_t == 1) & ((F.col("x1") != 0) | (F.col("x2") != 0))
-    anomalous = missing_t | missing_s | mismatch | (n_s > 1) | (n_t > 1)
+    missing_t = "(n_s = 1 and n_t = 0)"
+    missing_s = "(n_s = 0 and n_t = 1)"
+    mismatch = "(n_s = 1 and n_t = 1 and (x1 <> 0 or x2 <> 0))"
+    anomalous = f"({missing_t} or {missing_s} or {mismatch} or n_s > 1 or n_t > 1)"
 
     picked, stats = pin(
         _profile(source, target, keys, columns, plain),
         keep=anomalous,
         stats={
-            "source_rows": F.sum(n_s),
-            "target_rows": F.sum(n_t),
-            "unique_keys": F.count_if(n_s == 1),
-            "duplicate_groups": F.count_if(n_s > 1),
-            "duplicate_rows": sum_where(n_s > 1, n_s),
-            "missing_in_target": F.count_if(missing_t),
-            "missing_in_source": F.count_if(missing_s),
-            "value_mismatch": F.count_if(mismatch),
-            "source_duplicates": sum_where(n_s > 1, n_s),
-            "target_duplicates": sum_where(n_t > 1, n_t),
-            "picked_keys": F.count_if(anomalous),
-            "heaviest_source": F.max(F.when(anomalous, n_s)),
-            "heaviest_target": F.max(F.when(anomalous, n_t)),
+            "source_rows": "sum(n_s)",
+            "target_rows": "sum(n_t)",
+            "unique_keys": "count_if(n_s = 1)",
+            "duplicate_groups": "count_if(n_s > 1)",
+            "source_duplicates": sum_where("n_s > 1", "n_s"),
+            "target_duplicates": sum_where("n_t > 1", "n_t"),
+            "missing_in_target": f"count_if{missing_t}",
+            "missing_in_source": f"count_if{missing_s}",
+            "value_mismatch": f"count_if{mismatch}",
+            "picked_keys": f"count_if{anomalous}",
+            "heaviest_source": max_where(anomalous, "n_s"),
+            "heaviest_target": max_where(anomalous, "n_t"),
         },
         label="full-compare",
     )
@@ -123,37 +112,31 @@ def compare_full(
     stats["total_anomalies"] = sum(per_type.values())
     picked_bytes = stats["picked_keys"] * ROW_OVERHEAD_BYTES
 
-    def side(df: DataFrame, name: str, own: str, other: str, marker: int) -> DataFrame:
+    def side(df: DataFrame, name: str, mine: str, theirs: str, marker: int) -> DataFrame:
         """Rows of one table that are reported alone, or as half of a differing pair.
 
         Lone rows get a join token that the other side never has, so that they cannot pair up and the rows
         of one hot key do not meet in one partition.
         """
-        mine, theirs = F.col(own), F.col(other)
-        wanted = picked.where((mine > 1) | ((mine == 1) & (theirs <= 1)))
         key1, key2 = key_digest(df, keys, plain)
-        rows = df.select(
-            key1.alias(_KEY[0]),
-            key2.alias(_KEY[1]),
-            *[ref(k).alias(f"_ek_{name}_key{i}") for i, k in enumerate(keys)],
-            *[ref(c).alias(f"{name}_{c}") for c in columns],
-        )
+        payload = [f"{quoted(k)} as _ek_{name}_key{i}" for i, k in enumerate(keys)]
+        payload += [f"{quoted(c)} as {quoted(f'{name}_{c}')}" for c in columns]
         found = fetch(
-            rows,
-            wanted.select(*_KEY, "n_s", "n_t"),
+            df.selectExpr(f"{key1} as {_KEY[0]}", f"{key2} as {_KEY[1]}", *payload),
+            picked.where(f"{mine} > 1 or ({mine} = 1 and {theirs} <= 1)").select(*_KEY, "n_s", "n_t"),
             _KEY,
-            own,
+            mine,
             picked_bytes,
             stats[f"heaviest_{name}"],
             stats[f"{name}_rows"],
             limits,
         )
-        alone = F.spark_partition_id() * 2 + marker
-        return found.select(
+        return found.selectExpr(
             *_KEY,
-            F.when((mine == 1) & (theirs == 1), F.lit(-1)).otherwise(alone).alias(_SIDE),
-            mine.alias(f"_ek_{name}_rows"),
-            *[c for c in rows.columns if c not in _KEY],
+            f"case when n_s = 1 and n_t = 1 then -1 else spark_partition_id() * 2 + {marker} end as {_SIDE}",
+            f"{mine} as _ek_{name}_rows",
+            *[f"_ek_{name}_key{i}" for i in range(len(keys))],
+            *[quoted(f"{name}_{c}") for c in columns],
         )
 
     paired = side(source, "source", "n_s", "n_t", 0).join(
@@ -162,53 +145,61 @@ def compare_full(
     if stats["picked_keys"] == 0:
         paired = nothing(paired)
 
-    s_keys = [F.col(f"_ek_source_key{i}") for i in range(len(keys))]
-    t_keys = [F.col(f"_ek_target_key{i}") for i in range(len(keys))]
-    s_rows, t_rows = F.col("_ek_source_rows"), F.col("_ek_target_rows")
-    in_s, in_t = s_rows.isNotNull(), t_rows.isNotNull()
+    s_keys = [f"_ek_source_key{i}" for i in range(len(keys))]
+    t_keys = [f"_ek_target_key{i}" for i in range(len(keys))]
+    in_s, in_t = "_ek_source_rows is not null", "_ek_target_rows is not null"
+    dup_s, dup_t = "_ek_source_rows > 1", "_ek_target_rows > 1"
     suffix = "" if fail_on_duplicates else INFO_SUFFIX
-    dup_s, dup_t = s_rows > 1, t_rows > 1
 
-    def counted(texts: tuple[str, str], count: Column) -> Column:
-        return F.concat(F.lit(texts[0]), count.cast("string"), F.lit(texts[1]))
+    def by_kind(mismatch: object, in_source: object, in_target: object, only_source: object, only_target: object) -> str:
+        return (
+            f"case when {in_s} and {in_t} then {mismatch} when {dup_s} then {in_source} when {dup_t} then {in_target} "
+            f"when {in_s} then {only_source} else {only_target} end"
+        )
+
+    def repeated(texts: tuple[str, str], count: str) -> str:
+        return f"concat({text_literal(texts[0])}, {count}, {text_literal(texts[1])})"
 
-    kind = (
-        F.when(in_s & in_t, VALUE_MISMATCH)
-        .when(dup_s, DUPLICATE_IN_SOURCE + suffix)
-        .when(dup_t, DUPLICATE_IN_TARGET + suffix)
-        .when(in_s, MISSING_IN_TARGET)
-        .otherwise(MISSING_IN_SOURCE)
+    kind = by_kind(
+        text_literal(VALUE_MISMATCH),
+        text_literal(DUPLICATE_IN_SOURCE + suffix),
+        text_literal(DUPLICATE_IN_TARGET + suffix),
+        text_literal(MISSING_IN_TARGET),
+        text_literal(MISSING_IN_SOURCE),
     )
-    description = (
-        F.when(in_s & in_t, VALUE_MISMATCH_TEXT)
-        .when(dup_s, counted(DUPLICATE_IN_SOURCE_TEXT, s_rows))
-        .when(dup_t, counted(DUPLICATE_IN_TARGET_TEXT, t_rows))
-        .when(in_s, MISSING_IN_TARGET_TEXT)
-        .otherwise(MISSING_IN_SOURCE_TEXT)
+    description = by_kind(
+        text_literal(VALUE_MISMATCH_TEXT),
+        repeated(DUPLICATE_IN_SOURCE_TEXT, "_ek_source_rows"),
+        repeated(DUPLICATE_IN_TARGET_TEXT, "_ek_target_rows"),
+        text_literal(MISSING_IN_TARGET_TEXT),
+        text_literal(MISSING_IN_SOURCE_TEXT),
     )
-    kind_count = (
-        F.when(in_s & in_t, per_type[VALUE_MISMATCH])
-        .when(dup_s, per_type[DUPLICATE_IN_SOURCE])
-        .when(dup_t, per_type[DUPLICATE_IN_TARGET])
-        .when(in_s, per_type[MISSING_IN_TARGET])
-        .otherwise(per_type[MISSING_IN_SOURCE])
+    kind_count = by_kind(
+        per_type[VALUE_MISMATCH],
+        per_type[DUPLICATE_IN_SOURCE],
+        per_type[DUPLICATE_IN_TARGET],
+        per_type[MISSING_IN_TARGET],
+        per_type[MISSING_IN_SOURCE],
     )
-    rows = paired.select(
-        F.when(in_s, key_hash(s_keys)).otherwise(key_hash(t_keys)).alias("row_key_hash"),
-        *[F.when(in_s, s).otherwise(t).alias(k) for k, s, t in zip(keys, s_keys, t_keys, strict=True)],
-        kind.alias("anomaly_type"),
-        description.alias("anomaly_description"),
-        F.when(in_s, row_hash([f"source_{c}" for c in columns])).alias("source_hash"),
-        F.when(in_t, row_hash([f"target_{c}" for c in columns])).alias("target_hash"),
-        *[ref(f"{name}_{c}") for c in columns for name in ("source", "target")],
-        F.when(dup_s, s_rows).alias("source_key_count"),
-        F.when(dup_t, t_rows).alias("target_key_count"),
-        F.lit(None).cast("long").alias("matched_row_count"),
-        F.current_timestamp().alias("detected_at"),
-        F.lit(source_name).alias("source_model"),
-        F.lit(target_name).alias("target_model"),
-        F.lit(stats["total_anomalies"]).cast("long").alias("total_anomalies_count"),
-        kind_count.cast("long").alias("anomaly_type_count"),
+    rows = paired.selectExpr(
+        f"case when {in_s} then {key_hash(s_keys)} else {key_hash(t_keys)} end as row_key_hash",
+        *[
+            f"case when {in_s} then {s} else {t} end as {quoted(k)}"
+            for k, s, t in zip(keys, s_keys, t_keys, strict=True)
+        ],
+        f"{kind} as anomaly_type",
+        f"{description} as anomaly_description",
+        f"case when {in_s} then {row_hash([f'source_{c}' for c in columns])} end as source_hash",
+        f"case when {in_t} then {row_hash([f'target_{c}' for c in columns])} end as target_hash",
+        *[quoted(f"{name}_{c}") for c in columns for name in ("source", "target")],
+        f"case when {dup_s} then _ek_source_rows end as source_key_count",
+        f"case when {dup_t} then _ek_target_rows end as target_key_count",
+        "cast(null as bigint) as matched_row_count",
+        "current_timestamp() as detected_at",
+        f"{text_literal(source_name)} as source_model",
+        f"{text_literal(target_name)} as target_model",
+        f"cast({stats['total_anomalies']} as bigint) as total_anomalies_count",
+        f"cast({kind_count} as bigint) as anomaly_type_count",
     )
     return FullComparison(rows, stats)
 

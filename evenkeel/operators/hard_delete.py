@@ -14,11 +14,12 @@ from evenkeel.functions.columns import (
     column_type,
     key_list,
     non_key_columns,
-    ref,
+    quoted,
     require_same_types,
     sorted_columns,
+    text_literal,
 )
-from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, fetch, key_bytes, nothing, pin, sum_where
+from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, fetch, key_bytes, max_where, nothing, pin, sum_where
 
 # Fixed value: the change name.
 HARD_DELETED = "HARD_DELETED"
@@ -43,59 +44,56 @@ def compare_deletes(
     keys = key_list(key_columns, "hard_delete_compare")
     columns = sorted_columns(compare_columns or non_key_columns(before, keys))
     require_same_types(before, target, keys, "hard_delete_compare")
-    key_refs = [ref(k) for k in keys]
+    key_names = [quoted(k) for k in keys]
 
-    n_b, n_t = F.col("n_b"), F.col("n_t")
+    before_keys = before.selectExpr(*key_names, "1 as _ek_b", "0 as _ek_t")
+    target_keys = target.where(all_set(keys)).selectExpr(*key_names, "0 as _ek_b", "1 as _ek_t")
     profile = (
-        before.select(*key_refs, F.lit(1).alias("_ek_b"), F.lit(0).alias("_ek_t"))
-        .unionByName(target.where(all_set(keys)).select(*key_refs, F.lit(0).alias("_ek_b"), F.lit(1).alias("_ek_t")))
-        .groupBy(*key_refs)
-        .agg(F.sum("_ek_b").alias("n_b"), F.sum("_ek_t").alias("n_t"))
+        before_keys.unionByName(target_keys)
+        .groupBy(*key_names)
+        .agg(F.expr("sum(_ek_b) as n_b"), F.expr("sum(_ek_t) as n_t"))
     )
     # Keys with a null part never equal anything, so all their snapshot rows are reported.
-    fetched = (n_b > 0) & (n_t == 0) & all_set(keys)
+    gone = f"n_b > 0 and n_t = 0 and {all_set(keys)}"
     picked, stats = pin(
         profile,
-        keep=fetched,
+        keep=gone,
         stats={
-            "before_rows": F.sum(n_b),
-            "null_key_rows": sum_where(any_null(keys), n_b),
-            "fetched_rows": sum_where(fetched, n_b),
-            "picked_bytes": sum_where(fetched, key_bytes(keys)),
-            "heaviest_before": F.max(F.when(fetched, n_b)),
+            "before_rows": "sum(n_b)",
+            "null_key_rows": sum_where(any_null(keys), "n_b"),
+            "gone_rows": sum_where(gone, "n_b"),
+            "picked_bytes": sum_where(gone, key_bytes(keys)),
+            "heaviest_before": max_where(gone, "n_b"),
         },
         label="hard-delete",
     )
-    stats["total_deletes"] = stats["null_key_rows"] + stats["fetched_rows"]
+    stats["total_deletes"] = stats["null_key_rows"] + stats["gone_rows"]
 
-    payload = before.select(*key_refs, *[ref(c) for c in columns])
+    payload = before.select(*key_names, *[quoted(c) for c in columns])
     found = fetch(
         payload.where(all_set(keys)),
-        picked.select(*key_refs, "n_b"),
+        picked.select(*key_names, "n_b"),
         keys,
         "n_b",
         stats["picked_bytes"],
         stats["heaviest_before"],
         stats["before_rows"],
         limits,
-    ).select(*payload.columns)
-    if stats["fetched_rows"] == 0:
+    ).drop("n_b")
+    if stats["gone_rows"] == 0:
         found = nothing(found)
     if stats["null_key_rows"]:
         found = found.unionByName(payload.where(any_null(keys)))
 
-    rows = found.select(
-        *key_refs,
-        F.lit(HARD_DELETED).alias("change_type"),
-        *[
-            col
-            for c in columns
-            for col in (
-                ref(c).alias(f"before_delta_{c}"),
-                F.lit(None).cast(column_type(before, c)).alias(f"after_delta_{c}"),
-            )
-        ],
-        F.lit(stats["total_deletes"]).cast("long").alias("total_deletes_count"),
+    values = []
+    for c in columns:
+        values.append(f"{quoted(c)} as {quoted(f'before_delta_{c}')}")
+        values.append(f"cast(null as {column_type(before, c).simpleString()}) as {quoted(f'after_delta_{c}')}")
+    rows = found.selectExpr(
+        *key_names,
+        f"{text_literal(HARD_DELETED)} as change_type",
+        *values,
+        f"cast({stats['total_deletes']} as bigint) as total_deletes_count",
     )
     return DeleteComparison(rows, stats)
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import all_set, any_null, key_list, ref, require_same_types
-from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, key_bytes, keyed_join, pin, sum_where
+from evenkeel.functions.columns import all_set, any_null, key_list, quoted, ref, require_same_types
+from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, key_bytes, keyed_join, pin
 
 
 def latest_per_key(batch: DataFrame, key_columns: str | Sequence[str], order_by: str) -> DataFrame:
@@ -25,26 +25,26 @@ def _untouched(
 ) -> DataFrame:
     """Target rows whose key is not in the batch (null keys never are)."""
     require_same_types(target, batch, keys, operator)
-    key_refs = [ref(k) for k in keys]
-    counted = batch.where(all_set(keys)).groupBy(*key_refs).agg(F.count(F.lit(1)).alias("n"))
+    key_names = [quoted(k) for k in keys]
     batch_keys, stats = pin(
-        counted,
-        keep=F.lit(True),
-        stats={"bytes": F.sum(key_bytes(keys)), "repeated": F.count_if(F.col("n") > 1)},
+        batch.where(all_set(keys)).groupBy(*key_names).agg(F.expr("count(1) as n")),
+        keep="true",
+        stats={"bytes": f"sum({key_bytes(keys)})", "repeated": "count_if(n > 1)"},
         label="batch-keys",
     )
     if unique and stats["repeated"]:
         raise ValueError(f"{operator}: {stats['repeated']} keys occur more than once in the batch")
-    batch_keys = batch_keys.select(*key_refs)
+    batch_keys = batch_keys.select(*key_names)
     if stats["bytes"] <= limits.broadcast_bytes:
         return keyed_join(target, batch_keys, keys, "left_anti", stats["bytes"], None, "n", 1, limits)
 
     # Too many keys to broadcast: find the target's hot keys, so that their rows can be spread.
-    sizes = target.where(all_set(keys)).groupBy(*key_refs).agg(F.count(F.lit(1)).alias("n"))
-    total = target.count()
-    per_slice = limits.rows_per_slice(total)
+    per_slice = limits.rows_per_slice(target.count())
     hot, found = pin(
-        sizes, keep=F.col("n") > per_slice, stats={"hot": sum_where(F.col("n") > per_slice, F.lit(1))}, label="hot-keys"
+        target.where(all_set(keys)).groupBy(*key_names).agg(F.expr("count(1) as n")),
+        keep=f"n > {per_slice}",
+        stats={"keys": f"count_if(n > {per_slice})"},
+        label="hot-keys",
     )
     kept = keyed_join(
         target.where(all_set(keys)),
@@ -52,12 +52,12 @@ def _untouched(
         keys,
         "left_anti",
         stats["bytes"],
-        hot if found["hot"] else None,
+        hot if found["keys"] else None,
         "n",
         per_slice,
         limits,
     )
-    return kept.select(*[ref(c) for c in target.columns]).unionByName(target.where(any_null(keys)))
+    return kept.select(*[quoted(c) for c in target.columns]).unionByName(target.where(any_null(keys)))
 
 
 def upsert(

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import all_set, any_null, column_type, key_list, non_key_columns, ref, require_same_types
+from evenkeel.functions.columns import all_set, any_null, column_type, key_list, non_key_columns, quoted, ref, require_same_types
 from evenkeel.functions.hashing import value_digest
 from evenkeel.plans.keyed import (
     DEFAULT_LIMITS,
     Limits,
     fetch,
     key_bytes,
+    max_where,
     nothing,
     pin,
     replicate,
@@ -52,11 +51,11 @@ def watermark_slice(current: DataFrame, snapshot: DataFrame, column: str) -> Dat
     return current.where(ref(column) > watermark(snapshot, column))
 
 
-def _repeat(rows: DataFrame, times: Column) -> DataFrame:
-    """Each row ``times`` times, without ever building more than a step's worth of numbers."""
-    whole = rows.withColumn("_ek_left", F.explode(F.sequence(F.lit(0).cast("long"), times - 1, F.lit(_REPEAT_STEP).cast("long"))))
-    step = F.least(times - F.col("_ek_left"), F.lit(_REPEAT_STEP)).cast("long")
-    return whole.withColumn("_ek_one", F.explode(F.sequence(F.lit(1).cast("long"), step))).drop("_ek_left", "_ek_one")
+def _repeat(rows: DataFrame, times: str) -> DataFrame:
+    """Each row as often as the column ``times`` says, without ever building more than a step's worth of numbers."""
+    starts = rows.selectExpr("*", f"explode(sequence(0L, {times} - 1, {_REPEAT_STEP}L)) as _ek_start")
+    step = f"least({times} - _ek_start, {_REPEAT_STEP}L)"
+    return starts.selectExpr("*", f"explode(sequence(1L, {step})) as _ek_one").drop("_ek_start", "_ek_one")
 
 
 def changed_rows(
@@ -75,51 +74,44 @@ def changed_rows(
     keys = key_list(key_columns, "changed_rows")
     columns = list(compare_columns or non_key_columns(current, keys))
     require_same_types(current, snapshot, [*keys, *columns], "changed_rows")
-    key_refs = [ref(k) for k in keys]
+    key_names, names = [quoted(k) for k in keys], [quoted(c) for c in columns]
 
     def narrow(df: DataFrame, is_current: int) -> DataFrame:
         d1, d2 = value_digest(columns)
-        return df.select(
-            *key_refs,
-            d1.alias("_ek_d1"),
-            d2.alias("_ek_d2"),
-            F.lit(is_current).alias("_ek_c"),
-            F.lit(1 - is_current).alias("_ek_b"),
+        return df.selectExpr(
+            *key_names, f"{d1} as _ek_d1", f"{d2} as _ek_d2", f"{is_current} as _ek_c", f"{1 - is_current} as _ek_b"
         )
 
-    n_c, n_b = F.col("n_c"), F.col("n_b")
     profile = (
         narrow(current, 1)
         .unionByName(narrow(snapshot.where(all_set(keys)), 0))
-        .groupBy(*key_refs)
+        .groupBy(*key_names)
         .agg(
-            F.sum("_ek_c").alias("n_c"),
-            F.sum("_ek_b").alias("n_b"),
-            (
-                (F.min("_ek_d1") == F.max("_ek_d1")) & (F.min("_ek_d2") == F.max("_ek_d2"))
-            ).alias("alike"),
+            F.expr("sum(_ek_c) as n_c"),
+            F.expr("sum(_ek_b) as n_b"),
+            F.expr("min(_ek_d1) = max(_ek_d1) and min(_ek_d2) = max(_ek_d2) as alike"),
         )
     )
-    wanted = (n_c > 0) & all_set(keys) & ((n_b == 0) | ~F.col("alike"))
+    wanted = f"(n_c > 0 and {all_set(keys)} and (n_b = 0 or not alike))"
     picked, stats = pin(
         profile,
         keep=wanted,
         stats={
-            "current_rows": F.sum(n_c),
-            "snapshot_rows": F.sum(n_b),
-            "null_key_rows": sum_where(any_null(keys), n_c),
-            "picked_keys": F.count_if(wanted),
+            "current_rows": "sum(n_c)",
+            "snapshot_rows": "sum(n_b)",
+            "null_key_rows": sum_where(any_null(keys), "n_c"),
+            "picked_keys": f"count_if{wanted}",
             "picked_bytes": sum_where(wanted, key_bytes(keys)),
-            "heaviest_current": F.max(F.when(wanted, n_c)),
-            "heaviest_snapshot": F.max(F.when(wanted, n_b)),
+            "heaviest_current": max_where(wanted, "n_c"),
+            "heaviest_snapshot": max_where(wanted, "n_b"),
         },
         label="changed-rows",
     )
 
     def rows_of(df: DataFrame, weight: str, side: str) -> DataFrame:
         return fetch(
-            df.where(all_set(keys)).select(*key_refs, *[ref(c) for c in columns]),
-            picked.where(F.col(weight) > 0).select(*key_refs, "n_c", "n_b"),
+            df.where(all_set(keys)).select(*key_names, *names),
+            picked.where(f"{weight} > 0").select(*key_names, "n_c", "n_b"),
             keys,
             weight,
             stats["picked_bytes"],
@@ -131,28 +123,22 @@ def changed_rows(
     ours = rows_of(current, "n_c", "current")
     theirs = (
         rows_of(snapshot, "n_b", "snapshot")
-        .groupBy(*key_refs, *[ref(c) for c in columns])
-        .agg(F.max("n_c").alias("_ek_n_c"), F.count(F.lit(1)).alias("_ek_copies"))
-        .select(
-            *key_refs,
-            *[ref(c).alias(f"_ek_b{i}") for i, c in enumerate(columns)],
-            "_ek_n_c",
-            "_ek_copies",
-        )
+        .groupBy(*key_names, *names)
+        .agg(F.expr("max(n_c) as _ek_n_c"), F.expr("count(1) as _ek_copies"))
+        .selectExpr(*key_names, *[f"{c} as _ek_b{i}" for i, c in enumerate(names)], "_ek_n_c", "_ek_copies")
     )
     per_slice = limits.rows_per_slice(stats["current_rows"])
     on = list(keys)
     if stats["heaviest_current"] > per_slice:
-        ours = spread(ours, n_c, per_slice)
-        theirs = replicate(theirs, F.col("_ek_n_c"), per_slice)
+        ours = spread(ours, "n_c", per_slice)
+        theirs = replicate(theirs, "_ek_n_c", per_slice)
         on.append("_ek_slice")
-    differs = reduce(or_, [~ref(c).eqNullSafe(F.col(f"_ek_b{i}")) for i, c in enumerate(columns)], F.lit(False))
-    copies = F.coalesce(F.col("_ek_copies"), F.lit(1).cast("long"))
-    matched = ours.join(theirs, on, "left").where(F.col("_ek_copies").isNull() | differs)
-    output = [*key_refs, *[ref(c) for c in columns]]
-    found = _repeat(matched.select(*output, copies.alias("_ek_copies")), F.col("_ek_copies")).select(*output)
+    differs = "".join(f" or not ({c} <=> _ek_b{i})" for i, c in enumerate(names))
+    matched = ours.join(theirs, on, "left").where(f"_ek_copies is null{differs}")
+    copies = matched.selectExpr(*key_names, *names, "coalesce(_ek_copies, 1L) as _ek_copies")
+    found = _repeat(copies, "_ek_copies").drop("_ek_copies")
     if stats["picked_keys"] == 0:
         found = nothing(found)
     if stats["null_key_rows"]:
-        found = found.unionByName(current.where(any_null(keys)).select(*output))
+        found = found.unionByName(current.where(any_null(keys)).select(*key_names, *names))
     return found

@@ -22,7 +22,7 @@ def key_stats(df: DataFrame, key_columns: str | Sequence[str]) -> DataFrame:
     keys = key_list(key_columns, "key_stats")
     first, second = key_digest(df, keys, plain_columns(df, df, keys))
     counts = (
-        df.select(first.alias("k1"), second.alias("k2"))
+        df.selectExpr(f"{first} as k1", f"{second} as k2")
         .groupBy("k1", "k2")
         .agg(F.count(F.lit(1)).alias("n"))
     )

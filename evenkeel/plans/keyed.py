@@ -16,10 +16,10 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import ref
+from evenkeel.functions.columns import quoted
 
 
 @dataclass(frozen=True)
@@ -67,42 +67,47 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/evenkeel/{label}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, keep: Column, stats: dict[str, Column], label: str) -> tuple[DataFrame, dict[str, int]]:
+def pin(df: DataFrame, keep: str, stats: dict[str, str], label: str) -> tuple[DataFrame, dict[str, int]]:
     """Write the rows of ``df`` where ``keep`` holds, and measure all of ``df``, in one job."""
     spark = df.sparkSession
     seen = Observation()
     path = scratch_path(spark, label)
-    measured = [F.coalesce(expr, F.lit(0)).alias(name) for name, expr in stats.items()]
+    measured = [F.expr(f"coalesce({expr}, 0) as {name}") for name, expr in stats.items()]
     df.observe(seen, *measured).where(keep).write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
-    return kept, {name: int(seen.get[name] or 0) for name in stats}
+    found = seen.get
+    return kept, {name: int(found[name]) for name in stats}
 
 
-def key_bytes(keys: list[str]) -> Column:
+def key_bytes(keys: list[str]) -> str:
     """Estimated broadcast bytes of one key set row."""
-    texts = [F.coalesce(F.octet_length(ref(k).cast("string")), F.lit(0)) for k in keys]
-    return sum(texts, F.lit(ROW_OVERHEAD_BYTES)).cast("long")
+    texts = "".join(f" + coalesce(octet_length(cast({quoted(k)} as string)), 0)" for k in keys)
+    return f"cast({ROW_OVERHEAD_BYTES}{texts} as bigint)"
 
 
-def sum_where(condition: Column, value: Column) -> Column:
-    return F.sum(F.when(condition, value))
+def sum_where(condition: str, value: str) -> str:
+    return f"sum(case when {condition} then {value} end)"
 
 
-def _slice_count(weight: Column, per_slice: int) -> Column:
-    return F.greatest(F.ceil(weight / F.lit(per_slice)), F.lit(1)).cast("int")
+def max_where(condition: str, value: str) -> str:
+    return f"max(case when {condition} then {value} end)"
 
 
-def spread(rows: DataFrame, weight: Column, per_slice: int) -> DataFrame:
+def _slice_count(weight: str, per_slice: int) -> str:
+    return f"cast(greatest(ceil({weight} / {per_slice}), 1) as int)"
+
+
+def spread(rows: DataFrame, weight: str, per_slice: int) -> DataFrame:
     """Give every row of a hot key one of the key's slices.
 
     The slice follows the input partition, so a repeated task assigns the same slices.
     """
-    return rows.withColumn(_SLICE, F.pmod(F.spark_partition_id(), _slice_count(weight, per_slice)))
+    return rows.selectExpr("*", f"pmod(spark_partition_id(), {_slice_count(weight, per_slice)}) as {_SLICE}")
 
 
-def replicate(rows: DataFrame, weight: Column, per_slice: int) -> DataFrame:
+def replicate(rows: DataFrame, weight: str, per_slice: int) -> DataFrame:
     """Repeat a key's row once per slice; in total at most ``rows + total_rows / per_slice`` rows."""
-    return rows.withColumn(_SLICE, F.explode(F.sequence(F.lit(0), _slice_count(weight, per_slice) - 1)))
+    return rows.selectExpr("*", f"explode(sequence(0, {_slice_count(weight, per_slice)} - 1)) as {_SLICE}")
 
 
 def keyed_join(
@@ -124,11 +129,11 @@ def keyed_join(
         return rows.join(F.broadcast(picked), on, how)
     if hot is None:
         return rows.join(picked, on, how)
-    lookup = hot.select(*[ref(k) for k in on], ref(hot_weight).alias(_WEIGHT))
-    rows = spread(rows.join(F.broadcast(lookup), on, "left"), F.coalesce(ref(_WEIGHT), F.lit(1)), per_slice)
-    picked = replicate(picked.join(F.broadcast(lookup), on, "left"), F.coalesce(ref(_WEIGHT), F.lit(1)), per_slice)
-    joined = rows.drop(_WEIGHT).join(picked.drop(_WEIGHT), [*on, _SLICE], how)
-    return joined.drop(_SLICE)
+    lookup = F.broadcast(hot.selectExpr(*[quoted(k) for k in on], f"{hot_weight} as {_WEIGHT}"))
+    weight = f"coalesce({_WEIGHT}, 1)"
+    rows = spread(rows.join(lookup, on, "left"), weight, per_slice).drop(_WEIGHT)
+    picked = replicate(picked.join(lookup, on, "left"), weight, per_slice).drop(_WEIGHT)
+    return rows.join(picked, [*on, _SLICE], how).drop(_SLICE)
 
 
 def fetch(
@@ -143,10 +148,10 @@ def fetch(
 ) -> DataFrame:
     """Full rows of the picked keys. ``weight`` is the number of rows a key has in ``rows``."""
     per_slice = limits.rows_per_slice(total_rows)
-    hot = picked.where(ref(weight) > per_slice) if heaviest > per_slice else None
+    hot = picked.where(f"{weight} > {per_slice}") if heaviest > per_slice else None
     return keyed_join(rows, picked, on, "inner", picked_bytes, hot, weight, per_slice, limits)
 
 
 def nothing(df: DataFrame) -> DataFrame:
     """The same columns without rows; the planner drops everything below."""
-    return df.where(F.lit(False))
+    return df.where("false")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -188,7 +190,10 @@ def _required(value: str | None, what: str, test: Row) -> str:
 
 
 def _store_failures(store: TableStore, log: str, failures: DataFrame, run: dict[str, str]) -> None:
-    """Write a comparison's rows once, behind the columns that identify the run."""
+    """Write a comparison's rows once, behind the columns that identify the run.
+
+    The first append creates the table, also when there is no failing row.
+    """
     stamped = failures.select(
         F.lit(run["execution_id"]).alias("execution_id"),
         F.lit(run["audit_run_id"]).alias("audit_run_id"),
@@ -196,10 +201,15 @@ def _store_failures(store: TableStore, log: str, failures: DataFrame, run: dict[
         F.current_timestamp().alias("run_at"),
         "*",
     )
-    store.ensure_log(log, stamped.schema)
     store.append_log(log, stamped)
 
 
+def _one_row(spark: SparkSession, schema: T.StructType, values: Mapping) -> DataFrame:
+    """A single log row."""
+    cells = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0, 1, 1, 1).select(*cells)
+
+
 def _run_full(models: _Models, test: Row, limits: Limits) -> tuple[DataFrame, dict]:
     expected = _required(test.test_query_model, "test_query_model", test)
     found = compare_full(
@@ -226,7 +236,7 @@ def _run_full(models: _Models, test: Row, limits: Limits) -> tuple[DataFrame, di
         "rows_compared": stats["source_rows"],
         "unique_keys_compared": stats["unique_keys"],
         "duplicate_groups_count": stats["duplicate_groups"],
-        "duplicate_rows_count": stats["duplicate_rows"],
+        "duplicate_rows_count": stats["source_duplicates"],
         "total_anomalies_count": stats["total_anomalies"],
         "missing_in_target_count": stats["missing_in_target"],
         "missing_in_source_count": stats["missing_in_source"],
@@ -277,6 +287,39 @@ _RUNNERS = {FULL: _run_full, DELTA: _run_delta, DELETE: _run_delete}
 _COUNTS = [f.name for f in ANOMALY_SCHEMA if f.name.endswith("_count")]
 
 
+def _check_test(test: Row) -> None:
+    if not test["keys"]:
+        raise ValueError(
+            f"validation suite: key_column is empty for model_name={test.model_name}, test_type={test.test_type}"
+        )
+    if test.test_type not in _RUNNERS:
+        raise ValueError(
+            f"validation suite: unsupported test_type={test.test_type} for model_name={test.model_name}; "
+            f"allowed: {', '.join(_RUNNERS)}"
+        )
+
+
+def _log_rows(test: Row, run: dict[str, str], measured: dict, started: datetime, ended: datetime) -> tuple[dict, dict]:
+    """The audit row and the anomaly row of one finished test."""
+    counts = {name: 0 for name in _COUNTS} | {k: v for k, v in measured.items() if k in _COUNTS}
+    unique_keys = measured.get("unique_keys_compared")
+    unmatched = counts["missing_in_target_count"] + counts["missing_in_source_count"] + counts["value_mismatch_count"]
+    common = run | {
+        "audit_ts": ended.replace(tzinfo=None),
+        "status": MISMATCH if counts["total_anomalies_count"] > 0 else MATCH,
+        "load_type": test.load_type,
+    }
+    audit = common | measured | {
+        "test_type": test.test_type,
+        "match_count": None if unique_keys is None else unique_keys - unmatched,
+        "anomaly_count": counts["total_anomalies_count"],
+        "delta_new_count": counts["delta_new_count"],
+        "delta_updated_count": counts["delta_updated_count"],
+        "execution_duration_ms": int((ended - started).total_seconds() * 1000),
+    }
+    return audit, common | counts | {"test_query_model": test.test_query_model, "compare_mode": test.test_type}
+
+
 def run_suite(
     store: TableStore,
     config: DataFrame,
@@ -285,32 +328,30 @@ def run_suite(
     model_name: str | None = None,
     model_name_like: str | None = None,
     test_type: str | None = None,
+    parallel: int = 4,
     limits: Limits = DEFAULT_LIMITS,
 ) -> SuiteRun:
-    """Run every configured test in order of model and test type.
+    """Run every configured test; number and log them in order of model and test type.
 
-    Each test is a few Spark jobs: a narrow pass over its tables, which also yields all counts, and one write of
-    the failing rows. Only the configuration and those counts come to the driver. ``relations`` maps model
-    names to DataFrames (or functions that make them); other names are tables of the store.
+    Each test is a few Spark jobs: a narrow pass over its tables, which also yields its counts, and one write of
+    the failing rows. Only the configuration and those counts come to the driver. Up to ``parallel`` tests submit
+    their jobs at the same time, so that small tables do not leave a cluster idle. ``relations`` maps model names
+    to DataFrames (or functions that make them); other names are tables of the store. A test that cannot run
+    stops the suite; the tests before it stay logged.
     """
     spark = store.spark
     models = _Models(store, relations or {})
     audit_run_id = f"{datetime.now(UTC):%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
-    store.ensure_log(AUDIT_LOG, AUDIT_SCHEMA)
-    store.ensure_log(ANOMALY_LOG, ANOMALY_SCHEMA)
     chosen = parse_config(filter_config(config, model_name, model_name_like, test_type), column_lists)
-    executions = []
-    for number, test in enumerate(chosen.orderBy("model_name", "test_type").collect(), start=1):
+    tests = chosen.orderBy("model_name", "test_type").collect()
+    if not tests:
+        store.ensure_log(AUDIT_LOG, AUDIT_SCHEMA)
+        store.ensure_log(ANOMALY_LOG, ANOMALY_SCHEMA)
+    one_writer = {(t.test_type, t.model_name): threading.Lock() for t in tests}
+
+    def execute(number: int, test: Row) -> tuple[dict, dict, dict]:
         started = datetime.now(UTC)
-        if not test["keys"]:
-            raise ValueError(
-                f"validation suite: key_column is empty for model_name={test.model_name}, test_type={test.test_type}"
-            )
-        if test.test_type not in _RUNNERS:
-            raise ValueError(
-                f"validation suite: unsupported test_type={test.test_type} for model_name={test.model_name}; "
-                f"allowed: {', '.join(_RUNNERS)}"
-            )
+        _check_test(test)
         run = {
             "audit_run_id": audit_run_id,
             "execution_id": f"{audit_run_id}_{number}",
@@ -318,41 +359,30 @@ def run_suite(
         }
         failures, measured = _RUNNERS[test.test_type](models, test, limits)
         log = failure_log(test.test_type, test.model_name)
-        _store_failures(store, log, failures, run)
-
-        counts = {name: 0 for name in _COUNTS} | {k: v for k, v in measured.items() if k in _COUNTS}
-        unique_keys = measured.get("unique_keys_compared")
-        unmatched = (
-            counts["missing_in_target_count"] + counts["missing_in_source_count"] + counts["value_mismatch_count"]
-        )
-        ended = datetime.now(UTC)
-        common = run | {
-            "audit_ts": ended.replace(tzinfo=None),
-            "status": MISMATCH if counts["total_anomalies_count"] > 0 else MATCH,
-            "load_type": test.load_type,
-        }
-        audit = common | measured | {
+        with one_writer[test.test_type, test.model_name]:
+            _store_failures(store, log, failures, run)
+        audit, anomaly = _log_rows(test, run, measured, started, datetime.now(UTC))
+        outcome = {
             "test_type": test.test_type,
-            "match_count": None if unique_keys is None else unique_keys - unmatched,
-            "anomaly_count": counts["total_anomalies_count"],
-            "delta_new_count": counts["delta_new_count"],
-            "delta_updated_count": counts["delta_updated_count"],
-            "execution_duration_ms": int((ended - started).total_seconds() * 1000),
+            "status": audit["status"],
+            "failure_log": log,
+            "keys": list(test["keys"]),
+            "columns": list(test["columns"]),
         }
-        anomaly = common | counts | {"test_query_model": test.test_query_model, "compare_mode": test.test_type}
-        for name, schema, row in ((AUDIT_LOG, AUDIT_SCHEMA, audit), (ANOMALY_LOG, ANOMALY_SCHEMA, anomaly)):
-            values = tuple(row.get(field.name) for field in schema)
-            store.append_log(name, spark.createDataFrame([values], schema).coalesce(1))
-        executions.append(
-            run
-            | {
-                "test_type": test.test_type,
-                "status": common["status"],
-                "failure_log": log,
-                "keys": list(test["keys"]),
-                "columns": list(test["columns"]),
-            }
-        )
+        return audit, anomaly, run | outcome
+
+    executions = []
+    with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
+        pending = [pool.submit(execute, number, test) for number, test in enumerate(tests, start=1)]
+        try:
+            for future in pending:
+                audit, anomaly, execution = future.result()
+                store.append_log(AUDIT_LOG, _one_row(spark, AUDIT_SCHEMA, audit))
+                store.append_log(ANOMALY_LOG, _one_row(spark, ANOMALY_SCHEMA, anomaly))
+                executions.append(execution)
+        finally:
+            for future in pending:
+                future.cancel()
     return SuiteRun(audit_run_id, executions)
 
 
