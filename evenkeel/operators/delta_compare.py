@@ -172,9 +172,13 @@ def compare_delta(
         one, two, three = (text_literal(part) for part in parts)
         return f"concat({one}, {first}, {two}, {second}, {three})"
 
-    differing = "".join(
-        f", case when not (v.c{i} <=> b.c{i}) then {text_literal(c)} end" for i, c in enumerate(columns)
-    )
+    def same(column: str, place: int) -> str:
+        one, other = f"v.c{place}", f"b.c{place}"
+        if column not in orderable:
+            one, other = f"cast({one} as string)", f"cast({other} as string)"
+        return f"{one} <=> {other}"
+
+    differing = "".join(f", case when not ({same(c, i)}) then {text_literal(c)} end" for i, c in enumerate(columns))
     no_match = pairs_are("0") if columns else "true"
     pairs_text = f"case when large_pairs is null then cast(small_pairs as string) else cast({all_pairs} as string) end"
     changes = (
