@@ -112,36 +112,49 @@ def compare_full(
     stats["total_anomalies"] = sum(per_type.values())
     picked_bytes = stats["picked_keys"] * ROW_OVERHEAD_BYTES
 
-    def side(df: DataFrame, name: str, mine: str, theirs: str, marker: int) -> DataFrame:
-        """Rows of one table that are reported alone, or as half of a differing pair.
+    pair = "(n_s = 1 and n_t = 1)"
+    lone = {"source": "(n_s > 1 or (n_s = 1 and n_t = 0))", "target": "(n_t > 1 or (n_t = 1 and n_s = 0))"}
 
-        Lone rows get a join token that the other side never has, so that they cannot pair up and the rows
-        of one hot key do not meet in one partition.
-        """
+    def side(df: DataFrame, name: str, wanted: str) -> DataFrame:
+        """Rows of one table whose keys meet a condition on the profile."""
         key1, key2 = key_digest(df, keys, plain)
+        weight = "n_s" if name == "source" else "n_t"
         payload = [f"{quoted(k)} as _ek_{name}_key{i}" for i, k in enumerate(keys)]
         payload += [f"{quoted(c)} as {quoted(f'{name}_{c}')}" for c in columns]
         found = fetch(
             df.selectExpr(f"{key1} as {_KEY[0]}", f"{key2} as {_KEY[1]}", *payload),
-            picked.where(f"{mine} > 1 or ({mine} = 1 and {theirs} <= 1)").select(*_KEY, "n_s", "n_t"),
+            picked.where(wanted).select(*_KEY, "n_s", "n_t"),
             _KEY,
-            mine,
+            weight,
             picked_bytes,
             stats[f"heaviest_{name}"],
             stats[f"{name}_rows"],
             limits,
         )
+        # Lone rows get a token that the other side never has: they cannot pair up, and the rows of one hot key
+        # do not meet in one partition.
+        alone = f"spark_partition_id() * 2 + {int(name == 'source')}"
         return found.selectExpr(
             *_KEY,
-            f"case when n_s = 1 and n_t = 1 then -1 else spark_partition_id() * 2 + {marker} end as {_SIDE}",
-            f"{mine} as _ek_{name}_rows",
+            f"case when {pair} then -1 else {alone} end as {_SIDE}",
+            f"{weight} as _ek_{name}_rows",
             *[f"_ek_{name}_key{i}" for i in range(len(keys))],
             *[quoted(f"{name}_{c}") for c in columns],
         )
 
-    paired = side(source, "source", "n_s", "n_t", 0).join(
-        side(target, "target", "n_t", "n_s", 1), [*_KEY, _SIDE], "full"
-    )
+    lone_rows = stats["total_anomalies"] - stats["value_mismatch"]
+    if lone_rows > limits.reread_share * (stats["source_rows"] + stats["target_rows"]):
+        # Many lone rows: reading the tables once more for the pairs is cheaper than shuffling them all.
+        paired = side(source, "source", lone["source"]).unionByName(
+            side(target, "target", lone["target"]), allowMissingColumns=True
+        )
+        if stats["value_mismatch"]:
+            pairs = side(source, "source", pair).join(side(target, "target", pair), [*_KEY, _SIDE])
+            paired = paired.unionByName(pairs, allowMissingColumns=True)
+    else:
+        paired = side(source, "source", f"{lone['source']} or {pair}").join(
+            side(target, "target", f"{lone['target']} or {pair}"), [*_KEY, _SIDE], "full"
+        )
     if stats["picked_keys"] == 0:
         paired = nothing(paired)
 

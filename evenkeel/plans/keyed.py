@@ -30,11 +30,14 @@ class Limits:
     ``hot_rows``         a key with more rows than this is hot (raised on very large tables, see below).
     ``hot_keys``         most keys that can be hot: the bound is ``total_rows / hot_keys`` rows, so the
                          broadcast list of hot keys can never hold more entries than this.
+    ``reread_share``     share of rows to report beyond which a table is read a second time rather than
+                         shuffling those rows.
     """
 
     broadcast_bytes: int = 64 << 20
     hot_rows: int = 1_000_000
     hot_keys: int = 100_000
+    reread_share: float = 0.1
 
     def rows_per_slice(self, total_rows: int) -> int:
         return max(self.hot_rows, math.ceil(total_rows / self.hot_keys), 1)

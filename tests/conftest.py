@@ -8,8 +8,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from evenkeel import DEFAULT_LIMITS, Limits  # noqa: E402
 
-# Every key set is too large to broadcast and every key with more than two rows is hot.
-TIGHT_LIMITS = Limits(broadcast_bytes=0, hot_rows=2, hot_keys=10**9)
+# Every key set is too large to broadcast, every key with more than two rows is hot, tables are never read again.
+TIGHT_LIMITS = Limits(broadcast_bytes=0, hot_rows=2, hot_keys=10**9, reread_share=9)
 
 
 @pytest.fixture(scope="session")

@@ -55,6 +55,13 @@ def test_small_key_sets_filter_the_table_where_it_is_read(spark):
     assert not any(word in plan for word in FORBIDDEN)
 
 
+def test_many_lone_rows_are_not_shuffled(spark):
+    source, target = recipes.lineitem_pair(spark, SF_DIR)
+    plan = plan_of(full_compare(source, target.select(*source.columns).where("l_tax < 0"), "l_orderkey"))
+    assert exchanges(plan) == 0
+    assert not any(word in plan for word in FORBIDDEN)
+
+
 @pytest.mark.parametrize("hot_rows", [1, 10**9])
 def test_large_key_sets_are_not_broadcast(spark, hot_rows):
     after, before = recipes.orders_load(spark, SF_DIR)
