@@ -57,7 +57,8 @@ def _profile(view: DataFrame, before: DataFrame, keys: list[str], columns: list[
     """Per key: rows on each side and the number of (view row, before row) pairs with equal content.
 
     Rows are first counted per (key, content), so neither equal copies nor a key with many different
-    contents meet in one task; the second step combines those counts map-side before its shuffle.
+    contents meet in one task; the second step combines those counts map-side before its shuffle. The pairs of
+    frequent contents are summed apart, as decimals (null: there are none).
     """
     plain = plain_columns(view, before, columns)
     key_names = [quoted(k) for k in keys]
@@ -72,15 +73,15 @@ def _profile(view: DataFrame, before: DataFrame, keys: list[str], columns: list[
         narrow(view, 1)
         .unionByName(narrow(before, 0))
         .groupBy(*key_names, "_ek_r1", "_ek_r2")
-        .agg(F.expr("sum(_ek_v) as n_v"), F.expr("sum(_ek_b) as n_b"))
+        .agg(F.expr("sum(_ek_v) as _ek_n_v"), F.expr("sum(_ek_b) as _ek_n_b"))
     )
-    small = f"n_v <= {_SMALL} and n_b <= {_SMALL}"
-    product = f"cast(n_v as {_WIDE}) * cast(n_b as {_WIDE})"
+    small = f"_ek_n_v <= {_SMALL} and _ek_n_b <= {_SMALL}"
+    product = f"cast(_ek_n_v as {_WIDE}) * cast(_ek_n_b as {_WIDE})"
     return contents.groupBy(*key_names).agg(
-        F.expr("sum(n_v) as n_v"),
-        F.expr("sum(n_b) as n_b"),
-        F.expr(f"coalesce(sum(case when {small} then n_v * n_b end), 0) as small_pairs"),
-        F.expr(f"cast(sum(case when not ({small}) then {product} end) as {_WIDE}) as large_pairs"),
+        F.expr("sum(_ek_n_v) as _ek_n_v"),
+        F.expr("sum(_ek_n_b) as _ek_n_b"),
+        F.expr(f"coalesce(sum(case when {small} then _ek_n_v * _ek_n_b end), 0) as _ek_small_pairs"),
+        F.expr(f"cast(sum(case when not ({small}) then {product} end) as {_WIDE}) as _ek_large_pairs"),
     )
 
 
@@ -98,38 +99,38 @@ def compare_delta(
     view, before = view.where(all_set(keys)), before.where(all_set(keys))
     key_names = [quoted(k) for k in keys]
 
-    all_pairs = f"(large_pairs + cast(small_pairs as {_WIDE}))"
+    all_pairs = f"(_ek_large_pairs + cast(_ek_small_pairs as {_WIDE}))"
 
     def pairs_are(number: str) -> str:
-        return f"(case when large_pairs is null then small_pairs = {number} else {all_pairs} = {number} end)"
+        return f"(case when _ek_large_pairs is null then _ek_small_pairs = {number} else {all_pairs} = {number} end)"
 
-    single = "(n_v = 1 and n_b = 1)"
-    repeated = "(n_v > 1 or n_b > 1)"
+    single = "(_ek_n_v = 1 and _ek_n_b = 1)"
+    repeated = "(_ek_n_v > 1 or _ek_n_b > 1)"
     if columns:
-        unequal = f"(case when {single} then small_pairs = 0 else not ({pairs_are('n_v')} and {pairs_are('n_b')}) end)"
+        unequal = f"(case when {single} then _ek_small_pairs = 0 else not ({pairs_are('_ek_n_v')} and {pairs_are('_ek_n_b')}) end)"
     else:
         unequal = repeated
-    is_new = "(n_v > 0 and n_b = 0)"
-    is_updated = f"(n_v > 0 and n_b > 0 and {unequal})"
+    is_new = "(_ek_n_v > 0 and _ek_n_b = 0)"
+    is_updated = f"(_ek_n_v > 0 and _ek_n_b > 0 and {unequal})"
     changed = f"({is_new} or {is_updated})"
 
     picked, stats = pin(
         _profile(view, before, keys, columns),
         keep=changed,
         stats={
-            "view_rows": "sum(n_v)",
-            "before_rows": "sum(n_b)",
+            "view_rows": "sum(_ek_n_v)",
+            "before_rows": "sum(_ek_n_b)",
             "new": f"count_if{is_new}",
             "updated": f"count_if{is_updated}",
             "picked_bytes": sum_where(changed, key_bytes(keys)),
-            "heaviest_view": max_where(changed, "n_v"),
-            "heaviest_before": max_where(changed, "n_b"),
+            "heaviest_view": max_where(changed, "_ek_n_v"),
+            "heaviest_before": max_where(changed, "_ek_n_b"),
         },
         label="delta-compare",
     )
     stats["total_changes"] = stats["new"] + stats["updated"]
 
-    counts = ["n_v", "n_b", "small_pairs", "large_pairs"]
+    counts = ["_ek_n_v", "_ek_n_b", "_ek_small_pairs", "_ek_large_pairs"]
     orderable = [c for c in columns if _orderable(column_type(view, c))]
 
     def side(df: DataFrame, name: str, weight: str) -> DataFrame:
@@ -155,17 +156,17 @@ def compare_delta(
         )
 
     # One row per key and side; for a repeated key the row with the smallest (hash, columns) stands for all.
-    both = side(view, "view", "n_v").unionByName(side(before, "before", "n_b"))
+    both = side(view, "view", "_ek_n_v").unionByName(side(before, "before", "_ek_n_b"))
     if stats["total_changes"] == 0:
         both = nothing(both)
     view_rank = "case when _ek_side = 'view' then _ek_rank end"
     before_rank = "case when _ek_side = 'before' then _ek_rank end"
     grouped = both.groupBy(*key_names).agg(
         *[F.expr(f"max({c}) as {c}") for c in counts],
-        F.expr(f"min_by(_ek_payload, {view_rank}) as v"),
-        F.expr(f"min_by(_ek_payload, {before_rank}) as b"),
-        F.expr(f"min({view_rank}) as v_rank"),
-        F.expr(f"min({before_rank}) as b_rank"),
+        F.expr(f"min_by(_ek_payload, {view_rank}) as _ek_v"),
+        F.expr(f"min_by(_ek_payload, {before_rank}) as _ek_b"),
+        F.expr(f"min({view_rank}) as _ek_v_rank"),
+        F.expr(f"min({before_rank}) as _ek_b_rank"),
     )
 
     def message(parts: tuple[str, str, str], first: str, second: str) -> str:
@@ -173,33 +174,33 @@ def compare_delta(
         return f"concat({one}, {first}, {two}, {second}, {three})"
 
     def same(column: str, place: int) -> str:
-        one, other = f"v.c{place}", f"b.c{place}"
+        one, other = f"_ek_v.c{place}", f"_ek_b.c{place}"
         if column not in orderable:
             one, other = f"cast({one} as string)", f"cast({other} as string)"
         return f"{one} <=> {other}"
 
     differing = "".join(f", case when not ({same(c, i)}) then {text_literal(c)} end" for i, c in enumerate(columns))
     no_match = pairs_are("0") if columns else "true"
-    pairs_text = f"case when large_pairs is null then cast(small_pairs as string) else cast({all_pairs} as string) end"
+    pairs_text = f"case when _ek_large_pairs is null then cast(_ek_small_pairs as string) else cast({all_pairs} as string) end"
     changes = (
-        f"case when n_v = 1 and n_b = 0 then {text_literal(NEW)} when n_b = 0 then {text_literal(NEW_DUPLICATE_TEXT)} "
+        f"case when _ek_n_v = 1 and _ek_n_b = 0 then {text_literal(NEW)} when _ek_n_b = 0 then {text_literal(NEW_DUPLICATE_TEXT)} "
         f"when {single} then concat_ws(', '{differing}) "
-        f"when {no_match} then {message(NO_MATCH_TEXT, 'n_v', 'n_b')} "
-        f"else {message(PARTIAL_MATCH_TEXT, pairs_text, 'n_v')} end"
+        f"when {no_match} then {message(NO_MATCH_TEXT, '_ek_n_v', '_ek_n_b')} "
+        f"else {message(PARTIAL_MATCH_TEXT, pairs_text, '_ek_n_v')} end"
     )
     values = []
     for i, c in enumerate(columns):
-        values += [f"v.c{i} as {quoted(f'after_delta_{c}')}", f"b.c{i} as {quoted(f'before_delta_{c}')}"]
+        values += [f"_ek_v.c{i} as {quoted(f'after_delta_{c}')}", f"_ek_b.c{i} as {quoted(f'before_delta_{c}')}"]
     rows = grouped.selectExpr(
         *key_names,
-        f"case when n_b = 0 then {text_literal(NEW)} else {text_literal(UPDATED)} end as change_type",
+        f"case when _ek_n_b = 0 then {text_literal(NEW)} else {text_literal(UPDATED)} end as change_type",
         f"case when {repeated} then {text_literal(DUPLICATE)} else {text_literal(UNIQUE)} end as key_classification",
         f"{changes} as columns_changed",
-        "v_rank.row_hash as after_delta_row_hash",
-        "b_rank.row_hash as before_delta_row_hash",
+        "_ek_v_rank.row_hash as after_delta_row_hash",
+        "_ek_b_rank.row_hash as before_delta_row_hash",
         *values,
         f"cast({stats['total_changes']} as bigint) as total_changes_count",
-        f"cast(case when n_b = 0 then {stats['new']} else {stats['updated']} end as bigint) as change_type_count",
+        f"cast(case when _ek_n_b = 0 then {stats['new']} else {stats['updated']} end as bigint) as change_type_count",
     )
     return DeltaComparison(rows, stats)
 

@@ -51,19 +51,19 @@ def compare_deletes(
     profile = (
         before_keys.unionByName(target_keys)
         .groupBy(*key_names)
-        .agg(F.expr("sum(_ek_b) as n_b"), F.expr("sum(_ek_t) as n_t"))
+        .agg(F.expr("sum(_ek_b) as _ek_n_b"), F.expr("sum(_ek_t) as _ek_n_t"))
     )
     # Keys with a null part never equal anything, so all their snapshot rows are reported.
-    gone = f"n_b > 0 and n_t = 0 and {all_set(keys)}"
+    gone = f"_ek_n_b > 0 and _ek_n_t = 0 and {all_set(keys)}"
     picked, stats = pin(
         profile,
         keep=gone,
         stats={
-            "before_rows": "sum(n_b)",
-            "null_key_rows": sum_where(any_null(keys), "n_b"),
-            "gone_rows": sum_where(gone, "n_b"),
+            "before_rows": "sum(_ek_n_b)",
+            "null_key_rows": sum_where(any_null(keys), "_ek_n_b"),
+            "gone_rows": sum_where(gone, "_ek_n_b"),
             "picked_bytes": sum_where(gone, key_bytes(keys)),
-            "heaviest_before": max_where(gone, "n_b"),
+            "heaviest_before": max_where(gone, "_ek_n_b"),
         },
         label="hard-delete",
     )
@@ -72,14 +72,14 @@ def compare_deletes(
     payload = before.select(*key_names, *[quoted(c) for c in columns])
     found = fetch(
         payload.where(all_set(keys)),
-        picked.select(*key_names, "n_b"),
+        picked.select(*key_names, "_ek_n_b"),
         keys,
-        "n_b",
+        "_ek_n_b",
         stats["picked_bytes"],
         stats["heaviest_before"],
         stats["before_rows"],
         limits,
-    ).drop("n_b")
+    ).drop("_ek_n_b")
     if stats["gone_rows"] == 0:
         found = nothing(found)
     if stats["null_key_rows"]:

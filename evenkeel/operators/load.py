@@ -27,23 +27,23 @@ def _untouched(
     require_same_types(target, batch, keys, operator)
     key_names = [quoted(k) for k in keys]
     batch_keys, stats = pin(
-        batch.where(all_set(keys)).groupBy(*key_names).agg(F.expr("count(1) as n")),
+        batch.where(all_set(keys)).groupBy(*key_names).agg(F.expr("count(1) as _ek_n")),
         keep="true",
-        stats={"bytes": f"sum({key_bytes(keys)})", "repeated": "count_if(n > 1)"},
+        stats={"bytes": f"sum({key_bytes(keys)})", "repeated": "count_if(_ek_n > 1)"},
         label="batch-keys",
     )
     if unique and stats["repeated"]:
         raise ValueError(f"{operator}: {stats['repeated']} keys occur more than once in the batch")
     batch_keys = batch_keys.select(*key_names)
     if stats["bytes"] <= limits.broadcast_bytes:
-        return keyed_join(target, batch_keys, keys, "left_anti", stats["bytes"], None, "n", 1, limits)
+        return keyed_join(target, batch_keys, keys, "left_anti", stats["bytes"], None, "_ek_n", 1, limits)
 
     # Too many keys to broadcast: find the target's hot keys, so that their rows can be spread.
     per_slice = limits.rows_per_slice(target.count())
     hot, found = pin(
-        target.where(all_set(keys)).groupBy(*key_names).agg(F.expr("count(1) as n")),
-        keep=f"n > {per_slice}",
-        stats={"keys": f"count_if(n > {per_slice})"},
+        target.where(all_set(keys)).groupBy(*key_names).agg(F.expr("count(1) as _ek_n")),
+        keep=f"_ek_n > {per_slice}",
+        stats={"keys": f"count_if(_ek_n > {per_slice})"},
         label="hot-keys",
     )
     kept = keyed_join(
@@ -53,7 +53,7 @@ def _untouched(
         "left_anti",
         stats["bytes"],
         hot if found["keys"] else None,
-        "n",
+        "_ek_n",
         per_slice,
         limits,
     )

@@ -87,23 +87,23 @@ def changed_rows(
         .unionByName(narrow(snapshot.where(all_set(keys)), 0))
         .groupBy(*key_names)
         .agg(
-            F.expr("sum(_ek_c) as n_c"),
-            F.expr("sum(_ek_b) as n_b"),
-            F.expr("min(_ek_d1) = max(_ek_d1) and min(_ek_d2) = max(_ek_d2) as alike"),
+            F.expr("sum(_ek_c) as _ek_n_c"),
+            F.expr("sum(_ek_b) as _ek_n_b"),
+            F.expr("min(_ek_d1) = max(_ek_d1) and min(_ek_d2) = max(_ek_d2) as _ek_alike"),
         )
     )
-    wanted = f"(n_c > 0 and {all_set(keys)} and (n_b = 0 or not alike))"
+    wanted = f"(_ek_n_c > 0 and {all_set(keys)} and (_ek_n_b = 0 or not _ek_alike))"
     picked, stats = pin(
         profile,
         keep=wanted,
         stats={
-            "current_rows": "sum(n_c)",
-            "snapshot_rows": "sum(n_b)",
-            "null_key_rows": sum_where(any_null(keys), "n_c"),
+            "current_rows": "sum(_ek_n_c)",
+            "snapshot_rows": "sum(_ek_n_b)",
+            "null_key_rows": sum_where(any_null(keys), "_ek_n_c"),
             "picked_keys": f"count_if{wanted}",
             "picked_bytes": sum_where(wanted, key_bytes(keys)),
-            "heaviest_current": max_where(wanted, "n_c"),
-            "heaviest_snapshot": max_where(wanted, "n_b"),
+            "heaviest_current": max_where(wanted, "_ek_n_c"),
+            "heaviest_snapshot": max_where(wanted, "_ek_n_b"),
         },
         label="changed-rows",
     )
@@ -111,7 +111,7 @@ def changed_rows(
     def rows_of(df: DataFrame, weight: str, side: str) -> DataFrame:
         return fetch(
             df.where(all_set(keys)).select(*key_names, *names),
-            picked.where(f"{weight} > 0").select(*key_names, "n_c", "n_b"),
+            picked.where(f"{weight} > 0").select(*key_names, "_ek_n_c", "_ek_n_b"),
             keys,
             weight,
             stats["picked_bytes"],
@@ -120,17 +120,17 @@ def changed_rows(
             limits,
         )
 
-    ours = rows_of(current, "n_c", "current")
+    ours = rows_of(current, "_ek_n_c", "current")
     theirs = (
-        rows_of(snapshot, "n_b", "snapshot")
+        rows_of(snapshot, "_ek_n_b", "snapshot")
         .groupBy(*key_names, *names)
-        .agg(F.expr("max(n_c) as _ek_n_c"), F.expr("count(1) as _ek_copies"))
+        .agg(F.expr("max(_ek_n_c) as _ek_n_c"), F.expr("count(1) as _ek_copies"))
         .selectExpr(*key_names, *[f"{c} as _ek_b{i}" for i, c in enumerate(names)], "_ek_n_c", "_ek_copies")
     )
     per_slice = limits.rows_per_slice(stats["current_rows"])
     on = list(keys)
     if stats["heaviest_current"] > per_slice:
-        ours = spread(ours, "n_c", per_slice)
+        ours = spread(ours, "_ek_n_c", per_slice)
         theirs = replicate(theirs, "_ek_n_c", per_slice)
         on.append("_ek_slice")
     differs = "".join(f" or not ({c} <=> _ek_b{i})" for i, c in enumerate(names))

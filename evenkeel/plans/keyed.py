@@ -34,7 +34,7 @@ class Limits:
                          shuffling those rows.
     """
 
-    broadcast_bytes: int = 64 << 20
+    broadcast_bytes: int = 256 << 20
     hot_rows: int = 1_000_000
     hot_keys: int = 100_000
     reread_share: float = 0.1
@@ -46,7 +46,7 @@ class Limits:
 DEFAULT_LIMITS = Limits()
 
 # Estimated bytes of one key set row in a broadcast hash table, without the key texts.
-ROW_OVERHEAD_BYTES = 100
+ROW_OVERHEAD_BYTES = 150
 
 _WEIGHT = "_ek_weight"
 _SLICE = "_ek_slice"

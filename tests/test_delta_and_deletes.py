@@ -191,3 +191,20 @@ def test_dropped_keys_are_exactly_the_deletes(spark, limits):
 def test_empty_snapshot(spark, limits):
     df = frame(spark, "A")
     assert hard_delete_compare(df, df.where("false"), "k", limits=limits).count() == 0
+
+
+def test_any_column_name_will_do(spark, limits):
+    schema = "n_b string, n_v int, v string, `a.b` string, `it's` string, pairs int"
+    one = spark.createDataFrame([("1", 1, "x", "p", "q", 1), ("2", 2, "y", "r", "s", 2)], schema)
+    two = spark.createDataFrame([("1", 1, "x", "p", "Q", 1), ("3", 2, "y", "r", "s", 2)], schema)
+    changes = delta_compare(one, two, ["n_b", "v"], limits=limits)
+    assert {(r.n_b, r.columns_changed) for r in changes.collect()} == {("1", "it's"), ("2", "NEW")}
+    assert "after_delta_a.b" in changes.columns
+    assert [r.n_b for r in hard_delete_compare(one, two, ["n_b", "v"], limits=limits).collect()] == ["3"]
+
+    from evenkeel import changed_rows, full_compare, upsert
+
+    found = full_compare(one, two, ["n_b", "v"], source_name="it's", limits=limits)
+    assert sorted(r.anomaly_type for r in found.collect()) == ["MISSING_IN_SOURCE", "MISSING_IN_TARGET", "VALUE_MISMATCH"]
+    assert changed_rows(one, two, ["n_b", "v"], limits=limits).count() == 2
+    assert upsert(one, two, ["n_b", "v"], limits=limits).count() == 3
