@@ -145,17 +145,18 @@ def compare_delta(
             stats[f"{name}_rows"],
             limits,
         )
-        payload = "".join(f", 'c{i}', {quoted(c)}" for i, c in enumerate(columns))
-        rank = "".join(f", 'o{i}', {quoted(c)}" for i, c in enumerate(orderable))
+        rank = "".join(f", 'c{i}', {quoted(c)}" for i, c in enumerate(columns) if c in orderable)
+        rest = "".join(f", 'c{i}', {quoted(c)}" for i, c in enumerate(columns) if c not in orderable)
         return found.selectExpr(
             *key_names,
             *counts,
             f"'{name}' as _ek_side",
-            f"named_struct('present', true{payload}) as _ek_payload",
             f"named_struct('row_hash', {row_hash(columns)}{rank}) as _ek_rank",
+            f"named_struct('side', '{name}'{rest}) as _ek_rest",
         )
 
     # One row per key and side; for a repeated key the row with the smallest (hash, columns) stands for all.
+    # Columns that have no order (maps) follow that row.
     both = side(view, "view", "_ek_n_v").unionByName(side(before, "before", "_ek_n_b"))
     if stats["total_changes"] == 0:
         both = nothing(both)
@@ -163,23 +164,27 @@ def compare_delta(
     before_rank = "case when _ek_side = 'before' then _ek_rank end"
     grouped = both.groupBy(*key_names).agg(
         *[F.expr(f"max({c}) as {c}") for c in counts],
-        F.expr(f"min_by(_ek_payload, {view_rank}) as _ek_v"),
-        F.expr(f"min_by(_ek_payload, {before_rank}) as _ek_b"),
         F.expr(f"min({view_rank}) as _ek_v_rank"),
         F.expr(f"min({before_rank}) as _ek_b_rank"),
+        F.expr(f"min_by(_ek_rest, {view_rank}) as _ek_v_rest"),
+        F.expr(f"min_by(_ek_rest, {before_rank}) as _ek_b_rest"),
     )
 
+    def value(side: str, place: int) -> str:
+        part = "rank" if columns[place] in orderable else "rest"
+        return f"_ek_{side}_{part}.c{place}"
+
     def message(parts: tuple[str, str, str], first: str, second: str) -> str:
         one, two, three = (text_literal(part) for part in parts)
         return f"concat({one}, {first}, {two}, {second}, {three})"
 
-    def same(column: str, place: int) -> str:
-        one, other = f"_ek_v.c{place}", f"_ek_b.c{place}"
-        if column not in orderable:
+    def same(place: int) -> str:
+        one, other = value("v", place), value("b", place)
+        if columns[place] not in orderable:
             one, other = f"cast({one} as string)", f"cast({other} as string)"
         return f"{one} <=> {other}"
 
-    differing = "".join(f", case when not ({same(c, i)}) then {text_literal(c)} end" for i, c in enumerate(columns))
+    differing = "".join(f", case when not ({same(i)}) then {text_literal(c)} end" for i, c in enumerate(columns))
     no_match = pairs_are("0") if columns else "true"
     pairs_text = f"case when _ek_large_pairs is null then cast(_ek_small_pairs as string) else cast({all_pairs} as string) end"
     changes = (
@@ -190,7 +195,10 @@ def compare_delta(
     )
     values = []
     for i, c in enumerate(columns):
-        values += [f"_ek_v.c{i} as {quoted(f'after_delta_{c}')}", f"_ek_b.c{i} as {quoted(f'before_delta_{c}')}"]
+        values += [
+            f"{value('v', i)} as {quoted(f'after_delta_{c}')}",
+            f"{value('b', i)} as {quoted(f'before_delta_{c}')}",
+        ]
     rows = grouped.selectExpr(
         *key_names,
         f"case when _ek_n_b = 0 then {text_literal(NEW)} else {text_literal(UPDATED)} end as change_type",
