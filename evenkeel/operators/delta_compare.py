@@ -137,7 +137,7 @@ def compare_delta(
         """Rows of the changed keys, tagged with their side, in the form the representative is chosen from."""
         found = fetch(
             df.select(*key_names, *[quoted(c) for c in columns]),
-            picked.where(f"{weight} > 0").select(*key_names, *counts),
+            picked.select(*key_names, *counts),
             keys,
             weight,
             stats["picked_bytes"],

@@ -111,7 +111,7 @@ def changed_rows(
     def rows_of(df: DataFrame, weight: str, side: str) -> DataFrame:
         return fetch(
             df.where(all_set(keys)).select(*key_names, *names),
-            picked.where(f"{weight} > 0").select(*key_names, "_ek_n_c", "_ek_n_b"),
+            picked.select(*key_names, "_ek_n_c", "_ek_n_b"),
             keys,
             weight,
             stats["picked_bytes"],

@@ -149,8 +149,13 @@ def fetch(
     total_rows: int,
     limits: Limits,
 ) -> DataFrame:
-    """Full rows of the picked keys. ``weight`` is the number of rows a key has in ``rows``."""
+    """Full rows of the picked keys. ``weight`` is the number of rows a key has in ``rows``.
+
+    Keys without a row there are dropped first, which also tells the optimizer that the key set is selective: it
+    may then test the rows against a Bloom filter before it shuffles them.
+    """
     per_slice = limits.rows_per_slice(total_rows)
+    picked = picked.where(f"{weight} > 0")
     hot = picked.where(f"{weight} > {per_slice}") if heaviest > per_slice else None
     return keyed_join(rows, picked, on, "inner", picked_bytes, hot, weight, per_slice, limits)
 

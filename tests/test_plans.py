@@ -118,3 +118,24 @@ def test_intermediates_go_to_the_session_folder(spark):
     assert kept.count() == 3 and kept.inputFiles()[0].replace("file://", "").startswith(
         keyed.scratch_root(spark).replace("file:", "")
     )
+
+
+def test_large_key_sets_get_a_bloom_filter(spark):
+    """With Spark's size thresholds lowered, the rows are tested before they are shuffled."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    old = {name: spark.conf.get(name) for name in changed}
+    orders = recipes.table(spark, SF_DIR, "orders")
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        limits = Limits(broadcast_bytes=0)
+        deleted = hard_delete_compare(orders.where("o_custkey > 50"), orders, "o_orderkey", limits=limits)
+        differing = full_compare(orders, orders.where("o_custkey > 50"), "o_orderkey", limits=limits)
+        for df in (deleted, differing):
+            assert "might_contain" in plan_of(df)
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
