@@ -223,16 +223,18 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, fragment_bytes: int = F
     new length. A document may end empty; its row stays. All other columns are carried as they are.
     """
 
+    names = docs.columns
+
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [_strip(b, p, width) for b, p in zip(batch["_body"].to_pylist(), batch["_parts"].to_pylist())]
             yield pa.record_batch(
                 [batch["_body"], pa.array([x[2] if x[1] else None for x in done], pa.binary())]
-                + [batch[c] for c in docs.columns],
-                ["_body", "_kept", *docs.columns],
+                + [batch[c] for c in names],
+                ["_body", "_kept", *names],
             )
 
-    joined = _with_repeats(docs, width, fragment_bytes).select("_body", *[F.col(f"`{c}`") for c in docs.columns], "_parts")
+    joined = _with_repeats(docs, width, fragment_bytes).select("_body", *[F.col(f"`{c}`") for c in names], "_parts")
     fields = [T.StructField("_body", T.BinaryType()), T.StructField("_kept", T.BinaryType()), *docs.schema.fields]
     cleared = joined.mapInArrow(cut, T.StructType(fields))
     fresh = F.col("_kept").cast("string")
