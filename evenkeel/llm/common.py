@@ -18,7 +18,7 @@ from evenkeel.plans.keyed import scratch_path
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 # Entries a worker's word cache may hold before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

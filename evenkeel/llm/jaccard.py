@@ -30,7 +30,7 @@ from evenkeel.llm.substring import fragments_for
 SHINGLE = 4
 PERCENT = 85
 FRAGMENT_BYTES = 12 << 20
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 VERTICAL_BITS = 3  # the order of shared n-grams is cut into 2^bits fragments for the overlaps
 HUB_ROUNDS = 3
 

@@ -1,7 +1,7 @@
 """Substring dedup: Rabin-Karp hashes of every word window, counted in Spark, merged into removal intervals.
 
 1. Map side: every window of ``width`` words is hashed (64 bits, plus a second hash that picks the fragment). Each
-   chunk of about a million words keeps one entry per distinct window, its first place; later places in the chunk are
+   chunk of about 2 MB of text keeps one entry per distinct window, its first place; later places in the chunk are
    known repeats and need no shuffle. So a window that makes up a third of all rows is sent once per chunk.
 2. The entries are shuffled by fragment as packed arrays (hash, document, start: about 11 bytes a window). A fragment
    finds the first place of each hash in the order (doc_id, start); all other places are repeats.
@@ -29,7 +29,7 @@ from evenkeel.llm.common import chunks, hash_words, rolling_hash, runs, text_byt
 WIDTH = 20
 FRAGMENT_BYTES = 12 << 20  # text whose windows meet in one fragment
 LEAST_FRAGMENTS = 64
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 _BASE, _SECOND_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _NO_ID = -(1 << 63)  # stands for a null doc_id: before all others
