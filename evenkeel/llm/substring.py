@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.llm.common import chunks, hash_words, rolling_hash, runs, text_bytes, total_bytes
+from evenkeel.llm.common import chunks, hash_words, pin, rolling_hash, runs, text_bytes, total_bytes
 
 WIDTH = 20
 FRAGMENT_BYTES = 12 << 20  # text whose windows meet in one fragment
@@ -171,7 +171,8 @@ def _strip(body: bytes | None, parts: list[bytes] | None, width: int) -> tuple[i
 
 def _with_repeats(docs: DataFrame, width: int, fragment_bytes: int) -> DataFrame:
     """The documents with ``_body`` (the text's bytes) and ``_parts`` (packed repeat starts, null: none)."""
-    found = repeated_starts(docs, width, fragment_bytes).withColumnsRenamed({"id": "_fid", "crc": "_fcrc", "parts": "_parts"})
+    # Written first, so that the shuffle of the windows is gone before the texts are shuffled.
+    found = pin(repeated_starts(docs, width, fragment_bytes), "repeats").withColumnsRenamed({"id": "_fid", "crc": "_fcrc", "parts": "_parts"})
     keyed = docs.withColumns(
         {
             "_body": text_bytes(),
