@@ -5,16 +5,17 @@
 2. The centroids are linked into a neighbour graph that fits in memory and is searched best-first for batches of
    vectors; centroids and graph are broadcast (at most ``most_sample`` / 8 vectors).
 3. Every vector is written to the list of its nearest centroid, and a vector near a boundary also to the lists of
-   further centroids that are almost as near. Long lists are split into parts of
-   ``part_rows`` rows, so that no list, however many copies of one vector it holds, meets in one task.
+   further centroids that are almost as near. ``TOGETHER`` lists make a bundle, and bundles are
+   split into parts of about ``part_rows`` rows, so that no list, however many copies of one vector it holds, meets
+   in one task.
 4. A query searches the lists whose centroids are at most ``ratio`` times as far as the nearest one. The ratio is the
    smallest that reaches ``target`` recall for sample vectors against the exact neighbours in the sample.
-5. Parts and queries are joined; each part returns a query's nearest rows, which are merged.
+5. Parts and queries are joined; a part compares a query with the rows of the lists it searches and returns the
+   nearest, which are merged.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -24,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import pin
+from evenkeel.llm.common import pin, runs
 
 NEAREST = 10
 MOST_SAMPLE = 16_384
 LIST_SIZE = 128
-PART_ROWS = 512
-MOST_COPIES = 4
+PART_ROWS = 4096
+TOGETHER = 8
+MOST_COPIES = 2
 BOUNDARY = 1.1
 TARGET = 0.95
 DEGREE = 24
@@ -156,11 +158,41 @@ def _matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 def fit_graph(vectors: DataFrame, rows: int, most_sample: int, list_size: int) -> tuple[Graph, np.ndarray]:
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(rows, most_sample)).select("vector").toPandas()["vector"]
-    points = np.array(sample.tolist(), float)
+    points = np.unique(np.array(sample.tolist(), float), axis=0)  # copies would make the neighbours look near
+    points = np.random.default_rng(7).permutation(points)
     k = int(min(max(1, rows // list_size), max(1, len(points) // 8)))
     return Graph.build(balanced_centroids(points, k)), points
 
 
+def _scan(held: pd.DataFrame, wanted: pd.DataFrame, nearest: int) -> pd.DataFrame:
+    """The nearest rows of a part for each query that searches one of its lists.
+
+    Distances by matrix product choose the candidates, with a margin for rounding; they are then measured exactly.
+    """
+    out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
+    if len(held) and len(wanted):
+        ids, lists = held["vec_id"].to_numpy(), held["list"].to_numpy()
+        block = np.array(held["vector"].tolist(), float)
+        for at in range(0, len(wanted), 256):
+            some = wanted.iloc[at : at + 256]
+            queries = np.array(some["query"].tolist(), float)
+            rough = squared(queries, block)
+            margin = 1e-9 * ((queries * queries).sum(1).max() + (block * block).sum(1).max())
+            for query_id, query, own, row in zip(some["query_id"], queries, some["lists"], rough):
+                usable = np.isin(lists, own) & (ids != query_id)
+                row = np.where(usable, row, np.inf)
+                # A row may lie in two lists of the bundle.
+                most = min(MOST_COPIES * nearest, len(row)) - 1
+                near = np.flatnonzero(usable & (row <= np.partition(row, most)[most] + margin))
+                score = np.sqrt(((block[near] - query) ** 2).sum(1))
+                order = np.lexsort((ids[near], score))
+                best = near[order]
+                _, first = np.unique(ids[best], return_index=True)
+                kept = np.sort(first)[:nearest]
+                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best[kept]], "score": score[order[kept]]}))
+    return pd.concat(out)
+
+
 def nearest_neighbours(
     embeddings: DataFrame,
     queries: DataFrame | None = None,
@@ -207,63 +239,49 @@ def nearest_neighbours(
             )
 
     postings = pin(vectors.mapInArrow(post, "list int, vec_id long, vector array<double>"), "postings")
-    sizes = {row["list"]: row["count"] for row in postings.groupBy("list").count().collect()}  # one number a centroid
-    parts = np.ones(len(graph.centroids), np.int64)
-    for at, n in sizes.items():
-        parts[at] = math.ceil(n / part_rows)
-    length = np.zeros(len(parts), np.int64)
-    length[list(sizes)] = list(sizes.values())
-    split = F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(parts)], "list int, parts long"))
-    postings = postings.join(split, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).drop("parts")
+    sizes = np.zeros(len(graph.centroids), np.int64)
+    for row in postings.groupBy("list").count().collect():  # one number a centroid
+        sizes[row["list"]] = row["count"]
+    bundles = -(-len(sizes) // TOGETHER)
+    parts = np.maximum(1, -(-np.bincount(np.arange(len(sizes)) // TOGETHER, sizes, bundles).astype(np.int64) // part_rows))
+    split = F.broadcast(spark.createDataFrame(list(enumerate(parts.tolist())), "bundle int, parts long"))
+    bundle = F.floor(F.col("list") / TOGETHER).cast("int")
+    postings = postings.withColumn("bundle", bundle).join(split, "bundle")
+    postings = postings.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).drop("parts")
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            found, distance = shared.value.nearest(_matrix(batch["vector"]), len(parts), ratio)
+            found, distance = shared.value.nearest(_matrix(batch["vector"]), len(sizes), ratio)
             wanted = distance <= np.maximum(distance[:, :1], 1e-12) * ratio
-            lists, ids, whose = [], [], []
-            few = np.where(wanted, length[found], 0).sum(1) <= nearest * (MOST_COPIES + 1)
+            few = np.where(wanted, sizes[found], 0).sum(1) <= nearest * MOST_COPIES + MOST_COPIES
+            rows: list[tuple[int, int, int, list[int]]] = []
             for at in range(len(batch)):
-                own = np.arange(len(parts)) if few[at] else found[at, wanted[at]]
-                for one in own.tolist():
-                    lists += [one] * int(parts[one])
-                    ids += range(int(parts[one]))
-                whose += [at] * (len(lists) - len(whose))
-            taken = pa.array(whose, pa.int64())
+                lists = np.arange(len(sizes)) if few[at] else np.sort(found[at, wanted[at]])
+                head, count = runs(lists // TOGETHER)
+                for first, n in zip(head.tolist(), count.tolist()):
+                    own = int(lists[first]) // TOGETHER
+                    rows += [(own, part, at, lists[first : first + n].tolist()) for part in range(int(parts[own]))]
+            taken = pa.array([row[2] for row in rows], pa.int64())
             yield pa.record_batch(
                 [
-                    pa.array(lists, pa.int32()),
-                    pa.array(ids, pa.int64()),
+                    pa.array([row[0] for row in rows], pa.int32()),
+                    pa.array([row[1] for row in rows], pa.int64()),
+                    pa.array([row[3] for row in rows], pa.list_(pa.int32())),
                     batch["vec_id"].take(taken),
                     batch["vector"].take(taken),
                 ],
-                ["list", "part", "query_id", "query"],
+                ["bundle", "part", "lists", "query_id", "query"],
             )
 
     probes = asked.repartition(max(2, spark.sparkContext.defaultParallelism), "vec_id").mapInArrow(
-        probe, "list int, part long, query_id long, query array<double>"
+        probe, "bundle int, part long, lists array<int>, query_id long, query array<double>"
     )
-
-    def scan(held: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        ids = held["vec_id"].to_numpy()
-        block = np.array(held["vector"].tolist(), float)
-        out = []
-        if len(ids) and len(wanted):
-            for query_id, query in zip(wanted["query_id"], wanted["query"]):
-                score = np.sqrt(((block - np.asarray(query, float)) ** 2).sum(1))
-                score[ids == query_id] = np.inf
-                best = np.lexsort((ids, score))[:nearest]
-                best = best[np.isfinite(score[best])]
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best], "score": score[best]}))
-        if not out:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": int, "vec_id": int})
-        return pd.concat(out)
-
     hits = (
-        postings.groupBy("list", "part")
-        .cogroup(probes.groupBy("list", "part"))
-        .applyInPandas(scan, "query_id long, vec_id long, score double")
+        postings.groupBy("bundle", "part")
+        .cogroup(probes.groupBy("bundle", "part"))
+        .applyInPandas(lambda held, wanted: _scan(held, wanted, nearest), "query_id long, vec_id long, score double")
     )
     single = hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
