@@ -119,7 +119,7 @@ def scan_separators(blocks: DataFrame, end: int = END_OF_TEXT, width: int = 2) -
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     last_block = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # The scan carries three numbers a block; the found places stay behind.
-    summary = cells.select("file", "block", "size", F.size("found").alias("n"), F.element_at("found", -1).alias("last"))
+    summary = cells.select("file", "block", "size", F.size("found").alias("n"), F.try_element_at("found", F.lit(-1)).alias("last"))
     summary = summary.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
     summary = summary.withColumns(
         {
@@ -131,7 +131,7 @@ def scan_separators(blocks: DataFrame, end: int = END_OF_TEXT, width: int = 2) -
     joined = cells.join(summary, ["file", "block"])
     ends = F.transform("found", lambda x: x + F.col("offset"))
     total = F.col("offset") + F.col("size")
-    tail = F.when(F.size("found") > 0, F.element_at(ends, -1) + 1).otherwise(F.col("open"))
+    tail = F.when(F.size("found") > 0, F.try_element_at(ends, F.lit(-1)) + 1).otherwise(F.col("open"))
     starts = F.concat(F.array("open"), F.transform(ends, lambda x: x + 1))
     closed = F.transform(
         F.arrays_zip(F.slice(starts, 1, F.size("found")).alias("s"), ends.alias("e")),

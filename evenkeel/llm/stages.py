@@ -38,8 +38,8 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     mixed = mix_sources(docs.select("doc_id", "source", "text"))
     passes = mixed.pieces.groupBy("doc", "pass").agg(F.min("first").alias("_first"), F.sum("words").alias("_words"))
-    known = mixed.documents.select("doc", F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size")
-    taken = known.join(passes, "doc").select("_id", "_source", "size", "_first", "_words")
+    known = mixed.documents.select("doc", F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
+    taken = known.join(passes, "doc").select("_id", "_source", "_size", "_first", "_words")
     same = (
         F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
         & F.col("source").cast("string").eqNullSafe(F.col("_source"))
@@ -47,10 +47,10 @@ def mix(docs: DataFrame) -> DataFrame:
     joined = docs.dropDuplicates(["doc_id", "source"]).join(taken, same)
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD_PATTERN})"), F.lit(1))
     part = F.array_join(F.slice(words, F.col("_first").cast("int") + 1, F.col("_words").cast("int")), " ")
-    text = F.when(F.col("_words") < F.col("size"), part).otherwise(F.col("text"))
+    text = F.when(F.col("_words") < F.col("_size"), part).otherwise(F.col("text"))
     columns = {"text": text}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_words") < F.col("size"), F.length(part).cast(docs.schema["n_chars"].dataType)).otherwise(
+        columns["n_chars"] = F.when(F.col("_words") < F.col("_size"), F.length(part).cast(docs.schema["n_chars"].dataType)).otherwise(
             F.col("n_chars")
         )
     return joined.withColumns(columns).select(*docs.columns)
