@@ -47,14 +47,9 @@ def sorted_columns(columns: Iterable[str]) -> list[str]:
     return sorted(columns, key=str.lower)
 
 
-def split_names(text: str | None) -> list[str]:
-    """'a, b,,c ' -> ['a', 'b', 'c'] (driver side, for configuration values)."""
-    return [part.strip() for part in (text or "").split(",") if part.strip()]
-
-
 def split_names_col(text: Column) -> Column:
-    """Column form of :func:`split_names`; null text gives an empty array."""
-    parts = F.transform(F.split(text, ","), lambda part: F.trim(part))
+    """'a, b,,c ' -> ['a', 'b', 'c']; all white space around a name goes; null text gives an empty array."""
+    parts = F.transform(F.split(text, ","), lambda part: F.regexp_replace(part, r"^\s+|\s+$", ""))
     return F.coalesce(F.filter(parts, lambda p: F.length(p) > 0), F.array().cast("array<string>"))
 
 

@@ -37,15 +37,26 @@ def node_name(unique_id: Column) -> Column:
     return F.when(count >= 3, shown).otherwise(unique_id)
 
 
+def _tenths(seconds: Column) -> Column:
+    """Seconds in tenths, rounded by the exact binary value, ties to the even digit."""
+    whole = F.floor(seconds)
+    scaled = ((seconds - whole) * float(1 << 58)).cast("long") * 10
+    digit = F.shiftright(scaled, 58)
+    rest, half = scaled.bitwiseAND(F.lit((1 << 58) - 1)), F.lit(1 << 57)
+    up = (rest > half) | ((rest == half) & (digit % 2 == 1))
+    return whole * 10 + digit + up.cast("long")
+
+
 def duration_text(seconds: Column) -> Column:
     """'—' without a duration, '12.3s' below a minute, '2m 5.0s' from there on."""
-    exact = seconds.cast("decimal(28,9)")
-    minutes = F.floor(exact / 60).cast("long")
-    rest = F.round(exact - minutes * 60, 1).cast("decimal(20,1)").cast("string")
+    seconds = seconds.cast("double")
+    minutes = F.floor(seconds / 60).cast("long")
+    tenths = _tenths(F.when(seconds < 60, seconds).otherwise(seconds - minutes * 60))
+    rest = F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("s"))
     return (
         F.when(seconds.isNull() | (seconds < 0), "—")
-        .when(seconds < 60, F.concat(rest, F.lit("s")))
-        .otherwise(F.concat(minutes.cast("string"), F.lit("m "), rest, F.lit("s")))
+        .when(seconds < 60, rest)
+        .otherwise(F.concat(minutes.cast("string"), F.lit("m "), rest))
     )
 
 

@@ -205,8 +205,9 @@ def _store_failures(store: TableStore, log: str, failures: DataFrame, run: dict[
 
 
 def _one_row(spark: SparkSession, schema: T.StructType, values: Mapping) -> DataFrame:
-    """A single log row."""
-    cells = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema]
+    """A single log row; ``audit_ts`` is the session's clock, which no process's time zone can shift."""
+    clock = {"audit_ts": F.current_timestamp()}
+    cells = [clock.get(f.name, F.lit(values.get(f.name))).cast(f.dataType).alias(f.name) for f in schema]
     return spark.range(0, 1, 1, 1).select(*cells)
 
 
@@ -305,7 +306,6 @@ def _log_rows(test: Row, run: dict[str, str], measured: dict, started: datetime,
     unique_keys = measured.get("unique_keys_compared")
     unmatched = counts["missing_in_target_count"] + counts["missing_in_source_count"] + counts["value_mismatch_count"]
     common = run | {
-        "audit_ts": ended.replace(tzinfo=None),
         "status": MISMATCH if counts["total_anomalies_count"] > 0 else MATCH,
         "load_type": test.load_type,
     }

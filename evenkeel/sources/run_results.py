@@ -8,14 +8,7 @@ from pyspark.sql import functions as F
 # File name, fields of a document, and the command shown when a document names none.
 FILE_NAME = "run_results.json"
 DEFAULT_COMMAND = "dbt"
-DOCUMENT = (
-    "metadata STRUCT<generated_at: STRING, dbt_version: STRING, invocation_id: STRING>, "
-    "elapsed_time DOUBLE, "
-    "args STRUCT<invocation_command: STRING, which: STRING>, "
-    "results ARRAY<STRUCT<unique_id: STRING, status: STRING, execution_time: DOUBLE, "
-    "adapter_response: STRUCT<rows_affected: BIGINT>, rows_affected: BIGINT, failures: BIGINT, "
-    "message: STRING, relation_name: STRING>>"
-)
+DOCUMENT = "metadata STRING, elapsed_time STRING, args STRING, results STRING"
 RUN_COLUMNS = [
     "run",
     "run_label",
@@ -36,11 +29,23 @@ def run_label(folder: Column) -> Column:
     return F.when(F.length(folder) == 15, stamped).otherwise(folder)
 
 
+def _field(document: str, *path: str) -> Column:
+    """Text of a field of a JSON text; null where a step is absent or no object."""
+    return F.get_json_object(document, "$." + ".".join(path))
+
+
+def _number(text: Column, kind: str) -> Column:
+    """A number, also one written as text or with a fraction of zero; null for anything else."""
+    exact = text.try_cast("double")
+    return exact if kind == "double" else exact.try_cast(kind)
+
+
 def read_run_results(spark: SparkSession, reports: str) -> DataFrame:
-    """Node rows of every ``<reports>/<run folder>/run_results.json``; unreadable files are skipped.
+    """Node rows of every ``<reports>/<run folder>/run_results.json``; files that are not JSON are skipped.
 
-    A run without results keeps one row with null node columns. A document is as large as one run's node list,
-    so a whole file per task is bounded; runs spread over tasks.
+    A field of another type than expected never costs the row: numbers may be text, objects may be absent or text. A run
+    without results keeps one row with null node columns. A document is as large as one run's node list, so a whole
+    file per task is bounded; runs spread over tasks.
     """
     documents = (
         spark.read.schema(DOCUMENT)
@@ -49,32 +54,30 @@ def read_run_results(spark: SparkSession, reports: str) -> DataFrame:
         .json(f"{reports.rstrip('/')}/*/{FILE_NAME}")
         .select("*", "_metadata.file_path", "_metadata.file_modification_time")
     )
-    command = F.coalesce(
-        F.when(F.length("args.invocation_command") > 0, F.col("args.invocation_command")),
-        F.when(F.length("args.which") > 0, F.col("args.which")),
-        F.lit(DEFAULT_COMMAND),
-    )
+    invoked, which = _field("args", "invocation_command"), _field("args", "which")
+    command = F.coalesce(F.when(F.length(invoked) > 0, invoked), F.when(F.length(which) > 0, which), F.lit(DEFAULT_COMMAND))
     words = F.from_json(command, "array<string>")
     folder = F.element_at(F.split("file_path", "/"), -2)
+    affected = F.coalesce(_field("node", "adapter_response", "rows_affected"), _field("node", "rows_affected"))
     return documents.select(
         folder.alias("run"),
         run_label(folder).alias("run_label"),
         F.col("file_modification_time").alias("modified_at"),
-        F.col("metadata.generated_at").alias("generated_at"),
-        F.col("metadata.dbt_version").alias("tool_version"),
-        F.col("metadata.invocation_id").alias("invocation_id"),
+        _field("metadata", "generated_at").alias("generated_at"),
+        _field("metadata", "dbt_version").alias("tool_version"),
+        _field("metadata", "invocation_id").alias("invocation_id"),
         F.when(command.startswith("["), F.concat_ws(" ", words)).otherwise(command).alias("command"),
-        "elapsed_time",
-        F.explode_outer("results").alias("node"),
+        _number(F.col("elapsed_time"), "double").alias("elapsed_time"),
+        F.explode_outer(F.from_json("results", "array<string>")).alias("node"),
     ).select(
         *RUN_COLUMNS,
-        F.col("node.unique_id").alias("unique_id"),
-        F.col("node.status").alias("status"),
-        F.col("node.execution_time").alias("execution_time"),
-        F.coalesce("node.adapter_response.rows_affected", "node.rows_affected").alias("rows_affected"),
-        F.col("node.failures").alias("failures"),
-        F.coalesce("node.message", F.lit("")).alias("message"),
-        F.coalesce("node.relation_name", F.lit("")).alias("relation_name"),
+        _field("node", "unique_id").alias("unique_id"),
+        _field("node", "status").alias("status"),
+        _number(_field("node", "execution_time"), "double").alias("execution_time"),
+        _number(affected, "bigint").alias("rows_affected"),
+        _number(_field("node", "failures"), "bigint").alias("failures"),
+        F.coalesce(_field("node", "message"), F.lit("")).alias("message"),
+        F.coalesce(_field("node", "relation_name"), F.lit("")).alias("relation_name"),
     )
 
 

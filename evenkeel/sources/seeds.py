@@ -34,8 +34,12 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 def _read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Rows with too few fields are padded with nulls."""
-    return spark.read.csv(path, schema=text_schema(columns), header=True, mode="PERMISSIVE")
+    """The named columns, found by the header ignoring case; absent ones and missing fields are null."""
+    found = spark.read.csv(path, header=True, mode="PERMISSIVE")
+    present = {c.strip().lower(): c for c in found.columns}
+    return found.select(
+        *[(found[f"`{present[c]}`"] if c in present else F.lit(None).cast("string")).alias(c) for c in columns]
+    )
 
 
 def read_test_config(spark: SparkSession, path: str) -> DataFrame:

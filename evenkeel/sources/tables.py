@@ -54,17 +54,31 @@ class TableStore:
         fs, hadoop_path = self._file(f"{folder}/_current")
         stream = fs.open(hadoop_path)
         try:
-            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+            version = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
         finally:
             stream.close()
+        if not version:
+            raise TableMissing(f"the pointer {folder}/_current is empty; write the table or its snapshot again")
+        return version
 
     def _write_pointer(self, folder: str, version_path: str) -> None:
-        fs, hadoop_path = self._file(f"{folder}/_current")
-        stream = fs.create(hadoop_path, True)
+        """Write the new pointer beside the old one and rename it over, so that a reader sees either."""
+        jvm = self.spark._jvm
+        fresh, current = f"{folder}/_current.{uuid.uuid4().hex}", f"{folder}/_current"
+        fs, hadoop_path = self._file(fresh)
+        stream = fs.create(hadoop_path, False)
         try:
             stream.write(bytearray(version_path.encode("utf-8")))
         finally:
             stream.close()
+        path = jvm.org.apache.hadoop.fs.Path
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            hadoop_path.toUri() if hadoop_path.toUri().getScheme() else fs.getUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        overwrite = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = overwrite
+        context.rename(path(fresh), path(current), options)
 
     # -- tables ------------------------------------------------------------------------------------------
 
@@ -88,14 +102,14 @@ class TableStore:
         self._write_pointer(folder, version)
         return self.read(name)
 
-    def expire(self, name: str, suffix: str = SNAPSHOT_SUFFIX) -> int:
-        """Delete versions that neither the table nor its snapshot points to; returns how many."""
+    def expire(self, name: str) -> int:
+        """Delete versions that neither the table nor any snapshot, whatever its suffix, points to; returns how many."""
         folder = self._table_folder(name)
-        in_use = {
-            path.rsplit("/", 1)[-1]
-            for path in (self._read_pointer(folder), self._read_pointer(self._snapshot_folder(name, suffix)))
-            if path
-        }
+        pointers = [self._read_pointer(folder)]
+        fs, snapshots = self._file(f"{self.root}/{self.qa_schema}")
+        if fs.exists(snapshots):
+            pointers += [self._read_pointer(str(status.getPath())) for status in fs.listStatus(snapshots)]
+        in_use = {path.rsplit("/", 1)[-1] for path in pointers if path}
         fs, hadoop_path = self._file(folder)
         removed = 0
         for status in fs.listStatus(hadoop_path):

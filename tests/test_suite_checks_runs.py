@@ -3,6 +3,7 @@ from collections import Counter
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import evenkeel as ek
 from evenkeel.operators.runs import duration_text, node_name, node_type
@@ -277,3 +278,43 @@ def test_run_label(spark):
 
     df = frame(spark, [("20250305_143022",), ("nightly",), ("2025-03-05-1430",)], "d string")
     assert [r[0] for r in df.select(run_label(F.col("d"))).collect()] == ["2025-03-05 14:30:22", "nightly", "2025-03-05-1430"]
+
+
+def test_oddly_typed_documents_keep_their_rows(spark, tmp_path):
+    node = {"unique_id": "model.p.a", "status": "error", "execution_time": 1.5, "failures": 2}
+    odd = {
+        "fraction": {"failures": 2.0},
+        "text": {"execution_time": "1.5"},
+        "object": {"adapter_response": "OK", "failures": None},
+        "rows": {"adapter_response": {"rows_affected": "5"}},
+    }
+    for name, change in odd.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "run_results.json").write_text(json.dumps({"metadata": "none", "results": [node | change]}))
+    found = {r.run: r for r in ek.read_run_results(spark, str(tmp_path)).collect()}
+    assert found.keys() == odd.keys() and all(r.status == "error" and r.execution_time == 1.5 for r in found.values())
+    assert (found["fraction"].failures, found["object"].failures, found["rows"].rows_affected) == (2, None, 5)
+
+
+@pytest.mark.parametrize("seconds, text", [(0.15, "0.1s"), (0.25, "0.2s"), (2.65, "2.6s"), (61.25, "1m 1.2s"), (0.35, "0.3s")])
+def test_durations_round_the_binary_value(spark, seconds, text):
+    assert spark.range(1).select(duration_text(F.lit(seconds)).alias("t")).first().t == text == (
+        f"{seconds:.1f}s" if seconds < 60 else f"{int(seconds // 60)}m {seconds % 60:.1f}s"
+    )
+
+
+def test_expire_keeps_what_any_snapshot_needs(spark, tmp_path):
+    store = ek.TableStore(spark, str(tmp_path))
+    store.write("t", spark.range(3))
+    store.take_snapshot("t", "_OLD")
+    store.write("t", spark.range(4))
+    store.write("t", spark.range(5))
+    assert store.expire("t") == 1
+    assert store.read_snapshot("t", "_OLD").count() == 3 and store.read("t").count() == 5
+
+
+def test_config_columns_are_found_by_name(spark, tmp_path):
+    file = tmp_path / "tests.csv"
+    file.write_text("Test_Type,model_name,key_column\nfull,m,\"a,\tb \"\n")
+    config = ek.read_test_config(spark, str(file)).collect()
+    assert [(r.model_name, r.test_type, r.base_model) for r in config] == [("m", "full", None)]

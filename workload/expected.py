@@ -291,10 +291,9 @@ FROM config JOIN lists USING (p_brand)"""
 NODE_COLUMNS = "run, unique_id, name, type, status, execution_time, rows_affected"
 # Durations are shown with one decimal, halves rounded up.
 DURATION = """CASE WHEN execution_time IS NULL OR execution_time < 0 THEN '—'
-  WHEN execution_time < 60 THEN CAST(CAST(round(CAST(execution_time AS DECIMAL(18,9)), 1) AS DECIMAL(18,1)) AS VARCHAR) || 's'
-  ELSE CAST(floor(execution_time / 60) AS BIGINT) || 'm '
-    || CAST(CAST(round(CAST(execution_time AS DECIMAL(18,9)) - 60 * CAST(floor(execution_time / 60) AS BIGINT), 1) AS DECIMAL(18,1)) AS VARCHAR)
-    || 's' END"""
+  WHEN execution_time < 60 THEN printf('%.1fs', execution_time)
+  ELSE printf('%dm %.1fs', CAST(floor(execution_time / 60) AS BIGINT),
+    execution_time - 60 * CAST(floor(execution_time / 60) AS BIGINT)) END"""
 
 UPSERTED = "SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch) UNION ALL SELECT * FROM batch"
 
