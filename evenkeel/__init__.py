@@ -26,7 +26,7 @@ from evenkeel.plans.suite import (
     run_suite,
     store_check_failures,
 )
-from evenkeel.sources.run_results import newest_first, read_run_results
+from evenkeel.sources.run_results import newest_first, parse_run_results, read_run_results
 from evenkeel.sources.seeds import filter_config, parse_config, read_column_lists, read_test_config
 from evenkeel.sources.tables import TableMissing, TableStore
 
@@ -65,6 +65,7 @@ __all__ = [
     "latest_per_key",
     "newest_first",
     "parse_config",
+    "parse_run_results",
     "read_column_lists",
     "read_run_results",
     "read_test_config",

@@ -78,3 +78,12 @@ def require_same_types(left: DataFrame, right: DataFrame, columns: Iterable[str]
                 f"{operator}: column {name!r} has type {one.simpleString()} on one side "
                 f"and {other.simpleString()} on the other"
             )
+
+
+def orderable(data_type: T.DataType) -> bool:
+    """Whether values of this type can be compared by order."""
+    if isinstance(data_type, T.ArrayType):
+        return orderable(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return all(orderable(f.dataType) for f in data_type.fields)
+    return not isinstance(data_type, (T.MapType, T.VariantType))

@@ -100,7 +100,28 @@ def row_digest(df: DataFrame, columns: list[str], plain: set[str]) -> tuple[str,
     return _digest(df, columns, plain, NULL_VALUE) if columns else ("0L", "0L")
 
 
-def value_digest(columns: list[str]) -> tuple[str, str]:
+def _holds_map(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _holds_map(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return any(_holds_map(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, (T.MapType, T.VariantType))
+
+
+def _typed_value(df: DataFrame, column: str) -> str:
+    """What to hash for a column of any type. The hash function skips nulls inside nested values and takes no maps,
+    so nested values go in as JSON as well; a map is a list of entries in key order."""
+    value, data_type = quoted(column), column_type(df, column)
+    if not isinstance(data_type, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+        return value
+    is_map = isinstance(data_type, T.MapType) and not _holds_map(data_type.valueType)
+    if is_map:
+        value = f"array_sort(map_entries({value}))"
+    text = f"to_json(named_struct('v', {value}), map('ignoreNullFields', 'false'))"
+    return f"{value}, {text}" if is_map or not _holds_map(data_type) else text
+
+
+def value_digest(df: DataFrame, columns: list[str]) -> tuple[str, str]:
     """Digest of the typed values: equal exactly where every column is null-safe equal."""
-    parts = "".join(f", isnull({quoted(c)}), {quoted(c)}" for c in columns)
+    parts = "".join(f", isnull({quoted(c)}), {_typed_value(df, c)}" for c in columns)
     return f"xxhash64(1{parts})", f"xxhash64(2{parts})"

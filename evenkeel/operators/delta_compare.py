@@ -7,13 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from evenkeel.functions.columns import (
     all_set,
     column_type,
     key_list,
     non_key_columns,
+    orderable,
     quoted,
     require_same_types,
     sorted_columns,
@@ -45,14 +45,6 @@ class DeltaComparison:
     stats: dict[str, int]
 
 
-def _orderable(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.ArrayType):
-        return _orderable(data_type.elementType)
-    if isinstance(data_type, T.StructType):
-        return all(_orderable(f.dataType) for f in data_type.fields)
-    return not isinstance(data_type, (T.MapType, T.VariantType))
-
-
 def _profile(view: DataFrame, before: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Per key: rows on each side and the number of (view row, before row) pairs with equal content.
 
@@ -96,7 +88,6 @@ def compare_delta(
     keys = key_list(key_columns, "delta_compare")
     columns = sorted_columns(compare_columns or non_key_columns(view, keys))
     require_same_types(view, before, [*keys, *columns], "delta_compare")
-    view, before = view.where(all_set(keys)), before.where(all_set(keys))
     key_names = [quoted(k) for k in keys]
 
     all_pairs = f"(_ek_large_pairs + cast(_ek_small_pairs as {_WIDE}))"
@@ -110,8 +101,10 @@ def compare_delta(
         unequal = f"(case when {single} then _ek_small_pairs = 0 else not ({pairs_are('_ek_n_v')} and {pairs_are('_ek_n_b')}) end)"
     else:
         unequal = repeated
-    is_new = "(_ek_n_v > 0 and _ek_n_b = 0)"
-    is_updated = f"(_ek_n_v > 0 and _ek_n_b > 0 and {unequal})"
+    # Rows with a null key part stay in the profile for the row counts only.
+    known = all_set(keys)
+    is_new = f"(_ek_n_v > 0 and _ek_n_b = 0 and {known})"
+    is_updated = f"(_ek_n_v > 0 and _ek_n_b > 0 and {known} and {unequal})"
     changed = f"({is_new} or {is_updated})"
 
     picked, stats = pin(
@@ -131,12 +124,12 @@ def compare_delta(
     stats["total_changes"] = stats["new"] + stats["updated"]
 
     counts = ["_ek_n_v", "_ek_n_b", "_ek_small_pairs", "_ek_large_pairs"]
-    orderable = [c for c in columns if _orderable(column_type(view, c))]
+    ranked = [c for c in columns if orderable(column_type(view, c))]
 
     def side(df: DataFrame, name: str, weight: str) -> DataFrame:
         """Rows of the changed keys, tagged with their side, in the form the representative is chosen from."""
         found = fetch(
-            df.select(*key_names, *[quoted(c) for c in columns]),
+            df.where(known).select(*key_names, *[quoted(c) for c in columns]),
             picked.select(*key_names, *counts),
             keys,
             weight,
@@ -145,8 +138,8 @@ def compare_delta(
             stats[f"{name}_rows"],
             limits,
         )
-        rank = "".join(f", 'c{i}', {quoted(c)}" for i, c in enumerate(columns) if c in orderable)
-        rest = "".join(f", 'c{i}', {quoted(c)}" for i, c in enumerate(columns) if c not in orderable)
+        rank = "".join(f", 'c{i}', {quoted(c)}" for i, c in enumerate(columns) if c in ranked)
+        rest = "".join(f", 'c{i}', {quoted(c)}" for i, c in enumerate(columns) if c not in ranked)
         return found.selectExpr(
             *key_names,
             *counts,
@@ -171,7 +164,7 @@ def compare_delta(
     )
 
     def value(side: str, place: int) -> str:
-        part = "rank" if columns[place] in orderable else "rest"
+        part = "rank" if columns[place] in ranked else "rest"
         return f"_ek_{side}_{part}.c{place}"
 
     def message(parts: tuple[str, str, str], first: str, second: str) -> str:
@@ -180,7 +173,7 @@ def compare_delta(
 
     def same(place: int) -> str:
         one, other = value("v", place), value("b", place)
-        if columns[place] not in orderable:
+        if columns[place] not in ranked:
             one, other = f"cast({one} as string)", f"cast({other} as string)"
         return f"{one} <=> {other}"
 

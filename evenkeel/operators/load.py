@@ -7,17 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import all_set, any_null, key_list, quoted, ref, require_same_types
+from evenkeel.functions.columns import all_set, any_null, column_type, key_list, orderable, quoted, ref, require_same_types
 from evenkeel.plans.keyed import DEFAULT_LIMITS, Limits, key_bytes, keyed_join, pin
 
 
 def latest_per_key(batch: DataFrame, key_columns: str | Sequence[str], order_by: str) -> DataFrame:
-    """Per key the row with the greatest ``order_by`` (ties: the greatest row); null-key rows all stay."""
+    """Per key the row with the greatest ``order_by`` (ties: the greatest row); null-key rows all stay.
+
+    Columns without an order (maps) go with the row that is chosen by the others.
+    """
     keys = key_list(key_columns, "latest_per_key")
-    row = F.struct(*[ref(c) for c in batch.columns])
-    rank = F.struct(ref(order_by), *[ref(c) for c in batch.columns])
-    best = batch.where(all_set(keys)).groupBy(*[ref(k) for k in keys]).agg(F.max_by(row, rank).alias("_ek_row"))
-    return best.select("_ek_row.*").unionByName(batch.where(any_null(keys)))
+    others = [c for c in batch.columns if c not in keys and c != order_by]
+    ordered = [c for c in others if orderable(column_type(batch, c))]
+    follow = [c for c in others if c not in ordered]
+    rank = F.struct(ref(order_by).alias("by"), *[ref(c).alias(f"c{i}") for i, c in enumerate(ordered)])
+    known = batch.where(all_set(keys)).groupBy(*[ref(k) for k in keys])
+    if follow:
+        rest = F.struct(*[ref(c).alias(f"c{i}") for i, c in enumerate(follow)])
+        best = known.agg(F.max(rank).alias("_ek_rank"), F.max_by(rest, rank).alias("_ek_rest"))
+    else:
+        best = known.agg(F.max(rank).alias("_ek_rank"))
+    place = {c: f"_ek_rank.c{i}" for i, c in enumerate(ordered)} | {c: f"_ek_rest.c{i}" for i, c in enumerate(follow)}
+    place[order_by] = "_ek_rank.by"
+    chosen = [ref(c) if c in keys else F.col(place[c]).alias(c) for c in batch.columns]
+    return best.select(*chosen).unionByName(batch.where(any_null(keys)))
 
 
 def _untouched(

@@ -17,16 +17,12 @@ from evenkeel.plans.keyed import (
     max_where,
     nothing,
     pin,
-    replicate,
-    spread,
     sum_where,
 )
 
 # Fixed value: the watermark of an empty table.
 BEGINNING = "1900-01-01 00:00:00"
 
-_REPEAT_STEP = 1_000_000
-
 
 def watermark(df: DataFrame, column: str, buffer_seconds: int = 0) -> Column:
     """``max(column) - buffer`` of a table as a scalar subquery, planned into the scan it filters."""
@@ -51,13 +47,6 @@ def watermark_slice(current: DataFrame, snapshot: DataFrame, column: str) -> Dat
     return current.where(ref(column) > watermark(snapshot, column))
 
 
-def _repeat(rows: DataFrame, times: str) -> DataFrame:
-    """Each row as often as the column ``times`` says, without ever building more than a step's worth of numbers."""
-    starts = rows.selectExpr("*", f"explode(sequence(0L, {times} - 1, {_REPEAT_STEP}L)) as _ek_start")
-    step = f"least({times} - _ek_start, {_REPEAT_STEP}L)"
-    return starts.selectExpr("*", f"explode(sequence(1L, {step})) as _ek_one").drop("_ek_start", "_ek_one")
-
-
 def changed_rows(
     current: DataFrame,
     snapshot: DataFrame,
@@ -67,20 +56,23 @@ def changed_rows(
 ) -> DataFrame:
     """Rows of ``current`` that are new or differ from the snapshot in any compare column.
 
-    The result of a left join on the keys with null-safe column tests: a row appears once per snapshot row it
-    differs from, and once when its key is not in the snapshot (or is null). Keys whose rows are all alike on
-    both sides are ruled out on digests first, so only changed keys reach the join.
+    Every current row appears at most once, however often its key occurs: it is new when its key is not in the
+    snapshot (or is null), and changed when at least one snapshot row of its key differs from it (null-safe). Both
+    are decided on digests that the narrow profile keeps per key, so the snapshot is read once and never joined.
+    Map columns count as equal when they hold the same entries.
     """
     keys = key_list(key_columns, "changed_rows")
     columns = list(compare_columns or non_key_columns(current, keys))
     require_same_types(current, snapshot, [*keys, *columns], "changed_rows")
     key_names, names = [quoted(k) for k in keys], [quoted(c) for c in columns]
+    d1, d2 = value_digest(current, columns)
 
     def narrow(df: DataFrame, is_current: int) -> DataFrame:
-        d1, d2 = value_digest(columns)
-        return df.selectExpr(
-            *key_names, f"{d1} as _ek_d1", f"{d2} as _ek_d2", f"{is_current} as _ek_c", f"{1 - is_current} as _ek_b"
-        )
+        sides = [f"{is_current} as _ek_c", f"{1 - is_current} as _ek_b"]
+        return df.selectExpr(*key_names, f"{d1} as _ek_d1", f"{d2} as _ek_d2", *sides)
+
+    def before(number: str) -> str:
+        return f"case when _ek_b = 1 then {number} end"
 
     profile = (
         narrow(current, 1)
@@ -90,6 +82,12 @@ def changed_rows(
             F.expr("sum(_ek_c) as _ek_n_c"),
             F.expr("sum(_ek_b) as _ek_n_b"),
             F.expr("min(_ek_d1) = max(_ek_d1) and min(_ek_d2) = max(_ek_d2) as _ek_alike"),
+            F.expr(f"min({before('_ek_d1')}) as _ek_b_d1"),
+            F.expr(f"min({before('_ek_d2')}) as _ek_b_d2"),
+            F.expr(
+                f"min({before('_ek_d1')}) = max({before('_ek_d1')}) and min({before('_ek_d2')}) = max({before('_ek_d2')})"
+                " as _ek_b_alike"
+            ),
         )
     )
     wanted = f"(_ek_n_c > 0 and {all_set(keys)} and (_ek_n_b = 0 or not _ek_alike))"
@@ -98,45 +96,25 @@ def changed_rows(
         keep=wanted,
         stats={
             "current_rows": "sum(_ek_n_c)",
-            "snapshot_rows": "sum(_ek_n_b)",
             "null_key_rows": sum_where(any_null(keys), "_ek_n_c"),
             "picked_keys": f"count_if{wanted}",
             "picked_bytes": sum_where(wanted, key_bytes(keys)),
             "heaviest_current": max_where(wanted, "_ek_n_c"),
-            "heaviest_snapshot": max_where(wanted, "_ek_n_b"),
         },
         label="changed-rows",
     )
-
-    def rows_of(df: DataFrame, weight: str, side: str) -> DataFrame:
-        return fetch(
-            df.where(all_set(keys)).select(*key_names, *names),
-            picked.select(*key_names, "_ek_n_c", "_ek_n_b"),
-            keys,
-            weight,
-            stats["picked_bytes"],
-            stats[f"heaviest_{side}"],
-            stats[f"{side}_rows"],
-            limits,
-        )
-
-    ours = rows_of(current, "_ek_n_c", "current")
-    theirs = (
-        rows_of(snapshot, "_ek_n_b", "snapshot")
-        .groupBy(*key_names, *names)
-        .agg(F.expr("max(_ek_n_c) as _ek_n_c"), F.expr("count(1) as _ek_copies"))
-        .selectExpr(*key_names, *[f"{c} as _ek_b{i}" for i, c in enumerate(names)], "_ek_n_c", "_ek_copies")
+    ours = fetch(
+        current.where(all_set(keys)).select(*key_names, *names),
+        picked.select(*key_names, "_ek_n_c", "_ek_n_b", "_ek_b_d1", "_ek_b_d2", "_ek_b_alike"),
+        keys,
+        "_ek_n_c",
+        stats["picked_bytes"],
+        stats["heaviest_current"],
+        stats["current_rows"],
+        limits,
     )
-    per_slice = limits.rows_per_slice(stats["current_rows"])
-    on = list(keys)
-    if stats["heaviest_current"] > per_slice:
-        ours = spread(ours, "_ek_n_c", per_slice)
-        theirs = replicate(theirs, "_ek_n_c", per_slice)
-        on.append("_ek_slice")
-    differs = "".join(f" or not ({c} <=> _ek_b{i})" for i, c in enumerate(names))
-    matched = ours.join(theirs, on, "left").where(f"_ek_copies is null{differs}")
-    copies = matched.selectExpr(*key_names, *names, "coalesce(_ek_copies, 1L) as _ek_copies")
-    found = _repeat(copies, "_ek_copies").drop("_ek_copies")
+    differs = f"_ek_n_b = 0 or not _ek_b_alike or {d1} <> _ek_b_d1 or {d2} <> _ek_b_d2"
+    found = ours.where(differs).select(*key_names, *names)
     if stats["picked_keys"] == 0:
         found = nothing(found)
     if stats["null_key_rows"]:

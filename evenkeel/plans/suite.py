@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -204,11 +204,11 @@ def _store_failures(store: TableStore, log: str, failures: DataFrame, run: dict[
     store.append_log(log, stamped)
 
 
-def _one_row(spark: SparkSession, schema: T.StructType, values: Mapping) -> DataFrame:
-    """A single log row; ``audit_ts`` is the session's clock, which no process's time zone can shift."""
-    clock = {"audit_ts": F.current_timestamp()}
-    cells = [clock.get(f.name, F.lit(values.get(f.name))).cast(f.dataType).alias(f.name) for f in schema]
-    return spark.range(0, 1, 1, 1).select(*cells)
+def _append_rows(store: TableStore, log: str, schema: T.StructType, rows: Sequence[Mapping]) -> None:
+    """Append log rows in one write; ``audit_ts`` is an instant, shown on the session's clock."""
+    stored = T.StructType([T.StructField(f.name, _COUNT if f.name == "audit_ts" else f.dataType) for f in schema])
+    found = store.spark.createDataFrame([tuple(row.get(f.name) for f in schema) for row in rows], stored)
+    store.append_log(log, found.withColumn("audit_ts", F.timestamp_micros("audit_ts").cast(_TIME)))
 
 
 def _run_full(models: _Models, test: Row, limits: Limits) -> tuple[DataFrame, dict]:
@@ -252,12 +252,12 @@ def _run_delta(models: _Models, test: Row, limits: Limits) -> tuple[DataFrame, d
     before = models.store.read_snapshot(base, test.snapshot_suffix)
     view = models.get(test.model_name)
     found = compare_delta(view, before, test["keys"], list(test["columns"]) or None, limits=limits)
-    view_rows = view.count()
+    view_rows = found.stats["view_rows"]
     return found.rows, {
         "source_model": test.model_name,
         "source_row_count": view_rows,
         "target_model": base,
-        "target_row_count_before": before.count(),
+        "target_row_count_before": found.stats["before_rows"],
         "target_row_count_after": view_rows if base == test.model_name else models.get(base).count(),
         "rows_compared": view_rows,
         "total_anomalies_count": found.stats["total_changes"],
@@ -288,7 +288,8 @@ _RUNNERS = {FULL: _run_full, DELTA: _run_delta, DELETE: _run_delete}
 _COUNTS = [f.name for f in ANOMALY_SCHEMA if f.name.endswith("_count")]
 
 
-def _check_test(test: Row) -> None:
+def _check_test(store: TableStore, test: Row) -> None:
+    """What can be known to be wrong before any job runs."""
     if not test["keys"]:
         raise ValueError(
             f"validation suite: key_column is empty for model_name={test.model_name}, test_type={test.test_type}"
@@ -298,6 +299,13 @@ def _check_test(test: Row) -> None:
             f"validation suite: unsupported test_type={test.test_type} for model_name={test.model_name}; "
             f"allowed: {', '.join(_RUNNERS)}"
         )
+    if test.test_type == FULL:
+        _required(test.test_query_model, "test_query_model", test)
+        base = test.resolved_base_model if test.model_name.endswith(SLICE_SUFFIX) else None
+    else:
+        base = _required(test.resolved_base_model, "base_model", test)
+    if base:
+        store.snapshot_parts(base, test.snapshot_suffix)
 
 
 def _log_rows(test: Row, run: dict[str, str], measured: dict, started: datetime, ended: datetime) -> tuple[dict, dict]:
@@ -306,6 +314,7 @@ def _log_rows(test: Row, run: dict[str, str], measured: dict, started: datetime,
     unique_keys = measured.get("unique_keys_compared")
     unmatched = counts["missing_in_target_count"] + counts["missing_in_source_count"] + counts["value_mismatch_count"]
     common = run | {
+        "audit_ts": int(ended.timestamp() * 1_000_000),
         "status": MISMATCH if counts["total_anomalies_count"] > 0 else MATCH,
         "load_type": test.load_type,
     }
@@ -330,28 +339,31 @@ def run_suite(
     test_type: str | None = None,
     parallel: int = 4,
     limits: Limits = DEFAULT_LIMITS,
+    views: bool = False,
 ) -> SuiteRun:
     """Run every configured test; number and log them in order of model and test type.
 
     Each test is a few Spark jobs: a narrow pass over its tables, which also yields its counts, and one write of
     the failing rows. Only the configuration and those counts come to the driver. Up to ``parallel`` tests submit
     their jobs at the same time, so that small tables do not leave a cluster idle. ``relations`` maps model names
-    to DataFrames (or functions that make them); other names are tables of the store. A test that cannot run
-    stops the suite; the tests before it stay logged.
+    to DataFrames (or functions that make them); other names are tables of the store.
+
+    A configuration that cannot run (no keys, unknown type, absent model name or snapshot) is refused before any job.
+    When a test fails later, no further test starts, those under way end, every finished test is logged, and then the
+    error is raised. ``views`` registers the log and failure views of the run.
     """
-    spark = store.spark
     models = _Models(store, relations or {})
     audit_run_id = f"{datetime.now(UTC):%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
     chosen = parse_config(filter_config(config, model_name, model_name_like, test_type), column_lists)
     tests = chosen.orderBy("model_name", "test_type").collect()
-    if not tests:
-        store.ensure_log(AUDIT_LOG, AUDIT_SCHEMA)
-        store.ensure_log(ANOMALY_LOG, ANOMALY_SCHEMA)
-    one_writer = {(t.test_type, t.model_name): threading.Lock() for t in tests}
+    store.ensure_log(AUDIT_LOG, AUDIT_SCHEMA)
+    store.ensure_log(ANOMALY_LOG, ANOMALY_SCHEMA)
+    for test in tests:
+        _check_test(store, test)
+    stopped = threading.Event()
 
     def execute(number: int, test: Row) -> tuple[dict, dict, dict]:
         started = datetime.now(UTC)
-        _check_test(test)
         run = {
             "audit_run_id": audit_run_id,
             "execution_id": f"{audit_run_id}_{number}",
@@ -359,8 +371,7 @@ def run_suite(
         }
         failures, measured = _RUNNERS[test.test_type](models, test, limits)
         log = failure_log(test.test_type, test.model_name)
-        with one_writer[test.test_type, test.model_name]:
-            _store_failures(store, log, failures, run)
+        _store_failures(store, log, failures, run)
         audit, anomaly = _log_rows(test, run, measured, started, datetime.now(UTC))
         outcome = {
             "test_type": test.test_type,
@@ -371,19 +382,28 @@ def run_suite(
         }
         return audit, anomaly, run | outcome
 
-    executions = []
-    with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
-        pending = [pool.submit(execute, number, test) for number, test in enumerate(tests, start=1)]
+    def attempt(number: int, test: Row) -> tuple[dict, dict, dict] | Exception | None:
+        if stopped.is_set():
+            return None
         try:
-            for future in pending:
-                audit, anomaly, execution = future.result()
-                store.append_log(AUDIT_LOG, _one_row(spark, AUDIT_SCHEMA, audit))
-                store.append_log(ANOMALY_LOG, _one_row(spark, ANOMALY_SCHEMA, anomaly))
-                executions.append(execution)
-        finally:
-            for future in pending:
-                future.cancel()
-    return SuiteRun(audit_run_id, executions)
+            return execute(number, test)
+        except Exception as error:
+            stopped.set()
+            return error
+
+    with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
+        outcomes = list(pool.map(attempt, range(1, len(tests) + 1), tests))
+    finished = [found for found in outcomes if isinstance(found, tuple)]
+    if finished:
+        _append_rows(store, AUDIT_LOG, AUDIT_SCHEMA, [audit for audit, _, _ in finished])
+        _append_rows(store, ANOMALY_LOG, ANOMALY_SCHEMA, [anomaly for _, anomaly, _ in finished])
+    run = SuiteRun(audit_run_id, [execution for _, _, execution in finished])
+    if views:
+        register_views(store, run)
+    for found in outcomes:
+        if isinstance(found, Exception):
+            raise found
+    return run
 
 
 def audit_view(store: TableStore) -> DataFrame:
@@ -421,8 +441,7 @@ def register_views(store: TableStore, run: SuiteRun) -> list[str]:
 
 def store_check_failures(store: TableStore, check_name: str, failing: DataFrame, run_id: str) -> int:
     """Append a data-quality check's failing rows to its own log; returns how many rows this run added."""
-    log = f"{check_name}_failures"
+    seen = Observation()
     stamped = failing.select(F.lit(run_id).alias("audit_run_id"), F.current_timestamp().alias("run_at"), "*")
-    store.ensure_log(log, stamped.schema)
-    store.append_log(log, stamped)
-    return store.read_log(log).where(F.col("audit_run_id") == run_id).count()
+    store.append_log(f"{check_name}_failures", stamped.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return int(seen.get.get("rows", 0))

@@ -19,6 +19,8 @@ RUN_COLUMNS = [
     "command",
     "elapsed_time",
 ]
+_BROKEN = "_ek_broken"
+_OPTIONS = {"columnNameOfCorruptRecord": _BROKEN}
 
 
 def run_label(folder: Column) -> Column:
@@ -41,28 +43,40 @@ def _number(text: Column, kind: str) -> Column:
 
 
 def read_run_results(spark: SparkSession, reports: str) -> DataFrame:
-    """Node rows of every ``<reports>/<run folder>/run_results.json``; files that are not JSON are skipped.
+    """Node rows of every ``<reports>/<run folder>/run_results.json``, as :func:`parse_run_results` makes them.
+
+    A document is as large as one run's node list, so a whole file per task is bounded; runs spread over tasks.
+    """
+    files = spark.read.text(f"{reports.rstrip('/')}/*/{FILE_NAME}", wholetext=True)
+    return parse_run_results(
+        files.select(
+            F.element_at(F.split("_metadata.file_path", "/"), -2).alias("run"),
+            F.col("_metadata.file_modification_time").alias("modified_at"),
+            F.col("value").alias("text"),
+        )
+    )
+
+
+def parse_run_results(documents: DataFrame) -> DataFrame:
+    """Node rows of documents given as ``run``, ``modified_at`` and ``text``; texts that are not JSON are skipped.
 
     A field of another type than expected never costs the row: numbers may be text, objects may be absent or text. A run
-    without results keeps one row with null node columns. A document is as large as one run's node list, so a whole
-    file per task is bounded; runs spread over tasks.
+    without results keeps one row with null node columns.
     """
+    read = F.from_json("text", f"{DOCUMENT}, {_BROKEN} STRING", _OPTIONS)
     documents = (
-        spark.read.schema(DOCUMENT)
-        .option("multiLine", True)
-        .option("mode", "DROPMALFORMED")
-        .json(f"{reports.rstrip('/')}/*/{FILE_NAME}")
-        .select("*", "_metadata.file_path", "_metadata.file_modification_time")
+        documents.select("run", "modified_at", read.alias("_ek_read"))
+        .where(f"_ek_read is not null and _ek_read.{_BROKEN} is null")
+        .select("run", "modified_at", "_ek_read.*")
     )
     invoked, which = _field("args", "invocation_command"), _field("args", "which")
     command = F.coalesce(F.when(F.length(invoked) > 0, invoked), F.when(F.length(which) > 0, which), F.lit(DEFAULT_COMMAND))
     words = F.from_json(command, "array<string>")
-    folder = F.element_at(F.split("file_path", "/"), -2)
     affected = F.coalesce(_field("node", "adapter_response", "rows_affected"), _field("node", "rows_affected"))
     return documents.select(
-        folder.alias("run"),
-        run_label(folder).alias("run_label"),
-        F.col("file_modification_time").alias("modified_at"),
+        "run",
+        run_label(F.col("run")).alias("run_label"),
+        "modified_at",
         _field("metadata", "generated_at").alias("generated_at"),
         _field("metadata", "dbt_version").alias("tool_version"),
         _field("metadata", "invocation_id").alias("invocation_id"),

@@ -2,13 +2,14 @@
 
 Layout below the root folder::
 
-    <schema>/<table>/v=<version id>/...     one complete table version
-    <schema>/<table>/_current               text: the path of the version in force
-    <schema>/<log>/...                      appended Parquet files
-
-A load writes a new version and then moves the pointer, so a reader sees the old table or the new one and a
-failed load leaves nothing behind that anyone reads. A snapshot is a pointer to the version that was in force,
-which costs nothing however large the table is. One writer per table at a time.
+    <schema>/<table>/v=<id>/...             files of one load
+    <schema>/<table>/_current               text: the folders that make up the version in force, one a line
+    <log schema>/<log>/<id>/...             files of one append
+
+A load writes a new folder and then moves the pointer, so a reader sees the old table or the new one and a failed
+load leaves nothing behind that anyone reads. An append writes its batch only and adds a line to the list. A snapshot
+is a copy of the list, which costs nothing however large the table is. One writer per table at a time; any number of
+writers per log.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from evenkeel.functions.columns import ref
 from evenkeel.operators.load import append, delete_insert, upsert
 from evenkeel.sources.seeds import SNAPSHOT_SUFFIX
 
@@ -31,11 +33,21 @@ class TableMissing(ValueError):
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, schema: str = TABLE_SCHEMA, qa_schema: str = QA_SCHEMA):
+    """``qa_schema`` holds the snapshots, and the logs unless ``log_schema`` names another place for them."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: str = TABLE_SCHEMA,
+        qa_schema: str = QA_SCHEMA,
+        log_schema: str | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.qa_schema = qa_schema
+        self.log_schema = log_schema or qa_schema
 
     # -- small files -------------------------------------------------------------------------------------
 
@@ -48,27 +60,29 @@ class TableStore:
         fs, hadoop_path = self._file(path)
         return fs.exists(hadoop_path)
 
-    def _read_pointer(self, folder: str) -> str | None:
+    def _read_pointer(self, folder: str) -> list[str] | None:
+        """The folders of a version; None when there is no pointer."""
         if not self._exists(f"{folder}/_current"):
             return None
         fs, hadoop_path = self._file(f"{folder}/_current")
         stream = fs.open(hadoop_path)
         try:
-            version = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        if not version:
+        parts = [line.strip() for line in text.splitlines() if line.strip()]
+        if not parts:
             raise TableMissing(f"the pointer {folder}/_current is empty; write the table or its snapshot again")
-        return version
+        return parts
 
-    def _write_pointer(self, folder: str, version_path: str) -> None:
+    def _write_pointer(self, folder: str, parts: list[str]) -> None:
         """Write the new pointer beside the old one and rename it over, so that a reader sees either."""
         jvm = self.spark._jvm
         fresh, current = f"{folder}/_current.{uuid.uuid4().hex}", f"{folder}/_current"
         fs, hadoop_path = self._file(fresh)
         stream = fs.create(hadoop_path, False)
         try:
-            stream.write(bytearray(version_path.encode("utf-8")))
+            stream.write(bytearray("\n".join(parts).encode("utf-8")))
         finally:
             stream.close()
         path = jvm.org.apache.hadoop.fs.Path
@@ -89,27 +103,43 @@ class TableStore:
         return self._read_pointer(self._table_folder(name)) is not None
 
     def read(self, name: str) -> DataFrame:
-        version = self._read_pointer(self._table_folder(name))
-        if version is None:
+        return self.spark.read.parquet(*self.parts(name))
+
+    def parts(self, name: str) -> list[str]:
+        """The folders that make up the table at present."""
+        parts = self._read_pointer(self._table_folder(name))
+        if parts is None:
             raise TableMissing(f"table {name!r} does not exist below {self.root}/{self.schema}")
-        return self.spark.read.parquet(version)
+        return parts
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a complete new version and put it in force."""
+    def _write_part(self, name: str, df: DataFrame, beside: list[str]) -> DataFrame:
         folder = self._table_folder(name)
-        version = f"{folder}/v={uuid.uuid4().hex}"
-        df.write.parquet(version)
-        self._write_pointer(folder, version)
+        fresh = f"{folder}/v={uuid.uuid4().hex}"
+        df.write.parquet(fresh)
+        self._write_pointer(folder, [*beside, fresh])
         return self.read(name)
 
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a complete new version and put it in force; ``write(name, read(name))`` joins the parts of many appends."""
+        return self._write_part(name, df, [])
+
+    def _append(self, name: str, target: DataFrame, batch: DataFrame) -> DataFrame:
+        """Add the batch as a part of its own; the whole table is written anew only if the batch widens a column."""
+        result = append(target, batch)
+        if [f.dataType for f in result.schema] != [f.dataType for f in target.schema]:
+            return self.write(name, result)
+        types = {f.name: f.dataType for f in target.schema}
+        rows = batch.select(*[ref(c).cast(t).alias(c) for c, t in types.items()])
+        return self._write_part(name, rows, self.parts(name))
+
     def expire(self, name: str) -> int:
-        """Delete versions that neither the table nor any snapshot, whatever its suffix, points to; returns how many."""
+        """Delete folders that neither the table nor any snapshot, whatever its suffix, points to; returns how many."""
         folder = self._table_folder(name)
         pointers = [self._read_pointer(folder)]
         fs, snapshots = self._file(f"{self.root}/{self.qa_schema}")
         if fs.exists(snapshots):
             pointers += [self._read_pointer(str(status.getPath())) for status in fs.listStatus(snapshots)]
-        in_use = {path.rsplit("/", 1)[-1] for path in pointers if path}
+        in_use = {path.rsplit("/", 1)[-1] for parts in pointers for path in parts or []}
         fs, hadoop_path = self._file(folder)
         removed = 0
         for status in fs.listStatus(hadoop_path):
@@ -129,18 +159,19 @@ class TableStore:
 
     def take_snapshot(self, name: str, suffix: str | None = None) -> None:
         """Make the table's present version its before-load snapshot."""
-        version = self._read_pointer(self._table_folder(name))
-        if version is None:
-            raise TableMissing(f"table {name!r} does not exist below {self.root}/{self.schema}")
-        self._write_pointer(self._snapshot_folder(name, suffix), version)
+        self._write_pointer(self._snapshot_folder(name, suffix), self.parts(name))
 
-    def read_snapshot(self, name: str, suffix: str | None = None) -> DataFrame:
-        version = self._read_pointer(self._snapshot_folder(name, suffix))
-        if version is None:
+    def snapshot_parts(self, name: str, suffix: str | None = None) -> list[str]:
+        """The folders that make up the snapshot; an error when there is none."""
+        parts = self._read_pointer(self._snapshot_folder(name, suffix))
+        if parts is None:
             raise TableMissing(
                 f"before-load snapshot {self.snapshot_name(name, suffix)} not found; load the table first"
             )
-        return self.spark.read.parquet(version)
+        return parts
+
+    def read_snapshot(self, name: str, suffix: str | None = None) -> DataFrame:
+        return self.spark.read.parquet(*self.snapshot_parts(name, suffix))
 
     def load(
         self,
@@ -166,7 +197,8 @@ class TableStore:
         elif strategy == "delete_insert":
             result = delete_insert(target, batch, unique_key)
         elif strategy == "append":
-            result = append(target, batch)
+            self.take_snapshot(name)
+            return self._append(name, target, batch)
         else:
             raise ValueError(f"unknown load strategy {strategy!r}")
         self.take_snapshot(name)
@@ -175,20 +207,23 @@ class TableStore:
     # -- logs --------------------------------------------------------------------------------------------
 
     def log_path(self, name: str) -> str:
-        return f"{self.root}/{self.qa_schema}/{name}"
+        return f"{self.root}/{self.log_schema}/{name}"
 
     def ensure_log(self, name: str, schema: T.StructType) -> None:
         """Create an empty log with this schema unless there is one."""
-        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.log_path(name))
+        if not self._exists(self.log_path(name)):
+            self.append_log(name, self.spark.createDataFrame([], schema))
 
     def append_log(self, name: str, rows: DataFrame) -> None:
-        """Append by column name; columns that the log lacks are added to it."""
-        rows.write.mode("append").parquet(self.log_path(name))
+        """Append by column name, into a folder of its own, so that writers never meet; columns that the log lacks
+        are added to it."""
+        rows.write.parquet(f"{self.log_path(name)}/{uuid.uuid4().hex}")
 
     def read_log(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """All appended rows; columns missing in older files are null."""
         if not self._exists(self.log_path(name)):
-            raise TableMissing(f"log {name!r} does not exist below {self.root}/{self.qa_schema}")
+            raise TableMissing(f"log {name!r} does not exist below {self.root}/{self.log_schema}")
+        reader = self.spark.read.option("recursiveFileLookup", True)
         if schema is not None:
-            return self.spark.read.schema(schema).parquet(self.log_path(name))
-        return self.spark.read.option("mergeSchema", True).parquet(self.log_path(name))
+            return reader.schema(schema).parquet(self.log_path(name))
+        return reader.option("mergeSchema", True).parquet(self.log_path(name))

@@ -18,7 +18,6 @@ from evenkeel import (
     watermark_slice,
 )
 from evenkeel.functions.mapping import map_values, marker, sales_role
-from evenkeel.operators.slices import _repeat
 from evenkeel.operators.staging import CUSTOMER_COLUMNS, MATERIAL_COLUMNS
 
 SCHEMA = "k string, a string"
@@ -94,10 +93,11 @@ def test_watermark_filter_reaches_the_scan(spark, tmp_path):
 
 
 def brute_force(current, snapshot):
+    """Every current row once per occurrence, if its key is new or any snapshot row of its key differs."""
     found = Counter()
     for key, value in current:
         matches = [v for k, v in snapshot if key is not None and k == key]
-        found[key, value] += sum(v != value for v in matches) if matches else 1
+        found[key, value] += not matches or any(v != value for v in matches)
     return +found
 
 
@@ -121,12 +121,20 @@ def test_unchanged_table_has_no_slice(spark, limits):
     assert rows(changed_rows(df, df.where("false"), "k", limits=limits)) == rows(df)
 
 
-def test_repeat_in_steps(spark, monkeypatch):
-    from evenkeel.operators import slices
+def test_slice_of_many_rows_per_key_is_no_larger_than_the_table(spark, limits):
+    current = frame(spark, [("1", "x"), ("1", "y"), ("1", "x")])
+    snapshot = frame(spark, [("1", str(i)) for i in range(500)])
+    assert rows(changed_rows(current, snapshot, "k", limits=limits)) == rows(current)
 
-    monkeypatch.setattr(slices, "_REPEAT_STEP", 3)
-    df = frame(spark, [("a", 1), ("b", 3), ("c", 7)], "k string, n bigint")
-    assert Counter(r.k for r in _repeat(df, "n").collect()) == {"a": 1, "b": 3, "c": 7}
+
+def test_slice_compares_nested_values(spark, limits):
+    text = "k int, m map<string,int>, a array<string>, s struct<x:int,y:int>"
+    current = frame(spark, [(1, {"a": 1, "b": 2}, [None, "x"], (None, 1)), (2, {"a": 1}, [], (1, 1)), (3, None, None, None)], text)
+    snapshot = frame(spark, [(1, {"b": 2, "a": 1}, [None, "x"], (None, 1)), (2, {"a": 2}, [], (1, 1)), (3, None, None, None)], text)
+    assert [r.k for r in changed_rows(current, snapshot, "k", limits=limits).collect()] == [2]
+    moved = snapshot.selectExpr("k", "m", "reverse(a) as a", "named_struct('x', s.y, 'y', s.x) as s")
+    found = changed_rows(snapshot, moved, "k", limits=limits)
+    assert sorted(r.k for r in found.collect()) == [1, 3]  # 3: a null struct is not a struct of nulls
 
 
 # -- loads ---------------------------------------------------------------------------------------------------
@@ -156,6 +164,8 @@ def test_repeated_batch_keys(spark, limits):
     assert rows(delete_insert(target, batch, "k", limits=limits)) == rows(batch)
     assert rows(append(target, batch)) == rows(target) + rows(batch)
     assert rows(latest_per_key(batch.where("k = '1'"), "k", "a")) == {("1", "b"): 1}
+    mapped = frame(spark, [(1, 1, {"a": 1}), (1, 2, {"b": 2}), (None, 3, None)], "k int, v int, m map<string,int>")
+    assert [(r.k, r.v, r.m) for r in latest_per_key(mapped, "k", "v").orderBy("v").collect()] == [(1, 2, {"b": 2}), (None, 3, None)]
 
 
 # -- versioned tables ----------------------------------------------------------------------------------------
@@ -186,6 +196,32 @@ def test_store_keeps_the_state_before_each_load(spark, tmp_path):
         store.load("t", first, "k", strategy="merge")
 
 
+def test_an_append_writes_its_batch_only(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.load("t", frame(spark, [("1", "a"), ("2", "a")]), "k")
+    first = store.parts("t")
+    store.load("t", frame(spark, [("3", "b")]).select("a", "k"), strategy="append")
+    both = store.parts("t")
+    assert both[:1] == first and spark.read.parquet(both[1]).count() == 1
+    assert rows(store.read("t")) == {("1", "a"): 1, ("2", "a"): 1, ("3", "b"): 1}
+    assert store.snapshot_parts("t") == first and store.expire("t") == 0
+    assert store.load("t", frame(spark, [("2", "z")]), "k").count() == 3 and len(store.parts("t")) == 1
+    wide = frame(spark, [(1,)], "n int")
+    store.write("w", wide)
+    assert store.load("w", frame(spark, [(5_000_000_000,)], "n bigint"), strategy="append").count() == 2
+    assert store.read("w").schema["n"].dataType.simpleString() == "bigint"
+
+
+def test_an_empty_pointer_is_an_error(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.write("t", frame(spark, [("1", "a")]))
+    for file in (tmp_path / "SILVER" / "t").glob("._current*"):
+        file.unlink()
+    (tmp_path / "SILVER" / "t" / "_current").write_text("")
+    with pytest.raises(TableMissing, match="is empty"):
+        store.read("t")
+
+
 def test_failed_load_leaves_the_table_as_it_was(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.load("t", frame(spark, [("1", "a")]), "k")

@@ -318,3 +318,70 @@ def test_config_columns_are_found_by_name(spark, tmp_path):
     file.write_text("Test_Type,model_name,key_column\nfull,m,\"a,\tb \"\n")
     config = ek.read_test_config(spark, str(file)).collect()
     assert [(r.model_name, r.test_type, r.base_model) for r in config] == [("m", "full", None)]
+
+
+def failing(session):
+    raise RuntimeError("no such source")
+
+
+def test_a_failing_test_leaves_the_finished_ones_logged(spark, loaded):
+    store, relations = loaded
+    tests = config(
+        spark,
+        {"model_name": "t", "test_type": suite.DELETE, "key_column": "k", "base_model": "t"},
+        {"model_name": "u", "test_type": suite.FULL, "key_column": "k", "test_query_model": "expected"},
+        {"model_name": "v", "test_type": suite.FULL, "key_column": "k", "test_query_model": "expected"},
+    )
+    relations = relations | {"u": failing, "v": relations["expected"]}
+    with pytest.raises(RuntimeError, match="no such source"):
+        ek.run_suite(store, tests, relations, parallel=1, views=True)
+    assert [r.model_name for r in ek.audit_view(store).collect()] == ["t"]
+    assert [r.model_name for r in spark.table("v_validation_anomaly_log").collect()] == ["t"]
+    assert spark.table("v_hard_delete_t_failures").count() == 1
+
+
+def test_nothing_runs_when_a_test_cannot(spark, loaded):
+    store, relations = loaded
+    tests = config(
+        spark,
+        {"model_name": "a", "test_type": suite.DELETE, "key_column": "k", "base_model": "absent"},
+        {"model_name": "t", "test_type": suite.DELETE, "key_column": "k", "base_model": "t"},
+    )
+    with pytest.raises(ek.TableMissing):
+        ek.run_suite(store, tests, relations)
+    assert ek.audit_view(store).count() == 0
+    with pytest.raises(ek.TableMissing):
+        store.read_log("hard_delete_t_failures")
+
+
+def test_counts_include_rows_with_null_keys(spark, tmp_path):
+    store = ek.TableStore(spark, str(tmp_path), log_schema="LOGS")
+    store.load("t", frame(spark, [("1", "a", "x"), (None, "b", "y")]), "k")
+    store.write("t", frame(spark, [("1", "a", "z"), (None, "b", "y"), (None, "c", "y")]))
+    ek.run_suite(store, config(spark, {"model_name": "t", "test_type": suite.DELTA, "key_column": "k", "base_model": "t"}))
+    (row,) = ek.audit_view(store).collect()
+    assert (row.source_row_count, row.target_row_count_before, row.anomaly_count) == (3, 2, 1)
+    assert (tmp_path / "LOGS" / suite.AUDIT_LOG).is_dir() and not (tmp_path / "QA" / suite.AUDIT_LOG).exists()
+
+
+def test_audit_time_is_the_session_clock(spark, loaded, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        store, relations = loaded
+        tests = config(spark, {"model_name": "t", "test_type": suite.DELETE, "key_column": "k", "base_model": "t"})
+        ek.run_suite(store, tests, relations)
+        audit = ek.audit_view(store).selectExpr("abs(timestampdiff(SECOND, audit_ts, cast(now() as timestamp_ntz))) as off")
+        assert audit.first().off < 600
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_check_rows_are_counted_by_the_write(spark, tmp_path):
+    store = ek.TableStore(spark, str(tmp_path))
+    rows = frame(spark, [("1", None, "x"), ("2", None, "y")])
+    assert [ek.store_check_failures(store, "c", rows, "run1") for _ in range(2)] == [2, 2]
+    assert store.read_log("c_failures").count() == 4

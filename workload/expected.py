@@ -345,11 +345,45 @@ WHERE FIVETRANSYNC_DATE > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate
         "M_NBR",
         ["LVL_CD", "M_GRP", "OM_NBR", "M_TP", "T_SH_LF", "M_SH_LF", "BA_UOM", "B_M_IND"],
     ),
+    "delta_slice_duplicates": f"""WITH {r.LINEITEM_LOAD_SQL}
+SELECT a.* FROM after_load a
+WHERE NOT EXISTS (SELECT 1 FROM before_load b WHERE b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber)
+   OR EXISTS (
+     SELECT 1 FROM before_load b WHERE b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber
+     AND ({' OR '.join(f'a.{c} IS DISTINCT FROM b.{c}' for c in others(LINEITEM, LINE_KEY))}))""",
     "upsert_by_key": f"WITH {r.ORDERS_BATCH_SQL} {UPSERTED}",
     "append_load": f"WITH {r.ORDERS_BATCH_SQL} SELECT * FROM orders UNION ALL SELECT * FROM batch",
     "delete_insert_load": f"WITH {r.ORDERS_REPEATED_BATCH_SQL} {UPSERTED}",
     "snapshot_then_upsert": f"""WITH {r.ORDERS_BATCH_SQL}
 SELECT *, 'after' AS state FROM ({UPSERTED}) UNION ALL SELECT *, 'before' AS state FROM orders""",
+    "append_store": f"""WITH {r.ORDERS_BATCH_SQL}
+SELECT *, 'after' AS state FROM (SELECT * FROM orders UNION ALL SELECT * FROM batch)
+UNION ALL SELECT *, 'before' AS state FROM orders""",
+    "upsert_latest": f"""WITH {r.ORDERS_BATCH_SQL}
+SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)
+UNION ALL SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM batch""",
+    "suite_after_failure": f"""WITH {SUITE_CTES}
+SELECT 'a_orders' AS model_name, 'comprehensive_compare' AS test_type, {STATUS}, n_target AS source_row_count,
+       n_source AS rows_compared,
+       unique_keys_count - missing_in_target_count - missing_in_source_count - value_mismatch_count AS match_count
+FROM full_counts, key_counts, sizes""",
+    "suite_config_csv": """SELECT 'part_' || p_partkey AS model_name, 'comprehensive_compare' AS test_type,
+       p_brand || '/' || p_type AS key_names, CAST(NULL AS VARCHAR) AS resolved_base_model,
+       '_BEFORE_DELTA' AS snapshot_suffix, 'FULL_LOAD' AS load_type
+FROM part""",
+    "check_failures_stored": f"""WITH {r.ORDERS_PAIR_SQL},
+both_runs AS (SELECT 'first' AS audit_run_id, * FROM source UNION ALL SELECT 'second', * FROM target),
+repeated AS (
+  SELECT audit_run_id, count(*) AS n FROM (
+    SELECT audit_run_id, o_orderkey FROM both_runs GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL
+)
+SELECT audit_run_id, o_orderkey,
+       CAST(coalesce(n, 0) * 1000000 + count(*) OVER (PARTITION BY audit_run_id) AS BIGINT) AS counts
+FROM both_runs LEFT JOIN repeated USING (audit_run_id) WHERE o_orderstatus IS NULL""",
+    "run_documents": f"""WITH {r.RUN_NODES_SQL}
+SELECT run || '_' || rows_affected AS run, unique_id, status, execution_time, rows_affected,
+       CAST(1.5 AS DOUBLE) AS elapsed_time
+FROM nodes WHERE rows_affected % 97 <> 5""",
     "suite_config": SUITE_CONFIG_SQL,
     "validation_suite_audit": SUITE_AUDIT_SQL,
     "validation_suite_anomalies": SUITE_ANOMALIES_SQL,

@@ -150,6 +150,11 @@ def delta_slice_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ek.changed_rows(current, snapshot, "p_partkey")
 
 
+def delta_slice_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    after, before = recipes.lineitem_load(spark, sf_dir)
+    return ek.changed_rows(after, before, LINE_KEY)
+
+
 def delta_source_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = ek.stage_material(recipes.raw_material(spark, sf_dir))
     return ek.changed_rows(staged, recipes.older_material(staged), MATERIAL_KEY)
@@ -182,6 +187,21 @@ def snapshot_then_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.withColumn("state", F.lit("after")).unionByName(snapshot.withColumn("state", F.lit("before")))
 
 
+def append_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = recipes.orders_batch(spark, sf_dir)
+    store = ek.TableStore(spark, scratch_path(spark, "store"))
+    store.load("orders", target, ORDER_KEY)
+    loaded = store.load("orders", batch, strategy="append")
+    snapshot = store.read_snapshot("orders")
+    return loaded.withColumn("state", F.lit("after")).unionByName(snapshot.withColumn("state", F.lit("before")))
+
+
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, batch = recipes.orders_batch(spark, sf_dir, repeats=True)
+    later = batch.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    return ek.upsert(target, batch.unionByName(later), ORDER_KEY, order_by="o_totalprice")
+
+
 # -- validation suite ----------------------------------------------------------------------------------------
 
 
@@ -269,6 +289,46 @@ def suite_failures_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _suite_failures(spark, sf_dir, suite.DELETE)
 
 
+def suite_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is logged of a run in which the second of three tests fails."""
+    source, target = recipes.orders_pair(spark, sf_dir)
+    broken = source.withColumn("o_totalprice", F.raise_error(F.lit("source is broken")).cast("double"))
+    tests = [(name, suite.FULL, ORDER_KEY, "orders_expected", *[None] * 5) for name in ("a_orders", "b_broken", "c_orders")]
+    store = ek.TableStore(spark, scratch_path(spark, "suite"))
+    relations = {"a_orders": source, "b_broken": broken, "c_orders": source, "orders_expected": target}
+    try:
+        ek.run_suite(store, spark.createDataFrame(tests, text_schema(TEST_CONFIG_COLUMNS)), relations, parallel=1)
+    except Exception as error:
+        if "source is broken" not in str(error):
+            raise
+    return ek.audit_view(store).select("model_name", "test_type", "status", "source_row_count", "rows_compared", "match_count")
+
+
+def suite_config_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a line of a configuration file whose columns stand in another order."""
+    path = scratch_path(spark, "config")
+    table(spark, sf_dir, "part").select(
+        F.lit("comprehensive_compare").alias("Test_Type"),
+        F.concat(F.lit(" "), "p_brand", F.lit(",\t"), "p_type", F.lit(" ")).alias("KEY_COLUMN"),
+        F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("model_name"),
+    ).write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    parsed = ek.parse_config(ek.read_test_config(spark, path))
+    return parsed.select(
+        "model_name", "test_type", F.array_join("keys", "/").alias("key_names"), "resolved_base_model", "snapshot_suffix", "load_type"
+    )
+
+
+def check_failures_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows of a check in two runs, with the counts that storing them returned."""
+    store = ek.TableStore(spark, scratch_path(spark, "checks"))
+    stored = F.lit(None).cast("bigint")
+    for run, orders in zip(("first", "second"), recipes.orders_pair(spark, sf_dir), strict=True):
+        count = ek.store_check_failures(store, "orders_key_unique", ek.check_unique(orders, ORDER_KEY), run)
+        store_rows = ek.store_check_failures(store, "orders_status_set", ek.check_not_null(orders, "o_orderstatus"), run)
+        stored = F.when(F.col("audit_run_id") == run, F.lit(count * 1_000_000 + store_rows)).otherwise(stored)
+    return store.read_log("orders_status_set_failures").select("audit_run_id", ORDER_KEY, stored.cast("bigint").alias("counts"))
+
+
 # -- run results ---------------------------------------------------------------------------------------------
 
 
@@ -284,6 +344,11 @@ def run_top_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ek.top_durations(recipes.run_nodes(spark, sf_dir), ["run"])
 
 
+def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = ek.parse_run_results(recipes.run_documents(spark, sf_dir))
+    return nodes.select("run", "unique_id", F.lower("status").alias("status"), "execution_time", "rows_affected", "elapsed_time")
+
+
 # -- data-quality checks -------------------------------------------------------------------------------------
 
 
@@ -345,17 +410,24 @@ QUERIES: dict[str, Query] = {
         delta_slice_watermark,
         delta_source_watermark,
         delta_slice_columns,
+        delta_slice_duplicates,
         delta_source_columns,
         upsert_by_key,
         append_load,
         delete_insert_load,
         snapshot_then_upsert,
+        append_store,
+        upsert_latest,
         suite_config,
         validation_suite_audit,
         validation_suite_anomalies,
         suite_failures_full,
         suite_failures_delta,
         suite_failures_delete,
+        suite_after_failure,
+        suite_config_csv,
+        check_failures_stored,
+        run_documents,
         run_status_summary,
         run_failed_nodes,
         run_top_durations,
