@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from evenkeel import DEFAULT_LIMITS, Limits, full_compare, hard_delete_compare, top_durations
+from evenkeel import DEFAULT_LIMITS, Limits, changed_rows, full_compare, hard_delete_compare, top_durations
 from evenkeel.functions.hashing import plain_columns
 from evenkeel.operators import delta_compare as delta_module
 from evenkeel.operators import full_compare as full_module
@@ -62,6 +62,13 @@ def test_many_lone_rows_are_not_shuffled(spark):
     assert not any(word in plan for word in FORBIDDEN)
 
 
+def test_slices_read_the_snapshot_once_and_join_no_rows(spark):
+    after, before = recipes.lineitem_load(spark, SF_DIR)
+    plan = plan_of(changed_rows(after, before, ["l_orderkey", "l_linenumber"]))
+    assert exchanges(plan) == 0 and plan.count("Join Inner") == 1 and "Aggregate" not in plan
+    assert not any(word in plan for word in FORBIDDEN)
+
+
 @pytest.mark.parametrize("hot_rows", [1, 10**9])
 def test_large_key_sets_are_not_broadcast(spark, hot_rows):
     after, before = recipes.orders_load(spark, SF_DIR)
