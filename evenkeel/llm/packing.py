@@ -72,8 +72,8 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> list[Group]:
     """Fix sequences that dominate all others holding the same piece, and take their pieces out of ``counts``.
 
     For a piece j, longest first, with k the longest other piece that fits beside it, {j, k} is best if it fills the
-    sequence, if no two further pieces fit beside j, or if no pair that fits beside j is longer than k, as then any
-    pair's places can be given to k and the pair be put where k was. {j} is best if nothing fits beside it.
+    sequence, if no two further pieces fit beside j, or if no three do and no pair that fits is longer than k, as then
+    any pair's places can be given to k and the pair be put where k was. {j} is best if nothing fits beside it.
     """
     fixed = []
     sizes = sorted(s for s, n in counts.items() if n)
@@ -86,7 +86,8 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> list[Group]:
                 counts[size] = 0
                 break
             partner = alone[-1]
-            if partner != room and _least(counts, sizes, [size], 2) <= room and _largest_pair(counts, sizes, size, room) > partner:
+            two, three = (_least(counts, sizes, [size], n) <= room for n in (2, 3))
+            if partner != room and two and (three or _largest_pair(counts, sizes, size, room) > partner):
                 break
             if partner == size:
                 bins = counts[size] // 2
