@@ -7,7 +7,7 @@
 3. Every vector is written to the list of its nearest centroid, and a vector near a boundary also to the lists of
    further centroids that are almost as near. ``TOGETHER`` lists make a bundle, and bundles are
    split into parts of about ``part_rows`` rows, so that no list, however many copies of one vector it holds, meets
-   in one task.
+   in one task. Queries are dealt into ``slots`` of about ``slot_queries``, for the same reason.
 4. A query searches the lists whose centroids are at most ``ratio`` times as far as the nearest one. The ratio is the
    smallest that reaches ``target`` recall for sample vectors against the exact neighbours in the sample.
 5. Parts and queries are joined; a part compares a query with the rows of the lists it searches and returns the
@@ -31,6 +31,7 @@ NEAREST = 10
 MOST_SAMPLE = 16_384
 LIST_SIZE = 128
 PART_ROWS = 4096
+SLOT_QUERIES = 16_384
 TOGETHER = 8
 MOST_COPIES = 2
 BOUNDARY = 1.1
@@ -200,6 +201,7 @@ def nearest_neighbours(
     most_sample: int = MOST_SAMPLE,
     list_size: int = LIST_SIZE,
     part_rows: int = PART_ROWS,
+    slot_queries: int = SLOT_QUERIES,
     boundary: float = BOUNDARY,
     target: float = TARGET,
 ) -> DataFrame:
@@ -224,6 +226,7 @@ def nearest_neighbours(
     graph, points = fit_graph(vectors, rows, most_sample, list_size)
     ratio = calibrated_ratio(graph, points, boundary, MOST_COPIES, target, nearest)
     shared = spark.sparkContext.broadcast(graph)
+    slots = max(1, -(-asked.count() // slot_queries))
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,6 +251,7 @@ def nearest_neighbours(
     bundle = F.floor(F.col("list") / TOGETHER).cast("int")
     postings = postings.withColumn("bundle", bundle).join(split, "bundle")
     postings = postings.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).drop("parts")
+    postings = postings.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,9 +282,10 @@ def nearest_neighbours(
     probes = asked.repartition(max(2, spark.sparkContext.defaultParallelism), "vec_id").mapInArrow(
         probe, "bundle int, part long, lists array<int>, query_id long, query array<double>"
     )
+    probes = probes.withColumn("slot", F.pmod(F.xxhash64("query_id"), F.lit(slots)).cast("int"))
     hits = (
-        postings.groupBy("bundle", "part")
-        .cogroup(probes.groupBy("bundle", "part"))
+        postings.groupBy("bundle", "part", "slot")
+        .cogroup(probes.groupBy("bundle", "part", "slot"))
         .applyInPandas(lambda held, wanted: _scan(held, wanted, nearest), "query_id long, vec_id long, score double")
     )
     single = hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
