@@ -43,6 +43,18 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores added where a column has the name already."""
+    taken = {column.lower() for column in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+        taken.add(name.lower())
+    return found
+
+
 def text_bytes(column: str = "text") -> Column:
     return F.col(column).cast("binary")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import hash_words, pin, rolling_hash, runs, text_bytes
+from evenkeel.llm.common import hash_words, pin, rolling_hash, runs, spare, text_bytes
 
 MOST_ROWS = 50_000
 WINDOW = 8
@@ -234,5 +234,6 @@ def judge(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> tup
 def kept_documents(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, as they are."""
     judged, _ = judge(docs, labels, most_rows)
-    good = judged.where("kept").select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_crc() == F.col("_crc")), "left_semi")
+    known, crc = spare(docs.columns, "_id", "_crc")
+    good = judged.where("kept").select(F.col("doc_id").alias(known), F.col("crc").alias(crc)).distinct()
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col(known)) & (text_crc() == F.col(crc)), "left_semi")

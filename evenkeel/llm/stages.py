@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import WORD_PATTERN
+from evenkeel.llm.common import WORD_PATTERN, spare
 from evenkeel.llm.jaccard import jaccard_groups
 from evenkeel.llm.mixing import mix_sources
 from evenkeel.llm.packing import pack
@@ -22,12 +22,13 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays, once. Documents without words
     stay, once per doc_id; rows with a null doc_id stay only if no document of their group has one, then once."""
     groups = jaccard_groups(docs.select("doc_id", "text"))
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+    (known,) = spare(docs.columns, "_id")
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(known)).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(known)), "left_semi").dropDuplicates(["doc_id"])
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
-    """Passages that also start earlier go; a document that ends without words goes too if it lost them here."""
+    """Passages that also start earlier go; a document that loses all its words here stays, with an empty text."""
     return without_repeats(docs)
 
 
@@ -39,21 +40,20 @@ def mix(docs: DataFrame) -> DataFrame:
     mixed = mix_sources(docs.select("doc_id", "source", "text"))
     passes = mixed.pieces.groupBy("doc", "pass").agg(F.min("first").alias("_first"), F.sum("words").alias("_words"))
     known = mixed.documents.select("doc", F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
-    taken = known.join(passes, "doc").select("_id", "_source", "_size", "_first", "_words")
-    same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    )
+    names = ["_id", "_source", "_size", "_first", "_words"]
+    own = spare(docs.columns, *names)
+    taken = known.join(passes, "doc").select(*[F.col(name).alias(alias) for name, alias in zip(names, own)])
+    doc_id, source, size, first, taken_words = map(F.col, own)
+    same = F.col("doc_id").cast("long").eqNullSafe(doc_id) & F.col("source").cast("string").eqNullSafe(source)
     joined = docs.dropDuplicates(["doc_id", "source"]).join(taken, same)
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD_PATTERN})"), F.lit(1))
-    part = F.array_join(F.slice(words, F.col("_first").cast("int") + 1, F.col("_words").cast("int")), " ")
-    text = F.when(F.col("_words") < F.col("_size"), part).otherwise(F.col("text"))
+    part = F.array_join(F.slice(words, first.cast("int") + 1, taken_words.cast("int")), " ")
+    text = F.when(taken_words < size, part).otherwise(F.col("text"))
     columns = {"text": text}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_words") < F.col("_size"), F.length(part).cast(docs.schema["n_chars"].dataType)).otherwise(
-            F.col("n_chars")
-        )
-    return joined.withColumns(columns).select(*docs.columns)
+        length = F.length(part).cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(taken_words < size, length).otherwise(F.col("n_chars"))
+    return joined.withColumns(columns).select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def pack_sequences(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.llm.common import chunks, hash_words, pin, rolling_hash, runs, text_bytes, total_bytes
+from evenkeel.llm.common import chunks, hash_words, pin, rolling_hash, runs, spare, text_bytes, total_bytes
 
 WIDTH = 20
 FRAGMENT_BYTES = 12 << 20  # text whose windows meet in one fragment
@@ -169,18 +169,21 @@ def _strip(body: bytes | None, parts: list[bytes] | None, width: int) -> tuple[i
     return len(words), edge.reshape(-1, 2).tolist(), b" ".join(np.array(words, object)[~gone].tolist())
 
 
-def _with_repeats(docs: DataFrame, width: int, fragment_bytes: int) -> DataFrame:
-    """The documents with ``_body`` (the text's bytes) and ``_parts`` (packed repeat starts, null: none)."""
+def _with_repeats(docs: DataFrame, width: int, fragment_bytes: int, body: str, parts: str) -> DataFrame:
+    """The documents with two more columns, ``body`` (the text's bytes) and ``parts`` (packed repeat starts, null: none)."""
+    own_id, own_crc, its_id, its_crc = spare([*docs.columns, body, parts], "_id", "_crc", "_fid", "_fcrc")
     # Written first, so that the shuffle of the windows is gone before the texts are shuffled.
-    found = pin(repeated_starts(docs, width, fragment_bytes), "repeats").withColumnsRenamed({"id": "_fid", "crc": "_fcrc", "parts": "_parts"})
+    found = pin(repeated_starts(docs, width, fragment_bytes), "repeats")
+    found = found.withColumnsRenamed({"id": its_id, "crc": its_crc, "parts": parts})
     keyed = docs.withColumns(
         {
-            "_body": text_bytes(),
-            "_id": F.coalesce("doc_id", F.lit(_NO_ID)).cast("long"),
-            "_crc": F.crc32(F.coalesce(text_bytes(), F.lit(b""))),
+            body: text_bytes(),
+            own_id: F.coalesce("doc_id", F.lit(_NO_ID)).cast("long"),
+            own_crc: F.crc32(F.coalesce(text_bytes(), F.lit(b""))),
         }
     )
-    return keyed.join(found, (F.col("_id") == F.col("_fid")) & (F.col("_crc") == F.col("_fcrc")), "left")
+    joined = keyed.join(found, (F.col(own_id) == F.col(its_id)) & (F.col(own_crc) == F.col(its_crc)), "left")
+    return joined.select(body, *[F.col(f"`{name}`") for name in docs.columns], parts)
 
 
 def strip_repeats(docs: DataFrame, width: int = WIDTH, fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
@@ -212,7 +215,7 @@ def strip_repeats(docs: DataFrame, width: int = WIDTH, fragment_bytes: int = FRA
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _with_repeats(rows, width, fragment_bytes).select("doc_id", "_body", "_parts").mapInArrow(
+    return _with_repeats(rows, width, fragment_bytes, "_body", "_parts").select("doc_id", "_body", "_parts").mapInArrow(
         strip, "doc_id long, n_words long, n_removed long, spans array<struct<first: long, past: long>>, kept binary"
     )
 
@@ -224,24 +227,25 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, fragment_bytes: int = F
     new length. A document may end empty; its row stays. All other columns are carried as they are.
     """
 
-    names = docs.columns
+    body, parts = spare(docs.columns, "_body", "_parts")
+    names = [f"c{n}" for n in range(len(docs.columns))]  # own names may hold dots, which Python tasks do not take
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [_strip(b, p, width) for b, p in zip(batch["_body"].to_pylist(), batch["_parts"].to_pylist())]
+            done = [_strip(b, p, width) for b, p in zip(batch["body"].to_pylist(), batch["parts"].to_pylist())]
             yield pa.record_batch(
-                [batch["_body"], pa.array([x[2] if x[1] else None for x in done], pa.binary())]
+                [pa.array([x[2] if x[1] else None for x in done], pa.binary())]
                 + [batch[c] for c in names],
-                ["_body", "_kept", *names],
+                ["fresh", *names],
             )
 
-    joined = _with_repeats(docs, width, fragment_bytes).select("_body", *[F.col(f"`{c}`") for c in names], "_parts")
-    fields = [T.StructField("_body", T.BinaryType()), T.StructField("_kept", T.BinaryType()), *docs.schema.fields]
-    cleared = joined.mapInArrow(cut, T.StructType(fields))
-    fresh = F.col("_kept").cast("string")
+    joined = _with_repeats(docs, width, fragment_bytes, body, parts).toDF("body", *names, "parts")
+    carried = [T.StructField(name, field.dataType) for name, field in zip(names, docs.schema.fields)]
+    cleared = joined.mapInArrow(cut, T.StructType([T.StructField("fresh", T.BinaryType()), *carried]))
+    fresh = F.col("fresh").cast("string")
     outputs = []
-    for field in docs.schema.fields:
-        column = F.col(f"`{field.name}`")
+    for name, field in zip(names, docs.schema.fields):
+        column = F.col(name)
         if field.name == "text":
             column = F.coalesce(fresh, column)
         elif field.name == "n_chars":

@@ -10,7 +10,7 @@ from evenkeel.llm.html_text import extract, main_text
 from evenkeel.llm.jaccard import jaccard_groups
 from evenkeel.llm.mixing import mixed_sizes
 from evenkeel.llm.neighbours import nearest_neighbours
-from evenkeel.llm.packing import pack, pack_counts
+from evenkeel.llm.packing import pack, pack_counts, reduce_by_dominance
 from evenkeel.llm.quality import judge
 from evenkeel.llm.separators import scan_separators, token_counts
 from evenkeel.llm.sharding import shard_rows
@@ -18,6 +18,7 @@ from evenkeel.llm.substring import strip_repeats
 from evenkeel.llm.toxicity import toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, slot string, frag string, token int"
+CLASHING = ("_id", "_crc", "_body", "_parts", "_kept", "_fid", "_fcrc", "_source", "_size", "_first", "_words", "crc", "kept", "doc", "A b.c")
 LABELS = "doc_id long, quality int, toxic int"
 PASSAGE = " ".join(f"w{i}" for i in range(40))
 TEXTS = [
@@ -167,6 +168,54 @@ def test_pipeline_takes_odd_rows(spark, docs, labels, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
 
 
+def test_stages_carry_columns_with_the_names_they_use_themselves(spark, docs, labels, tmp_path):
+    labels.coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    wide = docs.select("*", *[F.lit(f"own {name}").alias(name) for name in CLASHING])
+    for _, stage in corpus_pipeline.STAGES:
+        plain, found = stage(spark, docs, str(tmp_path)), stage(spark, wide, str(tmp_path))
+        if stage is corpus_pipeline.pack:
+            assert found.count() == plain.count()
+            continue
+        assert found.columns == wide.columns and found.count() == plain.count() > 0
+        assert all(row[name] == f"own {name}" for row in rows(found) for name in CLASHING)
+
+
+def test_neighbours_do_not_depend_on_parts_or_slots(spark):
+    vectors = [(i, [float(i % 7), float(i % 11), 1 + i / 100]) for i in range(1000)]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    one, many = (
+        sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in nearest_neighbours(table, **options).collect())
+        for options in ({}, {"part_rows": 16, "slot_queries": 3})
+    )
+    assert one == many and len(one) == 100
+
+
+def test_dominance_never_costs_a_sequence():
+    import itertools
+    import random
+
+    def fewest(pieces, capacity):
+        """Exact, by trying all ways to fill the sequence that takes the first piece."""
+        if not pieces:
+            return 0
+        first, rest = pieces[0], pieces[1:]
+        best = len(pieces)
+        for n in range(len(rest) + 1):
+            for chosen in itertools.combinations(range(len(rest)), n):
+                if first + sum(rest[i] for i in chosen) <= capacity:
+                    left = [p for i, p in enumerate(rest) if i not in chosen]
+                    best = min(best, 1 + fewest(left, capacity))
+        return best
+
+    draw = random.Random(5)
+    for _ in range(150):
+        pieces = sorted((draw.randint(2, 20) for _ in range(draw.randint(1, 7))), reverse=True)
+        counts = {size: pieces.count(size) for size in set(pieces)}
+        fixed = reduce_by_dominance(counts, 20)
+        left = sorted((size for size, n in counts.items() for _ in range(n)), reverse=True)
+        assert sum(group.bins for group in fixed) + fewest(left, 20) == fewest(pieces, 20), pieces
+
+
 def test_digest_of_kept_words(docs):
     query = strip_repeats(docs).select("doc_id", F.sha2("kept", 256).alias("kept"))
     assert {r["kept"] for r in rows(query) if r["doc_id"] == 3} == {hashlib.sha256(b"").hexdigest()}
