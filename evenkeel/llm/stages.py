@@ -12,6 +12,10 @@ from evenkeel.llm.packing import pack
 from evenkeel.llm.quality import kept_documents
 from evenkeel.llm.substring import without_repeats
 
+# The near-duplicate rule of the stages; op8_jaccard has its own.
+NEAR_WIDTH = 5
+NEAR_PERCENT = 80
+
 
 def drop_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -19,9 +23,9 @@ def drop_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays, once. Documents without words
+    """Near-duplicates share 80 percent of their five-word shingles. Of each group the document with the smallest doc_id stays, once. Documents without words
     stay, once per doc_id; rows with a null doc_id stay only if no document of their group has one, then once."""
-    groups = jaccard_groups(docs.select("doc_id", "text"))
+    groups = jaccard_groups(docs.select("doc_id", "text"), NEAR_WIDTH, NEAR_PERCENT)
     (known,) = spare(docs.columns, "_id")
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(known)).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(known)), "left_semi").dropDuplicates(["doc_id"])
