@@ -56,8 +56,8 @@ def set_digest(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
-def document_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, set_id) per row; ``set_id`` is null for a document without words."""
+def document_sets(docs: DataFrame, width: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_shingles, set_id) and the ``carried`` columns per row; ``set_id`` is null for a document without words."""
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,12 +67,13 @@ def document_sets(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
                 sizes.append(len(found))
                 ids.append(set_digest(found) if len(found) else None)
             yield pa.record_batch(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())],
-                ["doc_id", "n_shingles", "set_id"],
+                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), *[batch[c] for c in carried]],
+                ["doc_id", "n_shingles", "set_id", *carried],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"))
-    return rows.mapInArrow(digest, "doc_id long, n_shingles long, set_id long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("body"), *carried)
+    own = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in carried]
+    return rows.mapInArrow(digest, ", ".join(["doc_id long, n_shingles long, set_id long", *own]))
 
 
 def _packed(batches: Iterable[pd.DataFrame], width: int, fragments: int) -> Iterator[pd.DataFrame]:
@@ -290,6 +291,19 @@ def set_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT
     return _merged(links)
 
 
+def first_of_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(same, row) of one row per group of ``docs`` (doc_id, text, and the texts same and row, never null): the smallest
+    doc_id, nulls last, then the smallest ``same`` and ``row``. Rows without words are one group per ``same``."""
+    members = pin(document_sets(docs, width, ("same", "row")), "sets")
+    roots = set_components(docs, width, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "same", "row")).alias("first")
+    # By set before by group, so that copies meet in no join.
+    sets = members.groupBy("set_id", F.when(F.col("set_id").isNull(), F.col("same")).alias("wordless")).agg(first)
+    grouped = sets.join(roots, sets.set_id == roots.node, "left")
+    least = grouped.groupBy(F.coalesce("root", "set_id").alias("root"), "wordless").agg(F.min("first").alias("first"))
+    return least.select("first.same", "first.row")
+
+
 def jaccard_groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id long, text string): doc_id, n_shingles, component_id.
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import WORD_PATTERN, spare
-from evenkeel.llm.jaccard import jaccard_groups
+from evenkeel.llm.jaccard import first_of_groups
 from evenkeel.llm.mixing import mix_sources
 from evenkeel.llm.packing import pack
 from evenkeel.llm.quality import kept_documents
@@ -22,13 +22,26 @@ def drop_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return kept_documents(docs, labels)
 
 
+def _digests(docs: DataFrame) -> tuple[Column, Column]:
+    """Digests of doc_id and text, and of the whole row; maps, which have no order, are left out."""
+    marked = [F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("-")) for name in ("doc_id", "text")]
+    same = F.md5(F.concat_ws(" ", *marked))
+    others = [f for f in docs.schema.fields if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
+    # A null leaves a hash as it is, so nulls are told apart by name.
+    nulls = F.concat_ws(" ", *[F.when(F.col(f"`{f.name}`").isNull(), F.lit(f.name)) for f in others])
+    return same, F.concat_ws(" ", same, F.hex(F.xxhash64(*[F.col(f"`{f.name}`") for f in others], nulls)))
+
+
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """Near-duplicates share 80 percent of their five-word shingles. Of each group the document with the smallest doc_id stays, once. Documents without words
-    stay, once per doc_id; rows with a null doc_id stay only if no document of their group has one, then once."""
-    groups = jaccard_groups(docs.select("doc_id", "text"), NEAR_WIDTH, NEAR_PERCENT)
-    (known,) = spare(docs.columns, "_id")
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(known)).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(known)), "left_semi").dropDuplicates(["doc_id"])
+    """Near-duplicates share 80 percent of their five-word shingles. Of each group one row stays: the smallest doc_id,
+    nulls last; of several texts or rows of that doc_id the one with the smallest digest, so reruns agree. Documents
+    without words link with nothing and stay, once per doc_id and text."""
+    digests = _digests(docs)
+    narrow = docs.select("doc_id", "text", *[d.alias(name) for d, name in zip(digests, ("same", "row"))])
+    (known,) = spare(docs.columns, "_row")
+    kept = first_of_groups(narrow, NEAR_WIDTH, NEAR_PERCENT).select(F.col("row").alias(known))
+    found = docs.withColumn(known, digests[1]).join(kept, known, "left_semi").dropDuplicates([known])
+    return found.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:

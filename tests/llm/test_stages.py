@@ -31,3 +31,16 @@ def test_near_duplicates_are_held_to_five_words_and_80_percent(spark, monkeypatc
     found = sorted(row.doc_id for row in stages.one_of_each_group(table(spark, rows)).collect())
     group = near_groups(rows, monkeypatch)
     assert found == sorted(d for d in group if group[d] == d) == [1, 4, 5]
+
+
+def test_each_group_keeps_one_row_whatever_its_ids(spark):
+    a, b, c, d, e = (words(name, 40) for name in "abcde")
+    rows = [
+        (1, a, "s"), (None, a, "s"), (None, f"{a} more", "s"),  # a known id comes first
+        (None, b, "s"), (None, b, "s"), (None, c, "s"), (None, d, "s"),  # groups of null ids only
+        (2, e, "s"), (2, f"{a} tail", "s"), (2, words("f", 40), "s"), (2, e, "t"),  # one id, unlinked texts
+        (3, "", "s"), (3, "", "s"), (3, None, "s"), (None, "", "s"), (None, None, "s"),
+    ]
+    found = sorted(((r.doc_id or 0, r.text or "") for r in stages.one_of_each_group(table(spark, rows)).collect()))
+    expected = [(1, a), (0, b), (0, c), (0, d), (2, e), (2, words("f", 40)), (3, ""), (3, ""), (0, ""), (0, "")]
+    assert found == sorted(expected)
