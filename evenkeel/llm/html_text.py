@@ -3,9 +3,11 @@
 The standard library's streaming parser is fed piece by piece. Its events make *lines*: the text between two block
 boundaries, with the number of tags and of link characters seen in it. A line's text-to-tag ratio is its characters
 per tag. The ratios, in page order, are smoothed by a Gaussian; lines above the threshold (the standard deviation,
-at most half the largest smoothed value) are clusters of content. The regions they lie in are taken whole, so that an
-article keeps its heading and its short paragraphs; what is marked as menu, header, footer, sidebar, notice, advert, form,
-comment section or script is never taken.
+at most half the largest smoothed value) are clusters of content. The article or main element with most text, counted
+with all below it, is taken whole, so that it keeps its heading, short paragraphs, sections, table cells and link lists. If
+the clusters outside such elements hold more text, or there is none, what is taken is the common parent of all clusters: a
+table cell or the page, there without the mostly linked lines before the first and after the last cluster. What is marked
+as menu, header, footer, sidebar, notice, advert, form, comment section or script is never taken.
 """
 
 from __future__ import annotations
@@ -73,6 +75,7 @@ class Lines(HTMLParser):
         self.links: list[int] = []
         self.region: list[int] = []
         self.parent: list[int] = [0]
+        self.kind: list[str] = ["html"]
         self._text: list[str] = []
         self._tags = self._link = 0
         self._in_link = 0
@@ -108,6 +111,7 @@ class Lines(HTMLParser):
             clutter = True
         if tag in REGION:
             self.parent.append(region)
+            self.kind.append(tag)
             region, self.regions = self.regions, self.regions + 1
         self._in_link += tag == "a"
         self.open.append((tag, clutter, region))
@@ -173,7 +177,7 @@ def page_lines(html: str) -> Lines:
 
 
 def content_lines(lines: Lines, sigma: float = SIGMA) -> list[str]:
-    """The lines of the regions that hold a content cluster."""
+    """The lines of the article or, if the page has none that holds most of the content, of the clusters' common parent."""
     if not lines.texts:
         return []
     length = np.array([len(t) for t in lines.texts], float)
@@ -183,28 +187,51 @@ def content_lines(lines: Lines, sigma: float = SIGMA) -> list[str]:
     threshold = min(float(np.std(ratio)), float(score.max()) / 2)
     chosen = (score >= threshold) & ~dense
     region = np.array(lines.region)
-    kept = set(region[chosen].tolist())
-    articles = _articles(lines, region, length)
-    if articles:
-        kept = {r for r in kept if r in articles} or articles
-    return [text for text, r, links in zip(lines.texts, region.tolist(), dense) if r in kept and not links]
+    article = _articles(lines)[region]  # of every line, 0 outside
+    inside = np.bincount(article, length)
+    inside[0] = length[chosen & (article == 0)].sum()
+    best = int(np.argmax(inside))
+    if best:
+        kept = article == best
+    elif not chosen.any():
+        kept = ~dense
+    else:
+        at = np.flatnonzero(chosen)
+        between = (np.arange(len(dense)) > at[0]) & (np.arange(len(dense)) < at[-1])
+        kept = _below(lines, _common_parent(lines, set(region[chosen].tolist())))[region] & (~dense | between)
+    return [text for text, keep in zip(lines.texts, kept.tolist()) if keep]
+
+
+def _articles(lines: Lines) -> np.ndarray:
+    """The outermost article or main element around each region, 0 where there is none."""
+    found = np.zeros(len(lines.parent), np.int64)
+    for at in range(1, len(found)):  # parents come first
+        found[at] = found[lines.parent[at]] or (at if lines.kind[at] in ("article", "main") else 0)
+    return found
 
 
-def _articles(lines: Lines, region: np.ndarray, length: np.ndarray) -> set[int]:
-    """The region with most text, the regions below it and their common parents other than the page's."""
-    inside = [int(length[region == r].sum()) for r in range(len(lines.parent))]
-    best = int(np.argmax(inside))
-    found = {best}
-    for child in range(len(lines.parent)):
-        at = child
-        while at:
-            if at == best:
-                found.add(child)
-                break
-            at = lines.parent[at]
+def _below(lines: Lines, top: int) -> np.ndarray:
+    """Which regions are ``top`` or lie below it."""
+    found = np.zeros(len(lines.parent), bool)
+    found[top] = True
+    for at in range(top + 1, len(found)):
+        found[at] = found[lines.parent[at]]
     return found
 
 
+def _common_parent(lines: Lines, regions: set[int]) -> int:
+    """The innermost region around all of ``regions`` that is a whole: not a section, which is part of one."""
+    rest = set(regions)
+    while len(rest) > 1:
+        last = max(rest)  # no other one lies below it
+        rest.remove(last)
+        rest.add(lines.parent[last])
+    top = rest.pop()
+    while lines.kind[top] == "section":
+        top = lines.parent[top]
+    return top
+
+
 def extract(html: str | None, sigma: float = SIGMA) -> str:
     return "\n".join(content_lines(page_lines(html), sigma)) if html else ""
 
@@ -212,8 +239,9 @@ def extract(html: str | None, sigma: float = SIGMA) -> str:
 def main_text(pages: DataFrame, sigma: float = SIGMA) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
-    ``text`` is the page's content lines in page order, joined by a line feed: character references decoded, white space
-    within a line made one blank, nothing cut off. A null or empty page, or one without content, has an empty text.
+    ``text`` is the lines of the page's article in page order, joined by a line feed: character references decoded, white
+    space within a line made one blank, nothing but marked elements left out. On a page of several articles that is the
+    one with most text; on a page without one, see the module. A null or empty page, or one without content, has an empty text.
     Unclosed and badly nested elements are closed as browsers do. Repeated rows give repeated rows, an empty table an
     empty result; other columns are not read.
     """
