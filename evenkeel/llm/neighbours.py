@@ -6,8 +6,8 @@
    vectors; centroids and graph are broadcast (at most ``most_sample`` / 8 vectors).
 3. Every vector is written to the list of its nearest centroid, and a vector near a boundary also to the lists of
    further centroids that are almost as near. ``TOGETHER`` lists make a bundle, and bundles are
-   split into parts of about ``part_rows`` rows, so that no list, however many copies of one vector it holds, meets
-   in one task. Queries are dealt into ``slots`` of about ``slot_queries``, for the same reason.
+   split into parts of about ``part_rows`` rows, so that no list, however many copies of one vector or vectors of one
+   vec_id it holds, meets in one task. Exact repeats of a row are dropped before. Queries are dealt into ``slots`` of about ``slot_queries``, for the same reason.
 4. A query searches the lists whose centroids are at most ``ratio`` times as far as the nearest one. The ratio is the
    smallest that reaches ``target`` recall for sample vectors against the exact neighbours in the sample.
 5. Parts and queries are joined; a part compares a query with the rows of the lists it searches and returns the
@@ -168,11 +168,15 @@ def fit_graph(vectors: DataFrame, rows: int, most_sample: int, list_size: int) -
 def _scan(held: pd.DataFrame, wanted: pd.DataFrame, nearest: int) -> pd.DataFrame:
     """The nearest rows of a part for each query that searches one of its lists.
 
-    Distances by matrix product choose the candidates, with a margin for rounding; they are then measured exactly.
+    Distances by matrix product choose the candidates, with a margin for rounding; they are then measured exactly. The
+    nearest row of each vec_id decides how far the candidates reach, so that ``nearest`` different ones are among them.
     """
     out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
     if len(held) and len(wanted):
+        held = held.sort_values("vec_id")
         ids, lists = held["vec_id"].to_numpy(), held["list"].to_numpy()
+        head, _ = runs(ids)
+        most = min(nearest, len(head)) - 1
         block = np.array(held["vector"].tolist(), float)
         for at in range(0, len(wanted), 256):
             some = wanted.iloc[at : at + 256]
@@ -182,9 +186,8 @@ def _scan(held: pd.DataFrame, wanted: pd.DataFrame, nearest: int) -> pd.DataFram
             for query_id, query, own, row in zip(some["query_id"], queries, some["lists"], rough):
                 usable = np.isin(lists, own) & (ids != query_id)
                 row = np.where(usable, row, np.inf)
-                # A row may lie in two lists of the bundle.
-                most = min(MOST_COPIES * nearest, len(row)) - 1
-                near = np.flatnonzero(usable & (row <= np.partition(row, most)[most] + margin))
+                reach = np.partition(np.minimum.reduceat(row, head), most)[most] + margin
+                near = np.flatnonzero(usable & (row <= reach))
                 score = np.sqrt(((block[near] - query) ** 2).sum(1))
                 order = np.lexsort((ids[near], score))
                 best = near[order]
@@ -213,12 +216,12 @@ def nearest_neighbours(
     vectors must have one length. Repeated rows of one vec_id count once (of several vectors of one vec_id, each is
     compared and the nearest counts). An empty table gives an empty result; other columns are not read.
 
-    Lists are approximate, distances are exact. If the lists that a query may search hold fewer than ``nearest`` rows,
-    all lists are searched for it.
+    Lists are approximate, distances are exact. If no list that a query may search holds more than ``nearest`` different
+    vec_ids, all lists are searched for it.
     """
     spark = embeddings.sparkSession
-    vectors = pin(usable_vectors(embeddings), "vectors")
-    asked = vectors.where("vec_id % 100 = 0") if queries is None else usable_vectors(queries)
+    vectors = pin(usable_vectors(embeddings).distinct(), "vectors")
+    asked = vectors.where("vec_id % 100 = 0") if queries is None else usable_vectors(queries).distinct()
     rows = vectors.count()
     schema = "query_id long, rank int, vec_id long, score double"
     if rows == 0:
@@ -242,15 +245,16 @@ def nearest_neighbours(
             )
 
     postings = pin(vectors.mapInArrow(post, "list int, vec_id long, vector array<double>"), "postings")
-    sizes = np.zeros(len(graph.centroids), np.int64)
-    for row in postings.groupBy("list").count().collect():  # one number a centroid
-        sizes[row["list"]] = row["count"]
+    sizes, different = np.zeros((2, len(graph.centroids)), np.int64)  # rows and vec_ids
+    by_id = postings.groupBy("list", "vec_id").count().groupBy("list")
+    for row in by_id.agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("ids")).collect():  # two numbers a centroid
+        sizes[row["list"]], different[row["list"]] = row["rows"], row["ids"]
     bundles = -(-len(sizes) // TOGETHER)
     parts = np.maximum(1, -(-np.bincount(np.arange(len(sizes)) // TOGETHER, sizes, bundles).astype(np.int64) // part_rows))
     split = F.broadcast(spark.createDataFrame(list(enumerate(parts.tolist())), "bundle int, parts long"))
     bundle = F.floor(F.col("list") / TOGETHER).cast("int")
     postings = postings.withColumn("bundle", bundle).join(split, "bundle")
-    postings = postings.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).drop("parts")
+    postings = postings.withColumn("part", F.pmod(F.xxhash64("vec_id", "vector"), F.col("parts"))).drop("parts")
     postings = postings.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +263,7 @@ def nearest_neighbours(
                 continue
             found, distance = shared.value.nearest(_matrix(batch["vector"]), len(sizes), ratio)
             wanted = distance <= np.maximum(distance[:, :1], 1e-12) * ratio
-            few = np.where(wanted, sizes[found], 0).sum(1) <= nearest * MOST_COPIES + MOST_COPIES
+            few = np.where(wanted, different[found], 0).max(1) <= nearest  # one may be the query's own
             rows: list[tuple[int, int, int, list[int]]] = []
             for at in range(len(batch)):
                 lists = np.arange(len(sizes)) if few[at] else np.sort(found[at, wanted[at]])
