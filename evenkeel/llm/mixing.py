@@ -30,7 +30,7 @@ BLOCK = 1024
 @dataclass(frozen=True)
 class Mix:
     """``pieces``: one row per document and slot that takes words of it: doc (see ``documents``), slot, block, pass,
-    first (word of the document), words. ``documents``: doc, doc_id, source, size, source_size, target, place.
+    first (word of the document), words. ``documents``: doc, doc_id, source, size, source_size, target, begin, carried columns.
     ``schedule``: slot, source, rank, block, pass, words."""
 
     documents: DataFrame
@@ -79,15 +79,16 @@ def mix_sources(
     share: float = SHARE,
     most_passes: int = MOST_PASSES,
     block: int = BLOCK,
+    carried: tuple[str, ...] = (),
 ) -> Mix:
     """Mix ``docs`` (doc_id, source, text) so that the words taken from each source come to its target.
 
     Null and empty texts have size 0 and are never taken. A null source is a source of its own, after all others.
     Repeated rows are documents of their own (``doc`` is unique in one result, not across runs; equal rows may change
-    places). Without any word there is no slot. Other columns are not read.
+    places). Without any word there is no slot. Other columns are not read; ``carried`` ones are handed to ``documents``.
     """
     own = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), *carried
     )
     rows = pin(own.withColumn("doc", F.monotonically_increasing_id()).withColumn("place", hashed_place("doc_id")), "mix-documents")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
@@ -96,7 +97,7 @@ def mix_sources(
     buckets = F.lit(max(1, math.isqrt(longest)))
     placed = running_total(rows, ["source"], "place", ["doc_id", "size"], "size", buckets, "begin")
     documents = placed.join(sources, placed.source.eqNullSafe(sources.source)).select(
-        "doc", "doc_id", placed.source.alias("source"), "size", "source_size", "target", "begin"
+        "doc", "doc_id", placed.source.alias("source"), "size", "source_size", "target", "begin", *carried
     )
 
     # Quotas: whole passes over a source's blocks, and the blocks of the last, partial pass.

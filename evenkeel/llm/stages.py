@@ -51,18 +51,20 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The documents the mix takes, one row per pass; a document that is taken in part keeps that part of its text.
+    Every row counts as a document of its own, whatever its doc_id.
 
     Only the last block of a source's last pass is cut, so per pass nearly all texts are whole and stay as they are.
     """
-    mixed = mix_sources(docs.select("doc_id", "source", "text"))
+    own = spare(docs.columns, "_row", "_size", "_first", "_words")
+    row = own[0]
+    marked = docs.withColumn(row, _digests(docs)[1])
+    mixed = mix_sources(marked.select("doc_id", "source", "text", row), carried=(row,))
     passes = mixed.pieces.groupBy("doc", "pass").agg(F.min("first").alias("_first"), F.sum("words").alias("_words"))
-    known = mixed.documents.select("doc", F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"))
-    names = ["_id", "_source", "_size", "_first", "_words"]
-    own = spare(docs.columns, *names)
-    taken = known.join(passes, "doc").select(*[F.col(name).alias(alias) for name, alias in zip(names, own)])
-    doc_id, source, size, first, taken_words = map(F.col, own)
-    same = F.col("doc_id").cast("long").eqNullSafe(doc_id) & F.col("source").cast("string").eqNullSafe(source)
-    joined = docs.dropDuplicates(["doc_id", "source"]).join(taken, same)
+    taken = mixed.documents.select("doc", F.col(row).alias("_row"), F.col("size").alias("_size")).join(passes, "doc")
+    taken = taken.select(*[F.col(name).alias(alias) for name, alias in zip(("_row", "_size", "_first", "_words"), own)])
+    size, first, taken_words = map(F.col, own[1:])
+    # Equal rows are documents of their own in the mix; here one stands for all, and each has its passes.
+    joined = marked.dropDuplicates([row]).join(taken, row)
     words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD_PATTERN})"), F.lit(1))
     part = F.array_join(F.slice(words, first.cast("int") + 1, taken_words.cast("int")), " ")
     text = F.when(taken_words < size, part).otherwise(F.col("text"))

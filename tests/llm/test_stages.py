@@ -44,3 +44,22 @@ def test_each_group_keeps_one_row_whatever_its_ids(spark):
     found = sorted(((r.doc_id or 0, r.text or "") for r in stages.one_of_each_group(table(spark, rows)).collect()))
     expected = [(1, a), (0, b), (0, c), (0, d), (2, e), (2, words("f", 40)), (3, ""), (3, ""), (0, ""), (0, "")]
     assert found == sorted(expected)
+
+
+def test_the_mix_takes_every_row_for_itself(spark):
+    texts = {name: words(name, 900) for name in "abcdefgh"}
+    rows = [(None, texts["a"], "s"), (None, texts["b"], "s"), (5, texts["c"], "s"), (5, texts["d"], "s")]
+    rows += [(6, texts["e"], "s"), (6, texts["e"], "s"), (None, texts["f"], None), (None, texts["g"], None), (8, texts["h"], None), (7, None, "s")]
+    found = [(r.doc_id, r.source, r.text) for r in stages.mix(table(spark, rows)).collect()]
+    size, taken = {}, {}
+    for doc_id, text, source in rows:
+        size[source] = size.get(source, 0) + len(plain.words(text))
+    for doc_id, source, text in found:
+        taken[source] = taken.get(source, 0) + len(plain.words(text))
+        assert any((doc_id, source) == (i, s) and text in (t or "") for i, t, s in rows)
+    target = plain.targets(size)
+    assert all(abs(taken[source] - target[source]) <= 1 for source in size)
+    # The first pass takes every row, so each text is there as often as it has rows.
+    for doc_id, text, source in rows:
+        whole = sum(row == (doc_id, source, text) for row in found)
+        assert whole >= (rows.count((doc_id, text, source)) if text else 0), (doc_id, source)
