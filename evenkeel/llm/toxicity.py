@@ -3,8 +3,8 @@
 A text's features are the presence of its words, word pairs and pairs with one word between, hashed to 2^20 places.
 FTRL-proximal learns with a rate per coordinate and an L1 term that leaves most weights at exactly zero, so the model
 is a small sparse vector (at most 2^20 weights), broadcast to the scoring tasks. It is fitted on a bounded sample of
-labelled rows: the first by a hash of doc_id, at most ``most_rows`` rows and ``most_bytes`` bytes of text. Every whole
-text is scored.
+labelled rows: the first by a hash of doc_id, at most ``most_rows`` rows and ``most_bytes`` bytes of text; a text
+that would take the sum above that is passed over. Every whole text is scored.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import hash_words, scrambled
@@ -93,22 +93,35 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most_rows: int, most_bytes: int) -> DataFrame:
-    """(order, doc_id, toxic, text) of the bounded sample."""
+    """(order, doc_id, toxic, text) of the bounded sample; a text that does not fit any more is left out, not what follows."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("_labelled"))
     marks = marks.agg(F.max("toxic").cast("int").alias("toxic"))
     usable = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.col("doc_id").cast("long"), F.lit("toxic")).alias("order")
     )
     sizes = usable.select("order", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
-    first = sizes.join(marks, F.col("doc_id") == F.col("_labelled")).orderBy("order", "doc_id", "bytes").limit(most_rows)
-    orders, total = [], 0
-    for row in first.select("order", "bytes").collect():  # at most most_rows pairs of numbers
-        total += row.bytes
-        if total > most_bytes:
+    sizes = sizes.join(marks, F.col("doc_id") == F.col("_labelled")).groupBy("order", "doc_id", "bytes").agg(F.count(F.lit(1)).alias("n"))
+    chosen: list[tuple[int, int, int]] = []
+    rows, left, after = most_rows, most_bytes, F.lit(True)
+    while rows > 0:
+        # Texts longer than what is left never fit, so each round takes its first one at least.
+        asked = rows
+        found = sizes.where(after & (F.col("bytes") <= left)).orderBy("order", "doc_id", "bytes").limit(asked).collect()
+        for row in found:  # at most most_rows rows of four numbers
+            fit = min(row.n, rows, left // row.bytes if row.bytes else rows)
+            if fit:
+                chosen.append((row.doc_id, row.bytes, fit))
+                rows, left = rows - fit, left - fit * row.bytes
+        if len(found) < asked:
             break
-        orders.append(row.order)
-    chosen = usable.where(F.col("order") <= orders[-1]) if orders else usable.where("false")
-    return chosen.join(marks, F.col("doc_id") == F.col("_labelled")).select("order", "doc_id", "toxic", "text")
+        at = F.struct(*[F.lit(found[-1][name]).cast("long").alias(name) for name in ("order", "doc_id", "bytes")])
+        after = F.struct(*[F.col(name).cast("long").alias(name) for name in ("order", "doc_id", "bytes")]) > at
+    picked = docs.sparkSession.createDataFrame(chosen, "_doc long, _bytes long, _fit long")
+    same = (F.col("doc_id") == F.col("_doc")) & (F.coalesce(F.octet_length("text"), F.lit(0)) == F.col("_bytes"))
+    taken = usable.join(F.broadcast(picked), same)
+    nth = F.row_number().over(Window.partitionBy("_doc", "_bytes").orderBy(F.xxhash64("text")))
+    taken = taken.withColumn("_nth", nth).where("_nth <= _fit")
+    return taken.join(marks, F.col("doc_id") == F.col("_labelled")).select("order", "doc_id", "toxic", "text")
 
 
 def fit_toxicity(
