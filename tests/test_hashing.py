@@ -47,5 +47,5 @@ def test_types_that_differ_are_compared_as_text(spark):
 
 def test_value_digest_tells_nulls_apart(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("NULL", "a"), ("a", "a"), (None, None)], "a string, b string")
-    one, two = hashing.value_digest(["a", "b"])
+    one, two = hashing.value_digest(df, ["a", "b"])
     assert df.selectExpr(one, two).distinct().count() == 5
