@@ -1,4 +1,46 @@
-"""SQL for the corpus operators' results. None is given: the results hang on token ids, hash orders or learned models, or SQL
-is too slow on whole tables; ``tests/llm`` holds each query against plain code instead."""
+"""SQL for the corpus operators' results, where SQL can state them. The other results hang on token ids, ring places, learned
+models or searches; ``tests/llm`` holds each of those queries against plain code."""
 
-EXPECTED: dict[str, str] = {}
+PREFIX_TRIE = """
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS nth
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    -- CRC-32 bit by bit over the bytes of the decimal id, which are ASCII
+    SELECT conv_id, conv_id - conv_id % 20 AS head,
+           xor(list_reduce(
+               list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(conv_id::VARCHAR) + 1),
+                   lambda i: list_prepend(ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+               lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END
+           ), 4294967295) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), parts AS (
+    SELECT ids.conv_id, 0 AS own, nth, role, text FROM ids JOIN turns ON turns.conv_id = head AND nth < h
+    UNION ALL
+    SELECT ids.conv_id, 1, nth, role, text FROM ids JOIN turns ON turns.conv_id = ids.conv_id AND nth >= h
+), paths AS (
+    SELECT ids.conv_id, coalesce(list(struct_pack(role := role, text := text) ORDER BY own, nth) FILTER (own IS NOT NULL), []) AS path
+    FROM ids LEFT JOIN parts ON parts.conv_id = ids.conv_id GROUP BY 1
+), members AS (
+    SELECT conv_id, d AS depth, path[1:d] AS node, len(path) = d AS ends
+    FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM paths)
+), nodes AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+           CASE WHEN depth = 0 THEN 0
+                ELSE (count(*) - 1) * len(regexp_extract_all(node[depth].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+    FROM members GROUP BY node, depth
+), counted AS (
+    SELECT nodes.*, (SELECT count(*) FROM nodes s WHERE s.depth = nodes.depth + 1 AND s.node[1:nodes.depth] = nodes.node) AS n_children
+    FROM nodes
+), above AS (
+    SELECT node[1:d] AS top, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY 1
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, a.n_leaves,
+       a.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN above a ON a.top = n.node LEFT JOIN counted p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
+"""
+
+EXPECTED: dict[str, str] = {"op12_prefix_trie": PREFIX_TRIE}

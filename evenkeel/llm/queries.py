@@ -17,6 +17,7 @@ from evenkeel.llm.jaccard import jaccard_groups
 from evenkeel.llm.mixing import mixed_sizes
 from evenkeel.llm.neighbours import nearest_neighbours
 from evenkeel.llm.packing import pack
+from evenkeel.llm.prefix_trie import prefix_trie
 from evenkeel.llm.quality import judge
 from evenkeel.llm.separators import token_counts
 from evenkeel.llm.sharding import shard_rows
@@ -100,6 +101,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripped.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
     for query in (
@@ -113,5 +118,6 @@ QUERIES: dict[str, Query] = {
         op8_jaccard,
         op9_neighbours,
         op10_substring,
+        op12_prefix_trie,
     )
 }
