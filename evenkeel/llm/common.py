@@ -7,6 +7,8 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -83,6 +85,44 @@ def chunks(batches: Iterable[pd.DataFrame], column: str, max_bytes: int) -> Iter
         yield pd.concat(held, ignore_index=True)
 
 
+def by_bytes(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.Table]:
+    """Regroup Arrow batches so that each table holds about ``max_bytes`` of the binary ``column``, or 50,000 rows."""
+    held: list[pa.RecordBatch] = []
+    size = rows = 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            end = min(int(np.searchsorted(ends, before + max_bytes - size)) + 1, at + 50_000 - rows, batch.num_rows)
+            held.append(batch.slice(at, end - at))
+            size, rows, at = size + int(ends[end - 1]) - before, rows + end - at, end
+            if size >= max_bytes or rows >= 50_000:
+                yield pa.Table.from_batches(held)
+                held, size, rows = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def words_in(text: bytes | None, table: bytes, slice_bytes: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text, some at a time, after its bytes went through ``table``; there a word ends at a blank."""
+    folded = (text or b"").translate(table)
+    at = 0
+    while at < len(folded):
+        end = folded.find(b" ", at + slice_bytes)
+        end = len(folded) if end < 0 else end
+        yield folded[at:end].split()
+        at = end
+
+
+class Numbers(dict):
+    """Words numbered in the order of their first look-up."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = len(self)
+        return found
+
+
 class WordHashes(dict):
     """64-bit hashes by word, kept for the words seen last."""
 

@@ -43,4 +43,32 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_con
 FROM counted n JOIN above a ON a.top = n.node LEFT JOIN counted p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
 """
 
-EXPECTED: dict[str, str] = {"op12_prefix_trie": PREFIX_TRIE}
+LEXICAL_SEARCH = """
+WITH folded AS (
+    SELECT 'd' AS kind, row_number() OVER () AS row_id, doc_id AS id,
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents
+    UNION ALL
+    SELECT 'i', row_number() OVER (), item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+), words AS (
+    SELECT kind, row_id, id, unnest(regexp_extract_all(body, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM folded
+), tf AS (
+    SELECT row_id, id, term, count(*) AS tf FROM words WHERE kind = 'd' GROUP BY ALL
+), lengths AS (
+    SELECT row_id, sum(tf)::BIGINT AS n FROM tf GROUP BY 1
+), totals AS (
+    SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term, n_docs
+), scores AS (
+    SELECT i.id AS item_id, tf.row_id, tf.id AS doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM (SELECT DISTINCT id, term FROM words WHERE kind = 'i') i
+    JOIN tf ON tf.term = i.term JOIN weights ON weights.term = i.term JOIN lengths ON lengths.row_id = tf.row_id, totals
+    GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50
+"""
+
+EXPECTED: dict[str, str] = {"op12_prefix_trie": PREFIX_TRIE, "op13_lexical_search": LEXICAL_SEARCH}

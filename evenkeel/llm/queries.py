@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm.html_text import main_text
 from evenkeel.llm.jaccard import jaccard_groups
+from evenkeel.llm.lexical import build_index, search
 from evenkeel.llm.mixing import mixed_sizes
 from evenkeel.llm.neighbours import nearest_neighbours
 from evenkeel.llm.packing import pack
@@ -105,6 +106,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
     for query in (
@@ -119,5 +124,6 @@ QUERIES: dict[str, Query] = {
         op9_neighbours,
         op10_substring,
         op12_prefix_trie,
+        op13_lexical_search,
     )
 }
