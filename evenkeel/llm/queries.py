@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from evenkeel.llm.html_text import main_text
 from evenkeel.llm.jaccard import jaccard_groups
 from evenkeel.llm.lexical import build_index, search
+from evenkeel.llm.maxent import score_texts
 from evenkeel.llm.mixing import mixed_sizes
 from evenkeel.llm.neighbours import nearest_neighbours
 from evenkeel.llm.packing import pack
@@ -102,6 +103,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripped.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -123,6 +128,7 @@ QUERIES: dict[str, Query] = {
         op8_jaccard,
         op9_neighbours,
         op10_substring,
+        op11_lm_score,
         op12_prefix_trie,
         op13_lexical_search,
     )
