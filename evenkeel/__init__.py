@@ -26,7 +26,13 @@ from evenkeel.plans.suite import (
     run_suite,
     store_check_failures,
 )
-from evenkeel.sources.run_results import newest_first, parse_run_results, read_run_results
+from evenkeel.sources.run_results import (
+    newest_first,
+    parse_run_results,
+    read_run_archive,
+    read_run_results,
+    update_run_archive,
+)
 from evenkeel.sources.seeds import filter_config, parse_config, read_column_lists, read_test_config
 from evenkeel.sources.tables import TableMissing, TableStore
 
@@ -67,6 +73,7 @@ __all__ = [
     "parse_config",
     "parse_run_results",
     "read_column_lists",
+    "read_run_archive",
     "read_run_results",
     "read_test_config",
     "real_anomalies",
@@ -77,6 +84,7 @@ __all__ = [
     "status_summary",
     "store_check_failures",
     "top_durations",
+    "update_run_archive",
     "upsert",
     "watermark",
     "watermark_slice",

@@ -33,10 +33,10 @@ def latest_per_key(batch: DataFrame, key_columns: str | Sequence[str], order_by:
     return best.select(*chosen).unionByName(batch.where(any_null(keys)))
 
 
-def _untouched(
-    target: DataFrame, batch: DataFrame, keys: list[str], operator: str, unique: bool, limits: Limits
+def _by_batch_keys(
+    target: DataFrame, batch: DataFrame, keys: list[str], operator: str, how: str, unique: bool, limits: Limits
 ) -> DataFrame:
-    """Target rows whose key is not in the batch (null keys never are)."""
+    """Target rows with set keys that are in the batch (``left_semi``) or not in it (``left_anti``)."""
     require_same_types(target, batch, keys, operator)
     key_names = [quoted(k) for k in keys]
     batch_keys, stats = pin(
@@ -49,7 +49,7 @@ def _untouched(
         raise ValueError(f"{operator}: {stats['repeated']} keys occur more than once in the batch")
     batch_keys = batch_keys.select(*key_names)
     if stats["bytes"] <= limits.broadcast_bytes:
-        return keyed_join(target, batch_keys, keys, "left_anti", stats["bytes"], None, "_ek_n", 1, limits)
+        return keyed_join(target, batch_keys, keys, how, stats["bytes"], None, "_ek_n", 1, limits)
 
     # Too many keys to broadcast: find the target's hot keys, so that their rows can be spread.
     per_slice = limits.rows_per_slice(target.count())
@@ -63,14 +63,27 @@ def _untouched(
         target.where(all_set(keys)),
         batch_keys,
         keys,
-        "left_anti",
+        how,
         stats["bytes"],
         hot if found["keys"] else None,
         "_ek_n",
         per_slice,
         limits,
     )
-    return kept.select(*[quoted(c) for c in target.columns]).unionByName(target.where(any_null(keys)))
+    kept = kept.select(*[quoted(c) for c in target.columns])
+    return kept.unionByName(target.where(any_null(keys))) if how == "left_anti" else kept
+
+
+def keys_in(rows: DataFrame, batch: DataFrame, keys: list[str], limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """The rows whose key is in the batch (null keys never are)."""
+    return _by_batch_keys(rows, batch, keys, "load", "left_semi", False, limits)
+
+
+def _untouched(
+    target: DataFrame, batch: DataFrame, keys: list[str], operator: str, unique: bool, limits: Limits
+) -> DataFrame:
+    """Target rows whose key is not in the batch (null keys never are)."""
+    return _by_batch_keys(target, batch, keys, operator, "left_anti", unique, limits)
 
 
 def upsert(

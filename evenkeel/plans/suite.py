@@ -28,6 +28,7 @@ DELTA = "delta_compare"
 DELETE = "hard_delete_check"
 MATCH = "MATCH"
 MISMATCH = "MISMATCH"
+STARTED = "STARTED"  # of a test that no finished row followed: its run was cut off
 AUDIT_LOG = "validation_audit_log"
 ANOMALY_LOG = "validation_anomaly_log"
 FAILURE_PREFIX = {FULL: "comprehensive_compare", DELTA: "delta_compare", DELETE: "hard_delete"}
@@ -201,14 +202,33 @@ def _store_failures(store: TableStore, log: str, failures: DataFrame, run: dict[
         F.current_timestamp().alias("run_at"),
         "*",
     )
-    store.append_log(log, stamped)
+    store.append_log(log, stamped, run["execution_id"])
 
 
-def _append_rows(store: TableStore, log: str, schema: T.StructType, rows: Sequence[Mapping]) -> None:
-    """Append log rows in one write; ``audit_ts`` is an instant, shown on the session's clock."""
+def _log_frame(spark: SparkSession, schema: T.StructType, rows: Sequence[Mapping]) -> DataFrame:
+    """Log rows as the log has them; ``audit_ts`` is an instant, shown on the session's clock."""
     stored = T.StructType([T.StructField(f.name, _COUNT if f.name == "audit_ts" else f.dataType) for f in schema])
-    found = store.spark.createDataFrame([tuple(row.get(f.name) for f in schema) for row in rows], stored)
-    store.append_log(log, found.withColumn("audit_ts", F.timestamp_micros("audit_ts").cast(_TIME)))
+    found = spark.createDataFrame([tuple(row.get(f.name) for f in schema) for row in rows], stored)
+    return found.withColumn("audit_ts", F.timestamp_micros("audit_ts").cast(_TIME))
+
+
+def _append_rows(store: TableStore, log: str, schema: T.StructType, rows: Sequence[Mapping], run: str) -> None:
+    """Append a run's log rows in one write; the journal of these rows is no longer needed then."""
+    store.append_log(log, _log_frame(store.spark, schema, rows).coalesce(1), run)
+    store.clear_journal(log, [row["execution_id"] for row in rows])
+
+
+def _with_journal(store: TableStore, log: str, schema: T.StructType) -> DataFrame:
+    """The log, and the journal's rows of runs that did not come to write theirs."""
+    rows = store.read_log(log, schema)
+    journal = store.read_journal(log)
+    if not journal:
+        return rows
+    # A run may have been cut off between writing its rows and clearing its journal. The journal is small: a few rows
+    # per run that was cut off.
+    written = rows.where(F.col("execution_id").isin(sorted(journal))).select("execution_id")
+    left = _log_frame(store.spark, schema, list(journal.values()))
+    return rows.unionByName(left.join(written, "execution_id", "left_anti").select(*rows.columns))
 
 
 def _run_full(models: _Models, test: Row, limits: Limits) -> tuple[DataFrame, dict]:
@@ -339,7 +359,7 @@ def run_suite(
     test_type: str | None = None,
     parallel: int = 4,
     limits: Limits = DEFAULT_LIMITS,
-    views: bool = False,
+    views: bool = True,
 ) -> SuiteRun:
     """Run every configured test; number and log them in order of model and test type.
 
@@ -351,6 +371,10 @@ def run_suite(
     A configuration that cannot run (no keys, unknown type, absent model name or snapshot) is refused before any job.
     When a test fails later, no further test starts, those under way end, every finished test is logged, and then the
     error is raised. ``views`` registers the log and failure views of the run.
+
+    Each test's audit row is in the journal of the log before the test does anything, and complete as soon as it has
+    stored its failing rows; the log itself is written once, at the end. So a driver that dies leaves no failing row
+    without an audit row: the views show its finished tests, and as ``STARTED`` the test that it died in.
     """
     models = _Models(store, relations or {})
     audit_run_id = f"{datetime.now(UTC):%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
@@ -369,10 +393,19 @@ def run_suite(
             "execution_id": f"{audit_run_id}_{number}",
             "model_name": test.model_name,
         }
-        failures, measured = _RUNNERS[test.test_type](models, test, limits)
+        begun = {"test_type": test.test_type, "load_type": test.load_type, "status": STARTED}
+        begun |= run | {"audit_ts": int(started.timestamp() * 1_000_000)}
+        store.write_journal(AUDIT_LOG, run["execution_id"], begun)
         log = failure_log(test.test_type, test.model_name)
-        _store_failures(store, log, failures, run)
+        try:
+            failures, measured = _RUNNERS[test.test_type](models, test, limits)
+            _store_failures(store, log, failures, run)
+        except Exception:
+            store.clear_journal(AUDIT_LOG, [run["execution_id"]])  # nothing was stored
+            raise
         audit, anomaly = _log_rows(test, run, measured, started, datetime.now(UTC))
+        store.write_journal(ANOMALY_LOG, run["execution_id"], anomaly)
+        store.write_journal(AUDIT_LOG, run["execution_id"], audit)
         outcome = {
             "test_type": test.test_type,
             "status": audit["status"],
@@ -387,16 +420,22 @@ def run_suite(
             return None
         try:
             return execute(number, test)
-        except Exception as error:
+        except BaseException as error:
             stopped.set()
-            return error
+            if isinstance(error, Exception):
+                return error
+            raise
 
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:
         outcomes = list(pool.map(attempt, range(1, len(tests) + 1), tests))
     finished = [found for found in outcomes if isinstance(found, tuple)]
     if finished:
-        _append_rows(store, AUDIT_LOG, AUDIT_SCHEMA, [audit for audit, _, _ in finished])
-        _append_rows(store, ANOMALY_LOG, ANOMALY_SCHEMA, [anomaly for _, anomaly, _ in finished])
+        logs = [
+            (AUDIT_LOG, AUDIT_SCHEMA, [audit for audit, _, _ in finished]),
+            (ANOMALY_LOG, ANOMALY_SCHEMA, [anomaly for _, anomaly, _ in finished]),
+        ]
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            list(pool.map(lambda log: _append_rows(store, *log, audit_run_id), logs))
     run = SuiteRun(audit_run_id, [execution for _, _, execution in finished])
     if views:
         register_views(store, run)
@@ -407,11 +446,11 @@ def run_suite(
 
 
 def audit_view(store: TableStore) -> DataFrame:
-    return store.read_log(AUDIT_LOG, AUDIT_SCHEMA).select(*AUDIT_VIEW)
+    return _with_journal(store, AUDIT_LOG, AUDIT_SCHEMA).select(*AUDIT_VIEW)
 
 
 def anomaly_view(store: TableStore) -> DataFrame:
-    return store.read_log(ANOMALY_LOG, ANOMALY_SCHEMA).select(*ANOMALY_VIEW)
+    return _with_journal(store, ANOMALY_LOG, ANOMALY_SCHEMA).select(*ANOMALY_VIEW)
 
 
 def failure_view(
@@ -440,8 +479,11 @@ def register_views(store: TableStore, run: SuiteRun) -> list[str]:
 
 
 def store_check_failures(store: TableStore, check_name: str, failing: DataFrame, run_id: str) -> int:
-    """Append a data-quality check's failing rows to its own log; returns how many rows this run added."""
+    """Append a data-quality check's failing rows to its own log; returns how many rows this run added.
+
+    A run that is repeated with the same ``run_id`` replaces its rows.
+    """
     seen = Observation()
     stamped = failing.select(F.lit(run_id).alias("audit_run_id"), F.current_timestamp().alias("run_at"), "*")
-    store.append_log(f"{check_name}_failures", stamped.observe(seen, F.count(F.lit(1)).alias("rows")))
+    store.append_log(f"{check_name}_failures", stamped.observe(seen, F.count(F.lit(1)).alias("rows")), run_id)
     return int(seen.get.get("rows", 0))

@@ -39,12 +39,30 @@ def test_full_compare_profile_shuffles_numbers_once(spark):
     assert not any(word in plan for word in FORBIDDEN)
 
 
-def test_delta_profile_never_gathers_a_key_before_counting(spark):
+def test_delta_profile_shuffles_numbers_once(spark):
     after, before = recipes.orders_load(spark, SF_DIR)
     plan = plan_of(delta_module._profile(after, before, ["o_orderkey"], ["o_custkey", "o_totalprice"]))
-    assert exchanges(plan) == 2
-    assert "SortAggregate" not in plan and "Window" not in plan
-    assert re.search(r"hashpartitioning\(o_orderkey#\d+L, _ek_r1#\d+L, _ek_r2#\d+L", plan)
+    assert exchanges(plan) == 1
+    assert "SortAggregate" not in plan and "Window" not in plan and "Join" not in plan
+
+
+def test_delta_pairs_never_gather_a_key_before_counting(spark):
+    after, before = recipes.lineitem_load(spark, SF_DIR)
+    keys, columns = ["l_orderkey", "l_linenumber"], ["l_tax", "l_quantity"]
+    plain = plain_columns(after, before, columns)
+    rows = delta_module._narrow(after, keys, columns, plain, 1).unionByName(
+        delta_module._narrow(before, keys, columns, plain, 0)
+    )
+    plan = plan_of(delta_module._pairs(rows, keys))
+    assert exchanges(plan) == 2 and "SortAggregate" not in plan
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L, l_linenumber#\d+, _ek_r1#\d+L, _ek_r2#\d+L", plan)
+
+
+def test_changes_of_unique_keys_are_paired_without_an_aggregate(spark):
+    after, before = recipes.orders_load(spark, SF_DIR)
+    plan = plan_of(delta_module.delta_compare(after, before, "o_orderkey"))
+    assert "Aggregate" not in plan and "Window" not in plan
+    assert not any(word in plan for word in FORBIDDEN)
 
 
 def test_small_key_sets_filter_the_table_where_it_is_read(spark):

@@ -297,6 +297,10 @@ DURATION = """CASE WHEN execution_time IS NULL OR execution_time < 0 THEN '—'
 
 UPSERTED = "SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch) UNION ALL SELECT * FROM batch"
 
+MOVED = f"""WITH {r.ORDERS_MOVING_BATCH_SQL}
+SELECT *, 'after' AS state, CAST(1 AS INTEGER) AS kept_slots FROM ({UPSERTED})
+UNION ALL SELECT *, 'before', 1 FROM orders"""
+
 EXPECTED: dict[str, str] = {
     "full_compare": full_sql(r.ORDERS_PAIR_SQL, ORDER_KEY, others(ORDERS, ORDER_KEY), "orders", "orders_expected"),
     "full_compare_composite": full_sql(
@@ -356,6 +360,8 @@ WHERE NOT EXISTS (SELECT 1 FROM before_load b WHERE b.l_orderkey = a.l_orderkey
     "delete_insert_load": f"WITH {r.ORDERS_REPEATED_BATCH_SQL} {UPSERTED}",
     "snapshot_then_upsert": f"""WITH {r.ORDERS_BATCH_SQL}
 SELECT *, 'after' AS state FROM ({UPSERTED}) UNION ALL SELECT *, 'before' AS state FROM orders""",
+    "upsert_partitioned": MOVED,
+    "delete_insert_partitioned": MOVED,
     "append_store": f"""WITH {r.ORDERS_BATCH_SQL}
 SELECT *, 'after' AS state FROM (SELECT * FROM orders UNION ALL SELECT * FROM batch)
 UNION ALL SELECT *, 'before' AS state FROM orders""",
@@ -367,6 +373,34 @@ SELECT 'a_orders' AS model_name, 'comprehensive_compare' AS test_type, {STATUS},
        n_source AS rows_compared,
        unique_keys_count - missing_in_target_count - missing_in_source_count - value_mismatch_count AS match_count
 FROM full_counts, key_counts, sizes""",
+    "suite_interrupted": f"""WITH {SUITE_CTES}
+SELECT 'a_orders' AS model_name, 'comprehensive_compare' AS test_type, {STATUS}, n_target AS source_row_count,
+       n_source AS rows_compared,
+       unique_keys_count - missing_in_target_count - missing_in_source_count - value_mismatch_count AS match_count
+FROM full_counts, key_counts, sizes
+UNION ALL SELECT 'b_lost', 'comprehensive_compare', 'STARTED', NULL, NULL, NULL""",
+    "suite_execution_order": f"""WITH audit AS ({SUITE_AUDIT_SQL})
+SELECT CAST(row_number() OVER (ORDER BY model_name, test_type) AS INTEGER) AS test_number, model_name, test_type, anomaly_count
+FROM audit""",
+    "log_evolution": """SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_orderdate END AS o_orderdate
+FROM orders""",
+    "check_failures_rerun": f"""WITH {r.ORDERS_PAIR_SQL}
+SELECT 'first' AS audit_run_id, l_orderkey, l_linenumber, l_partkey, l_tax FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM target WHERE o_orderkey = l_orderkey)
+UNION ALL
+SELECT 'second', l_orderkey, l_linenumber, l_partkey, l_tax FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM source WHERE o_orderkey = l_orderkey)""",
+    "run_documents_scan": f"""WITH {r.RUN_NODES_SQL}
+SELECT run, unique_id, status, execution_time, rows_affected, CAST(2.5 AS DOUBLE) AS elapsed_time FROM nodes""",
+    "runs_incremental": f"""WITH {r.RUN_NODES_SQL}
+SELECT run, unique_id, status, execution_time,
+       CAST((SELECT count(DISTINCT run) FROM nodes WHERE run >= '20240116' OR run = '20240105') AS INTEGER) AS second_call,
+       CAST(0 AS INTEGER) AS third_call
+FROM nodes""",
+    "runs_newest_first": """SELECT strftime(ts, '%Y%m%d') AS run, max(ts) AS modified_at, count(*) AS nodes
+FROM events GROUP BY 1 ORDER BY modified_at DESC, run DESC LIMIT 10""",
     "suite_config_csv": """SELECT 'part_' || p_partkey AS model_name, 'comprehensive_compare' AS test_type,
        p_brand || '/' || p_type AS key_names, CAST(NULL AS VARCHAR) AS resolved_base_model,
        '_BEFORE_DELTA' AS snapshot_suffix, 'FULL_LOAD' AS load_type

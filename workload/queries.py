@@ -187,6 +187,26 @@ def snapshot_then_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.withColumn("state", F.lit("after")).unionByName(snapshot.withColumn("state", F.lit("before")))
 
 
+def _load_partitioned(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
+    """The table after a load that touches two of three slots, its state before, and how many folders were kept."""
+    target, batch = recipes.orders_moving_batch(spark, sf_dir)
+    store = ek.TableStore(spark, scratch_path(spark, "store"))
+    store.load("orders", target, partition_by="o_orderstatus")
+    before = set(store.parts("orders"))
+    loaded = store.load("orders", batch, ORDER_KEY, strategy=strategy)
+    kept = len(before & set(store.parts("orders")))
+    both = loaded.withColumn("state", F.lit("after")).unionByName(store.read_snapshot("orders").withColumn("state", F.lit("before")))
+    return both.withColumn("kept_slots", F.lit(kept))
+
+
+def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _load_partitioned(spark, sf_dir, "upsert")
+
+
+def delete_insert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _load_partitioned(spark, sf_dir, "delete_insert")
+
+
 def append_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, batch = recipes.orders_batch(spark, sf_dir)
     store = ek.TableStore(spark, scratch_path(spark, "store"))
@@ -304,6 +324,41 @@ def suite_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ek.audit_view(store).select("model_name", "test_type", "status", "source_row_count", "rows_compared", "match_count")
 
 
+def suite_interrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the audit view shows of a run whose driver goes away in the second of three tests."""
+    source, target = recipes.orders_pair(spark, sf_dir)
+
+    def gone(_: SparkSession) -> DataFrame:
+        raise KeyboardInterrupt
+
+    tests = [(name, suite.FULL, ORDER_KEY, "orders_expected", *[None] * 5) for name in ("a_orders", "b_lost", "c_orders")]
+    store = ek.TableStore(spark, scratch_path(spark, "suite"))
+    relations = {"a_orders": source, "b_lost": gone, "c_orders": source, "orders_expected": target}
+    try:
+        ek.run_suite(store, spark.createDataFrame(tests, text_schema(TEST_CONFIG_COLUMNS)), relations, parallel=1)
+    except KeyboardInterrupt:
+        pass
+    return ek.audit_view(store).select("model_name", "test_type", "status", "source_row_count", "rows_compared", "match_count")
+
+
+def suite_execution_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tests are numbered by model and type, whatever the configuration's order."""
+    store, _ = run_orders_suite(spark, sf_dir)
+    number = F.element_at(F.split("execution_id", "_"), -1).cast("int")
+    return ek.audit_view(store).select(number.alias("test_number"), "model_name", "test_type", "anomaly_count")
+
+
+def log_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log whose later appends have more columns than the first, in another order."""
+    orders = table(spark, sf_dir, "orders")
+    store = ek.TableStore(spark, scratch_path(spark, "log"))
+    store.ensure_log("orders_seen", orders.select("o_orderkey", "o_totalprice").schema)
+    store.append_log("orders_seen", orders.where("o_orderkey % 3 = 0").select("o_orderkey", "o_totalprice"))
+    store.append_log("orders_seen", orders.where("o_orderkey % 3 = 1").select("o_orderstatus", "o_orderkey", "o_totalprice"))
+    store.append_log("orders_seen", orders.where("o_orderkey % 3 = 2").select("o_orderkey", "o_orderdate"))
+    return store.read_log("orders_seen")
+
+
 def suite_config_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part as a line of a configuration file whose columns stand in another order."""
     path = scratch_path(spark, "config")
@@ -329,6 +384,17 @@ def check_failures_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_log("orders_status_set_failures").select("audit_run_id", ORDER_KEY, stored.cast("bigint").alias("counts"))
 
 
+def check_failures_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows of a check whose first run was repeated after its table had changed."""
+    store = ek.TableStore(spark, scratch_path(spark, "checks"))
+    source, target = recipes.orders_pair(spark, sf_dir)
+    lines, _ = recipes.lineitem_pair(spark, sf_dir)
+    for run, orders in (("first", source.where("o_orderkey % 2 = 0")), ("second", source), ("first", target)):
+        failing = ek.check_relationships(lines, "l_orderkey", orders, ORDER_KEY)
+        ek.store_check_failures(store, "lines_have_orders", failing, run)
+    return store.read_log("lines_have_orders_failures").select("audit_run_id", *LINE_KEY, "l_partkey", "l_tax")
+
+
 # -- run results ---------------------------------------------------------------------------------------------
 
 
@@ -349,6 +415,42 @@ def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("run", "unique_id", F.lower("status").alias("status"), "execution_time", "rows_affected", "elapsed_time")
 
 
+def run_documents_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written to and read from their folders."""
+    reports = scratch_path(spark, "reports")
+    recipes.write_documents(recipes.daily_documents(spark, sf_dir), reports)
+    nodes = ek.read_run_results(spark, reports)
+    return nodes.select("run", "unique_id", F.lower("status").alias("status"), "execution_time", "rows_affected", "elapsed_time")
+
+
+def runs_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive read in two calls: the second finds the new runs and one that was written again."""
+    reports, store = scratch_path(spark, "reports"), ek.TableStore(spark, scratch_path(spark, "archive"))
+    documents = recipes.daily_documents(spark, sf_dir)
+    early = documents.where("run < '20240116'")
+    again = F.col("run") == "20240105"
+    recipes.write_documents(early.withColumn("text", F.when(again, '{"results": []}').otherwise(F.col("text"))), reports)
+    ek.update_run_archive(store, reports)
+    recipes.write_documents(documents.where(again | (F.col("run") >= "20240116")), reports)
+    found = ek.update_run_archive(store, reports)
+    nothing = ek.update_run_archive(store, reports)
+    return ek.read_run_archive(store).select(
+        "run",
+        "unique_id",
+        F.lower("status").alias("status"),
+        "execution_time",
+        F.lit(found).alias("second_call"),
+        F.lit(nothing).alias("third_call"),
+    )
+
+
+def runs_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive's page of the ten newest runs."""
+    runs = table(spark, sf_dir, "events").groupBy(F.date_format("ts", "yyyyMMdd").alias("run"))
+    runs = runs.agg(F.max("ts").alias("modified_at"), F.count(F.lit(1)).alias("nodes"))
+    return ek.newest_first(runs).limit(10)
+
+
 # -- data-quality checks -------------------------------------------------------------------------------------
 
 
@@ -416,6 +518,8 @@ QUERIES: dict[str, Query] = {
         append_load,
         delete_insert_load,
         snapshot_then_upsert,
+        upsert_partitioned,
+        delete_insert_partitioned,
         append_store,
         upsert_latest,
         suite_config,
@@ -425,9 +529,16 @@ QUERIES: dict[str, Query] = {
         suite_failures_delta,
         suite_failures_delete,
         suite_after_failure,
+        suite_interrupted,
+        suite_execution_order,
         suite_config_csv,
+        log_evolution,
         check_failures_stored,
+        check_failures_rerun,
         run_documents,
+        run_documents_scan,
+        runs_incremental,
+        runs_newest_first,
         run_status_summary,
         run_failed_nodes,
         run_top_durations,

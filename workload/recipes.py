@@ -193,6 +193,23 @@ batch AS (
 )"""
 
 
+def orders_moving_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(target, batch): rows of one status change, some of them to another status, and new ones come."""
+    orders, batch = orders_batch(spark, sf_dir)
+    batch = batch.where(F.col("o_orderstatus") == "F")
+    return orders, change(batch, "o_orderstatus", one_in("o_orderkey", 60, 0), F.lit("P"))
+
+
+ORDERS_MOVING_BATCH_SQL = """
+batch AS (
+  SELECT * REPLACE (o_totalprice + 5 AS o_totalprice, CASE WHEN o_orderkey % 60 = 0 THEN 'P' ELSE o_orderstatus END AS o_orderstatus)
+  FROM orders WHERE o_orderkey % 20 = 0 AND o_orderstatus = 'F'
+  UNION ALL
+  SELECT * REPLACE (o_orderkey + 10000000 AS o_orderkey, CASE WHEN (o_orderkey + 10000000) % 60 = 0 THEN 'P' ELSE o_orderstatus END AS o_orderstatus)
+  FROM orders WHERE o_orderkey % 20 = 1 AND o_orderstatus = 'F'
+)"""
+
+
 # -- R8: part and an older copy of it ------------------------------------------------------------------------
 
 
@@ -394,4 +411,30 @@ def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of a day as one document: run, text."""
+    node = F.to_json(F.struct("unique_id", "status", "execution_time", "rows_affected"))
+    whole = F.concat(F.lit('{"elapsed_time": 2.5, "results": ['), F.array_join(F.collect_list("node"), ","), F.lit("]}"))
+    nodes = run_nodes(spark, sf_dir).select("run", node.alias("node"))
+    return nodes.groupBy("run").agg(whole.alias("text"))
+
+
+def write_documents(documents: DataFrame, reports: str) -> None:
+    """Each document as ``<reports>/<run>/run_results.json``. Spark writes one file per run; the driver names them."""
+    spark = documents.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    written = f"{reports}_written"
+    documents.repartition("run").write.mode("overwrite").partitionBy("run").option("lineSep", " ").text(written)
+    fs = path(written).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(path(written)):
+        if not folder.isDirectory():
+            continue
+        target = path(f"{reports}/{folder.getPath().getName().removeprefix('run=')}/run_results.json")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        (part,) = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+        if not fs.rename(part, target):
+            raise RuntimeError(f"cannot move {part} to {target}")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
