@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pandas as pd
@@ -135,6 +137,33 @@ class WordHashes(dict):
 
 HASHES = WordHashes()
 
+# What a worker keeps between batches, by how to drop it.
+_KEPT: list[Callable[[], None]] = [HASHES.clear]
+
+
+def drop_at_end(drop: Callable[[], None]) -> None:
+    """Have ``drop`` called when a task of :func:`tidy` ends."""
+    _KEPT.append(drop)
+
+
+def tidy(function: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's function that leaves nothing behind in its worker: workers are used again, by stages that need other
+    things, and wait between tasks beside an executor's heap."""
+
+    @wraps(function)
+    def run(*args, **options) -> Iterator:
+        try:
+            yield from function(*args, **options)
+        finally:
+            for drop in _KEPT:
+                drop()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:  # hands freed memory back to the system, where the C library can
+                trim(0)
+
+    return run
+
 
 def hash_words(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
@@ -201,6 +230,15 @@ def running_total(
     )
 
 
+def at_most(rows: DataFrame, place: Column, count: int, most: int) -> DataFrame:
+    """About the first ``most`` of ``count`` rows in the order of ``place``, and never fewer but by chance of one in a
+    billion: what a following ``limit`` would take, chosen by the place alone, so that a task does not send ``most`` rows
+    of its own."""
+    if count <= most:
+        return rows
+    return rows.where(place < (most + 6 * most**0.5 + 20) / count)
+
+
 def hashed_place(*columns: str | Column) -> Column:
     """A double from 0 to below 1, the same on every run."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") / float(1 << 53)

@@ -7,15 +7,19 @@
 3. Every vector is written to the list of its nearest centroid, and a vector near a boundary also to the lists of
    further centroids that are almost as near. ``TOGETHER`` lists make a bundle, and bundles are
    split into parts of about ``part_rows`` rows, so that no list, however many copies of one vector or vectors of one
-   vec_id it holds, meets in one task. Exact repeats of a row are dropped before. Queries are dealt into ``slots`` of about ``slot_queries``, for the same reason.
+   vec_id it holds, meets in one task. Exact repeats of a row are dropped before. The queries that search a bundle are
+   dealt into slots of about ``slot_queries``, for the same reason.
 4. A query searches the lists whose centroids are at most ``ratio`` times as far as the nearest one. The ratio is the
-   smallest that reaches ``target`` recall for sample vectors against the exact neighbours in the sample.
+   smallest that reaches ``target`` recall, by the lower bound of what the number of trials can tell, for sample vectors
+   that the centroids were not fitted to against their exact neighbours in the sample. With fewer than ``FEW_LISTS``
+   lists all are searched.
 5. Parts and queries are joined; a part compares a query with the rows of the lists it searches and returns the
    nearest, which are merged.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import pin, runs
+from evenkeel.llm.common import at_most, hashed_place, pin, runs
 
 NEAREST = 10
 MOST_SAMPLE = 16_384
@@ -36,6 +40,8 @@ TOGETHER = 8
 MOST_COPIES = 2
 BOUNDARY = 1.1
 TARGET = 0.95
+FEW_LISTS = 16
+TRIALS = 400  # sample vectors held out from fitting, to choose the ratio by
 DEGREE = 24
 BREADTH = 64
 ROUNDS = 8
@@ -126,22 +132,32 @@ def copies(distance: np.ndarray, boundary: float, most: int) -> np.ndarray:
     return chosen
 
 
-def calibrated_ratio(graph: Graph, sample: np.ndarray, boundary: float, most: int, target: float, nearest: int) -> float:
-    """The smallest distance ratio that finds ``target`` of the sample's exact neighbours."""
+def calibrated_ratio(
+    graph: Graph, sample: np.ndarray, asked: np.ndarray, boundary: float, most: int, target: float, nearest: int
+) -> float:
+    """The smallest distance ratio that finds ``target`` of the exact neighbours of the rows ``asked`` of the sample.
+
+    The aim is raised by two standard errors of the recall over the trials, so that it holds for other queries too.
+    """
+    if len(graph.centroids) < FEW_LISTS:
+        return math.inf
     found, distance = graph.nearest(sample)
     lists = copies(distance, boundary, most)
     k = len(graph.centroids)
     member = np.zeros((len(sample), k), bool)
     member[np.arange(len(sample))[:, None].repeat(found.shape[1], 1)[lists], found[lists]] = True
-    asked = np.arange(0, len(sample), max(1, len(sample) // 400))
     exact = squared(sample[asked], sample)
     exact[np.arange(len(asked)), asked] = np.inf
     best = np.argpartition(exact, min(nearest, exact.shape[1] - 1), axis=1)[:, :nearest]
     to_list = np.sqrt(squared(sample[asked], graph.centroids))
     to_list /= np.maximum(to_list.min(1, keepdims=True), 1e-12)
     # The ratio at which each true neighbour is reached through the nearest of its lists.
-    reached = np.where(member[best], to_list[:, None, :], np.inf).min(2).ravel()
-    return float(np.quantile(reached, target, method="higher")) + 1e-9
+    reached = np.where(member[best], to_list[:, None, :], np.inf).min(2)
+    for ratio in np.quantile(reached, np.linspace(target, 1, 101), method="higher"):
+        per_query = (reached <= ratio).mean(1)
+        if per_query.mean() - 2 * per_query.std() / math.sqrt(len(asked)) >= target:
+            return float(ratio) + 1e-9
+    return math.inf
 
 
 def usable_vectors(embeddings: DataFrame) -> DataFrame:
@@ -157,12 +173,18 @@ def _matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(lists), -1)
 
 
-def fit_graph(vectors: DataFrame, rows: int, most_sample: int, list_size: int) -> tuple[Graph, np.ndarray]:
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(rows, most_sample)).select("vector").toPandas()["vector"]
-    points = np.unique(np.array(sample.tolist(), float), axis=0)  # copies would make the neighbours look near
-    points = np.random.default_rng(7).permutation(points)
+def fit_graph(vectors: DataFrame, rows: int, most_sample: int, list_size: int) -> tuple[Graph, np.ndarray, np.ndarray]:
+    """The graph, the different vectors of the sample, and which of them were held out from fitting."""
+    place = hashed_place("vec_id", "vector")
+    drawn = at_most(vectors, place, rows, most_sample).orderBy(place, "vec_id").limit(min(rows, most_sample)).toPandas()
+    points, first = np.unique(np.array(drawn["vector"].tolist(), float), axis=0, return_index=True)  # copies look near
+    order = np.random.default_rng(7).permutation(len(points))
+    points, ids = points[order], drawn["vec_id"].to_numpy()[first][order]
+    # One trial per vec_id: an id with most of the rows must not speak for all queries.
+    _, trials = np.unique(ids, return_index=True)
+    held = np.sort(trials)[: min(TRIALS, len(trials) // 5)]
     k = int(min(max(1, rows // list_size), max(1, len(points) // 8)))
-    return Graph.build(balanced_centroids(points, k)), points
+    return Graph.build(balanced_centroids(np.delete(points, held, axis=0), k)), points, held
 
 
 def _scan(held: pd.DataFrame, wanted: pd.DataFrame, nearest: int) -> pd.DataFrame:
@@ -212,8 +234,9 @@ def nearest_neighbours(
 
     ``embeddings`` and ``queries`` have vec_id and embedding (array of numbers); without ``queries`` the rows whose
     vec_id is divisible by 100 are asked. A query's own row is no candidate. Ties go to the smaller vec_id. Vectors
-    that are null, all zero, or hold null or non-finite components take no part, nor do rows with a null vec_id. All
-    vectors must have one length. Repeated rows of one vec_id count once (of several vectors of one vec_id, each is
+    that are null, empty, all zero, or hold null or non-finite components take no part, nor do rows with a null vec_id.
+    Vectors of different lengths have no distance: only those of the most frequent length take part (of equally
+    frequent ones the longest). Repeated rows of one vec_id count once (of several vectors of one vec_id, each is
     compared and the nearest counts). An empty table gives an empty result; other columns are not read.
 
     Lists are approximate, distances are exact. If no list that a query may search holds more than ``nearest`` different
@@ -221,15 +244,16 @@ def nearest_neighbours(
     """
     spark = embeddings.sparkSession
     vectors = pin(usable_vectors(embeddings).distinct(), "vectors")
-    asked = vectors.where("vec_id % 100 = 0") if queries is None else usable_vectors(queries).distinct()
-    rows = vectors.count()
+    lengths = vectors.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), F.desc("length")).first()
     schema = "query_id long, rank int, vec_id long, score double"
-    if rows == 0:
+    if lengths is None:
         return spark.createDataFrame([], schema)
-    graph, points = fit_graph(vectors, rows, most_sample, list_size)
-    ratio = calibrated_ratio(graph, points, boundary, MOST_COPIES, target, nearest)
+    one_length = F.size("vector") == lengths["length"]
+    vectors, rows = vectors.where(one_length), lengths["count"]
+    asked = vectors.where("vec_id % 100 = 0") if queries is None else usable_vectors(queries).distinct().where(one_length)
+    graph, points, held = fit_graph(vectors, rows, most_sample, list_size)
+    ratio = calibrated_ratio(graph, points, held, boundary, MOST_COPIES, target, nearest)
     shared = spark.sparkContext.broadcast(graph)
-    slots = max(1, -(-asked.count() // slot_queries))
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,15 +279,17 @@ def nearest_neighbours(
     bundle = F.floor(F.col("list") / TOGETHER).cast("int")
     postings = postings.withColumn("bundle", bundle).join(split, "bundle")
     postings = postings.withColumn("part", F.pmod(F.xxhash64("vec_id", "vector"), F.col("parts"))).drop("parts")
-    postings = postings.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            found, distance = shared.value.nearest(_matrix(batch["vector"]), len(sizes), ratio)
-            wanted = distance <= np.maximum(distance[:, :1], 1e-12) * ratio
-            few = np.where(wanted, different[found], 0).max(1) <= nearest  # one may be the query's own
+            if math.isinf(ratio):
+                found, few = None, np.ones(len(batch), bool)
+            else:
+                found, distance = shared.value.nearest(_matrix(batch["vector"]), len(sizes), ratio)
+                wanted = distance <= np.maximum(distance[:, :1], 1e-12) * ratio
+                few = np.where(wanted, different[found], 0).max(1) <= nearest  # one may be the query's own
             rows: list[tuple[int, int, int, list[int]]] = []
             for at in range(len(batch)):
                 lists = np.arange(len(sizes)) if few[at] else np.sort(found[at, wanted[at]])
@@ -286,7 +312,13 @@ def nearest_neighbours(
     probes = asked.repartition(max(2, spark.sparkContext.defaultParallelism), "vec_id").mapInArrow(
         probe, "bundle int, part long, lists array<int>, query_id long, query array<double>"
     )
-    probes = probes.withColumn("slot", F.pmod(F.xxhash64("query_id"), F.lit(slots)).cast("int"))
+    probes = pin(probes, "probes")
+    # A bundle that many queries search is repeated once per slot of them, and only that one.
+    counts = probes.where("part = 0").groupBy("bundle").count()
+    slots = F.ceil(F.col("count") / slot_queries).cast("int")
+    dealt = F.broadcast(pin(counts.select("bundle", slots.alias("slots")), "slots"))  # one row per bundle
+    probes = probes.join(dealt, "bundle").withColumn("slot", F.pmod(F.xxhash64("query_id"), F.col("slots")).cast("int")).drop("slots")
+    postings = postings.join(dealt, "bundle").withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).drop("slots")
     hits = (
         postings.groupBy("bundle", "part", "slot")
         .cogroup(probes.groupBy("bundle", "part", "slot"))
