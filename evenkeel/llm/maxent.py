@@ -1,7 +1,8 @@
 """LM scoring: a hashed maximum-entropy model with n-gram and skip features and a class-factored softmax.
 
-1. Words of all training texts are counted by a 64-bit hash whose low five bits tell the class of the word's ending;
-   chunks of text are counted in the tasks, the rest by Spark.
+1. Texts are cut into words once. A chunk of texts is written as the hashes of its different words, whose low five bits
+   tell the class of the word's ending, and the place of each word among them. Words of all training texts are counted
+   from that, chunk by chunk in the tasks, the rest by Spark.
 2. The ``HEAD_WORDS`` most frequent words and the end of a text are put into classes of 64 with like endings. All other
    words, seen or not, belong to the class of their ending. So p(word | history) = p(class | history) times
    p(word | class, history) for a head word, and times (c + 1) / (sum of counts + words + 1) within its class for any
@@ -11,7 +12,7 @@
    the skip, each with the class. Without weights the model is the smoothed unigram model.
 4. Training takes every training document once, in ``ROUNDS`` parts. In each, tasks start from the weights so far and
    take gradient steps over their documents; Spark averages each row over the tasks by its number of tokens.
-5. Texts are turned into packed class and head numbers once. Words that are neither in the head nor in the broadcast
+5. Chunks are turned into texts of packed class and head numbers. Words that are neither in the head nor in the broadcast
    table of counts go through a join with all counts, so none is left out and nothing unbounded is broadcast.
 """
 
@@ -29,19 +30,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import Numbers, by_bytes, pin, runs, scrambled, text_bytes, words_in
+from evenkeel.llm.common import Numbers, by_bytes, pin, runs, scrambled, text_bytes, tidy, words_in
 
 CLASS_WORDS = 64  # head words in a class
 HEAD_CLASSES = 64
 HEAD_WORDS = CLASS_WORDS * HEAD_CLASSES  # with the end of a text
 ENDINGS = 32  # classes of all other words
-KNOWN_WORDS = 1 << 20  # words whose counts are broadcast: 16 bytes each
-CLASS_ROWS, WORD_ROWS = 1 << 15, 1 << 16  # hashed rows of weights
+KNOWN_WORDS = 1 << 19  # words whose counts are broadcast: 16 bytes each
+CLASS_ROWS, WORD_ROWS = 1 << 15, 1 << 14  # hashed rows of weights
 ROUNDS = 2  # parts of the training documents between which weights are averaged
 STEP_TOKENS = 4096  # tokens in a gradient step
 RATE = 2.0
 TASK_TOKENS, TASKS = 4 << 20, 8192  # least tokens of a training task, and most such tasks
-CHUNK_BYTES = 8 << 20  # text that is counted or encoded together
+CHUNK_BYTES = 4 << 20  # text whose words are numbered together
 
 _OUT = HEAD_CLASSES + ENDINGS
 _START = HEAD_WORDS + ENDINGS  # stands before a text's first word
@@ -54,6 +55,10 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in ra
 Batches = Iterable[pa.RecordBatch]
 
 
+def _numpy(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
 def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) & ~(ENDINGS - 1) | zlib.crc32(word[-2:]) % ENDINGS
 
@@ -72,11 +77,41 @@ def _numbered(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.fromiter(map(word_hash, numbers), np.uint64, len(numbers)), np.concatenate(found), lengths
 
 
-def _counts(batches: Batches) -> Iterator[pa.RecordBatch]:
+_CHUNK = "doc_ids array<long>, held_out array<boolean>, lengths array<long>, hashes binary, words binary"
+
+
+@tidy
+def _chunks(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """Texts in chunks: the hashes of the different words, and each word's place among them."""
     for part in by_bytes(batches, "body", CHUNK_BYTES):
-        hashes, words, _ = _numbered(part.column("body").to_pylist())
-        times = np.bincount(words, minlength=len(hashes))
-        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(times)], names=["h", "n"])
+        hashes, words, lengths = _numbered(part.column("body").to_pylist())
+        one = lambda array: pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
+        columns = [
+            one(part.column("doc_id").combine_chunks()),
+            one(part.column("held_out").combine_chunks()),
+            one(pa.array(lengths)),
+            pa.array([hashes.tobytes()], pa.binary()),
+            pa.array([words.astype(np.uint32).tobytes()], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _CHUNK.split(", ")])
+
+
+def _opened(batches: Batches) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each chunk: doc_ids, held_out, lengths, hashes, words."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            ids, out, lengths = (batch.column(name)[at].values for name in ("doc_ids", "held_out", "lengths"))
+            hashes = np.frombuffer(batch.column("hashes")[at].as_buffer(), np.uint64)
+            words = np.frombuffer(batch.column("words")[at].as_buffer(), np.uint32).astype(np.int64)
+            yield ids, out.to_numpy(zero_copy_only=False).astype(bool), lengths.to_numpy(), hashes, words
+
+
+def _counts(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """Words of the training texts of each chunk and how often they come."""
+    for _, out, lengths, hashes, words in _opened(batches):
+        times = np.bincount(words[np.repeat(~out, lengths)], minlength=len(hashes))
+        seen = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[seen].view(np.int64)), pa.array(times[seen])], names=["h", "n"])
 
 
 @dataclass(frozen=True)
@@ -116,11 +151,17 @@ class Vocabulary:
         return np.where(mass > 0, found, _NEVER).astype(np.float32)
 
 
-def count_words(texts: DataFrame, known_words: int = KNOWN_WORDS) -> Vocabulary:
-    """Count the words of ``body``. The driver gets how many words have which count (by powers of two), then the words
+def cut_words(docs: DataFrame) -> DataFrame:
+    """Chunks of the words of all texts (doc_id, held_out, body), written to the shared folder."""
+    return pin(docs.select("doc_id", "held_out", "body").mapInArrow(_chunks, _CHUNK), "maxent-words")
+
+
+def count_words(chunks: DataFrame, known_words: int = KNOWN_WORDS) -> Vocabulary:
+    """Count the words of the chunks' training texts. The driver gets how many words have which count (by powers of two), then the words
     at or above the lowest bound that leaves at most ``known_words`` of them."""
-    counts = pin(texts.mapInArrow(_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "maxent-counts")
-    total = texts.agg(F.count(F.lit(1)).alias("n")).first().n
+    counts = pin(chunks.mapInArrow(_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "maxent-counts")
+    learnt = F.size(F.filter("held_out", lambda x: ~x)).cast("long")
+    total = chunks.agg(F.coalesce(F.sum(learnt), F.lit(0)).alias("n")).first().n
     by_power = counts.groupBy((F.length(F.bin("n")) - 1).alias("p")).agg(F.count(F.lit(1)).alias("words")).collect()
     least, held = 1 << 62, 0
     for row in sorted(by_power, key=lambda r: -r.p):
@@ -165,18 +206,16 @@ _ENCODED = (
 )
 
 
+@tidy
 def _encode(batches: Batches, shared) -> Iterator[pa.RecordBatch]:
     """Per text its numbers (head word, else HEAD_WORDS + ending), what is known of its counts, and its rare words."""
     v = shared.value
     key = TaskContext.get().partitionId() << 33
     by_hash = np.argsort(v["head"])
-    for part in by_bytes(batches, "body", CHUNK_BYTES):
-        texts = part.column("body").to_pylist()
-        hashes, words, lengths = _numbered(texts)
-        hashes, words = np.append(hashes, np.uint64(END)), words
+    for doc_ids, out, lengths, hashes, words in _opened(batches):
+        hashes = np.append(hashes, np.uint64(END))
         # The end of each text follows its last word.
-        ends = np.cumsum(lengths)
-        words = np.insert(words, ends, len(hashes) - 1)
+        words = np.insert(words, np.cumsum(lengths), len(hashes) - 1)
         lengths = lengths + 1
         ends = np.cumsum(lengths)
         place, in_head = _at(v["head"][by_hash], hashes)
@@ -187,28 +226,27 @@ def _encode(batches: Batches, shared) -> Iterator[pa.RecordBatch]:
         n[-1], known[-1] = v["texts"], True
         base = np.where(known, np.log10((n + 1) / v["base_mass"]), 0.0)
         tail = np.where(known & ~in_head, np.log10((n + 1) / v["ending_mass"][ending]), 0.0)
-        ids = number[words].astype(np.int16)
-        text_of = np.repeat(np.arange(len(texts)), lengths)
+        ids = number.astype(np.int16)[words]
+        text_of = np.repeat(np.arange(len(lengths)), lengths)
         rare = np.flatnonzero(~known[words])
-        order = np.lexsort((hashes[words[rare]], text_of[rare]))
-        rare = rare[order]
-        pair = text_of[rare] * len(hashes) + words[rare]
+        pair = np.sort(text_of[rare] * len(hashes) + words[rare])
         first, times = runs(pair)
-        rare_of = np.searchsorted(text_of[rare[first]], np.arange(len(texts) + 1)).astype(np.int32)
-        per_text = lambda values: np.bincount(text_of, values[words], len(texts))
+        rare_text, rare_word = np.divmod(pair[first], len(hashes))
+        rare_of = np.searchsorted(rare_text, np.arange(len(lengths) + 1)).astype(np.int32)
+        per_text = lambda values: np.add.reduceat(values[words], ends - lengths)
         rows = {
-            "key": key + np.arange(len(texts)),
-            "doc_id": part.column("doc_id").combine_chunks(),
-            "held_out": part.column("held_out").combine_chunks(),
+            "key": key + np.arange(len(lengths)),
+            "doc_id": doc_ids,
+            "held_out": out,
             "n_tokens": lengths,
-            "n_known": per_text((known & (n > 0)).astype(float)).astype(np.int64),
+            "n_known": per_text((known & (n > 0)).astype(np.int64)),
             "base_score": per_text(base),
             "tail": per_text(tail),
-            "ids": pa.array([x.tobytes() for x in np.split(ids, ends[:-1])], pa.binary()),
-            "rare": pa.ListArray.from_arrays(rare_of, pa.array(hashes[words[rare[first]]].view(np.int64))),
+            "ids": pa.array([ids[a:b].tobytes() for a, b in zip((ends - lengths).tolist(), ends.tolist())], pa.binary()),
+            "rare": pa.ListArray.from_arrays(rare_of, pa.array(hashes[rare_word].view(np.int64))),
             "times": pa.ListArray.from_arrays(rare_of, pa.array(times.astype(np.int64))),
         }
-        key += len(texts)
+        key += len(lengths)
         yield pa.RecordBatch.from_pydict({k: x if isinstance(x, pa.Array) else pa.array(x) for k, x in rows.items()})
 
 
@@ -222,6 +260,17 @@ class Weights:
         self.word_force = np.zeros(WORD_ROWS) if start is None else start.word_force.copy()
         self.class_seen, self.word_seen = np.zeros(CLASS_ROWS), np.zeros(WORD_ROWS)
 
+    def packed(self) -> tuple[np.ndarray, ...]:
+        """For broadcasting: half the bytes."""
+        return self.classes.astype(np.float16), self.words.astype(np.float16), self.class_force, self.word_force
+
+    @staticmethod
+    def unpacked(parts: tuple[np.ndarray, ...] | None) -> Weights:
+        w = Weights()
+        if parts is not None:
+            w.classes[:], w.words[:], w.class_force[:], w.word_force[:] = parts
+        return w
+
     def matrices(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         return [(self.classes, self.class_force, self.class_seen), (self.words, self.word_force, self.word_seen)]
 
@@ -255,11 +304,6 @@ def _word_rows(before: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return np.stack([_rows(kind + 8 + i, WORD_ROWS, before[:, i], classes) for i in range(_BACK)], 1)
 
 
-def _log_softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(1, keepdims=True))
-
-
 def _summed(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     total = weights.take(rows[:, 0], axis=0)
     for i in range(1, rows.shape[1]):
@@ -267,18 +311,39 @@ def _summed(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total
 
 
+def _log_of(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax at one place per row; ``scores`` is used up."""
+    scores -= scores.max(1, keepdims=True)
+    chosen = scores[np.arange(len(wanted)), wanted].astype(np.float64)
+    return chosen - np.log(np.exp(scores, out=scores).sum(1))
+
+
 def log_probabilities(ids: np.ndarray, before: np.ndarray, w: Weights, class_logs: np.ndarray, word_logs: np.ndarray) -> np.ndarray:
     """Natural logarithms of p(class) and, for head words, p(word | class) of each token after its history."""
     classes = np.where(ids < HEAD_WORDS, ids // CLASS_WORDS, ids - HEAD_WORDS + HEAD_CLASSES)
-    logs = _log_softmax(class_logs + _summed(w.classes, _class_rows(before)))
-    found = logs[np.arange(len(ids)), classes].astype(np.float64)
+    found = _log_of(class_logs + _summed(w.classes, _class_rows(before)), classes)
     head = np.flatnonzero(ids < HEAD_WORDS)
     own = classes[head]
-    logs = _log_softmax(word_logs[own] + _summed(w.words, _word_rows(before[head], own)))
-    found[head] += logs[np.arange(len(head)), ids[head] % CLASS_WORDS]
+    scores = _summed(w.words, _word_rows(before[head], own))
+    scores += word_logs.take(own, axis=0)
+    found[head] += _log_of(scores, ids[head] % CLASS_WORDS)
     return found
 
 
+def _running_sum(values: np.ndarray) -> np.ndarray:
+    """Sums of the rows up to each row: within blocks, then over the blocks, so that every addition is a wide one."""
+    n, width = values.shape
+    block = max(1, math.isqrt(n))
+    blocks = -(-n // block)
+    padded = np.zeros((blocks, block, width), values.dtype)
+    padded.reshape(-1, width)[:n] = values
+    for at in range(1, block):
+        padded[:, at] += padded[:, at - 1]
+    before = np.cumsum(padded[:-1, -1], axis=0)
+    padded[1:] += before[:, None]
+    return padded.reshape(-1, width)[:n]
+
+
 def _move(
     weights: np.ndarray, force: np.ndarray, seen: np.ndarray, rows: np.ndarray, gradient: np.ndarray, rate: float
 ) -> None:
@@ -288,12 +353,14 @@ def _move(
     first, size = runs(flat[order])
     own = flat[order[first]]
     # Sums of runs as differences of one running sum, which is much faster than adding up run by run.
-    running = np.cumsum(gradient.take(order // rows.shape[1], axis=0), axis=0)
+    running = _running_sum(gradient.take(order // rows.shape[1], axis=0))
     total = running.take(first + size - 1, axis=0)
     total[1:] -= total[:-1].copy()
     seen[own] += size
     force[own] += np.einsum("ij,ij->i", total, total)
-    weights[own] += (rate / np.sqrt(force[own] + 1e-6)).astype(np.float32)[:, None] * total
+    total *= (rate / np.sqrt(force[own] + 1e-6)).astype(np.float32)[:, None]
+    total += weights.take(own, axis=0)
+    weights[own] = total
 
 
 def gradient_step(
@@ -309,7 +376,10 @@ def gradient_step(
     ):
         if not len(wanted):
             continue
-        gradient = -np.exp(_log_softmax(logs + _summed(matrix[0], rows)))
+        scores = logs + _summed(matrix[0], rows)
+        scores -= scores.max(1, keepdims=True)
+        gradient = np.exp(scores, out=scores)
+        gradient /= -gradient.sum(1, keepdims=True)
         gradient[np.arange(len(wanted)), wanted] += 1
         _move(*matrix, rows, gradient, rate / rows.shape[1])
 
@@ -326,10 +396,11 @@ _MOVED_KINDS = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.binary()]
 _MOVED_NAMES = [part.split()[0] for part in _MOVED.split(", ")]
 
 
+@tidy
 def _train(batches: Batches, shared) -> Iterator[pa.RecordBatch]:
     """Take gradient steps from the shared weights; return how far each row moved, and by how many tokens."""
     state = shared.value
-    start = state["weights"]
+    start = Weights.unpacked(state["weights"])
     w = Weights(start)
     for _, ids, lengths in _token_chunks(batches, 64 * STEP_TOKENS):
         before = _histories(ids, lengths)
@@ -345,30 +416,35 @@ def _train(batches: Batches, shared) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in moved], pa.binary())], names=_MOVED_NAMES)
 
 
+@tidy
 def _average(batches: Batches) -> Iterator[pa.RecordBatch]:
     """Mean movement of each row, weighted by tokens. Rows come sorted by matrix, place and task."""
-    row, seen, force, total = None, 0.0, 0.0, np.zeros(0)
-
-    def shown(found: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*found)) or [()] * len(_MOVED_KINDS)
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, _MOVED_KINDS)], names=_MOVED_NAMES)
+    held: tuple | None = None  # matrix, place, tokens, squares and movement summed so far
 
-    def mean() -> tuple:
-        return (*row, seen, force / seen, (total / seen).astype(np.float32).tobytes())
+    def shown(matrix, place, seen, force, total) -> pa.RecordBatch:
+        means = [x.tobytes() for x in (total / seen[:, None]).astype(np.float32)]
+        values = [matrix, place, seen, force / seen, means]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(values, _MOVED_KINDS)], names=_MOVED_NAMES)
 
     for batch in batches:
-        done = []
-        for matrix, place, tokens, squares, moved in zip(*[batch.column(name).to_pylist() for name in _MOVED_NAMES]):
-            values = np.frombuffer(moved, np.float16).astype(np.float64) * tokens
-            if row == (matrix, place):
-                seen, force, total = seen + tokens, force + squares * tokens, total + values
-                continue
-            if row:
-                done.append(mean())
-            row, seen, force, total = (matrix, place), tokens, squares * tokens, values
-        yield shown(done)
-    if row:
-        yield shown([mean()])
+        matrix, place, seen, force = (_numpy(batch, name) for name in _MOVED_NAMES[:4])
+        moved = batch.column("moved").to_pylist()
+        for own in np.split(np.arange(len(matrix)), np.flatnonzero(np.diff(matrix)) + 1) if len(matrix) else []:
+            values = np.frombuffer(b"".join(moved[own[0] : own[-1] + 1]), np.float16).reshape(len(own), -1)
+            values = values.astype(np.float64) * seen[own, None]
+            first, _ = runs(place[own])
+            sums = [matrix[own][first], place[own][first]]
+            sums += [np.add.reduceat(x, first, axis=0) for x in (seen[own], force[own] * seen[own], values)]
+            if held is not None:
+                if (held[0][0], held[1][0]) == (sums[0][0], sums[1][0]):
+                    for x, before in zip(sums[2:], held[2:]):
+                        x[0] += before[0]
+                else:
+                    yield shown(*held)
+            yield shown(*[x[:-1] for x in sums])
+            held = tuple(x[-1:] for x in sums)
+    if held is not None:
+        yield shown(*held)
 
 
 def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Weights:
@@ -377,16 +453,16 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> W
     w = Weights()
     tasks = max(1, min(math.ceil(vocabulary.tokens / rounds / TASK_TOKENS), TASKS))
     for number in range(rounds):
-        shared = spark.sparkContext.broadcast(
-            {"weights": w, "class_logs": vocabulary.class_logs(), "word_logs": vocabulary.word_logs()}
-        )
+        state = {"weights": w.packed() if number else None}
+        state |= {"class_logs": vocabulary.class_logs(), "word_logs": vocabulary.word_logs()}
+        shared = spark.sparkContext.broadcast(state)
         own = encoded.where(~F.col("held_out") & (F.pmod(F.xxhash64("key"), F.lit(rounds)) == number)).select("ids")
         moved = own.coalesce(tasks).mapInArrow(lambda batches: _train(batches, shared), _MOVED)
         moved = moved.withColumn("task", F.spark_partition_id())
         moved = moved.repartition("matrix", "place").sortWithinPartitions("matrix", "place", "task").drop("task")
         found = pin(moved.mapInArrow(_average, _MOVED), "maxent-weights").toArrow()
-        shared.unpersist()
-        w = Weights(w)
+        shared.destroy()
+        w = Weights.unpacked(state["weights"])  # as the tasks had them
         matrix, place, squares = (found.column(c).to_numpy() for c in ("matrix", "place", "force"))
         steps = found.column("moved").to_pylist()
         for m, (weights, force, _) in enumerate(w.matrices()):
@@ -400,14 +476,16 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> W
 _SCORED = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
+@tidy
 def _score(batches: Batches, shared) -> Iterator[pa.RecordBatch]:
     state = shared.value
+    w = Weights.unpacked(state["weights"])
     for part, ids, lengths in _token_chunks(batches, 64 * STEP_TOKENS):
         before = _histories(ids, lengths)
         logs = np.zeros(len(ids))
         for at in range(0, len(ids), STEP_TOKENS):
             some = slice(at, at + STEP_TOKENS)
-            logs[some] = log_probabilities(ids[some], before[some], state["weights"], state["class_logs"], state["word_logs"])
+            logs[some] = log_probabilities(ids[some], before[some], w, state["class_logs"], state["word_logs"])
         ends = np.cumsum(lengths)
         total = np.add.reduceat(logs, ends - lengths) / math.log(10)  # every text has at least its end
         names = [name.split()[0] for name in _SCORED.split(", ")]
@@ -432,12 +510,14 @@ def score_texts(docs: DataFrame, known_words: int = KNOWN_WORDS, rounds: int = R
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), text_bytes().alias("body")
     )
-    v = count_words(rows.where("not held_out").select("body"), known_words)
+    chunks = cut_words(rows)
+    v = count_words(chunks, known_words)
     known = {name: getattr(v, name) for name in ("known", "known_n", "head", "texts", "base_mass", "ending_mass")}
     shared = spark.sparkContext.broadcast(known)
-    encoded = pin(rows.mapInArrow(lambda batches: _encode(batches, shared), _ENCODED), "maxent-encoded")
+    encoded = pin(chunks.mapInArrow(lambda batches: _encode(batches, shared), _ENCODED), "maxent-encoded")
+    shared.destroy()
     w = train(encoded, v, rounds)
-    model = spark.sparkContext.broadcast({"weights": w, "class_logs": v.class_logs(), "word_logs": v.word_logs()})
+    model = spark.sparkContext.broadcast({"weights": w.packed(), "class_logs": v.class_logs(), "word_logs": v.word_logs()})
     scored = encoded.drop("rare", "times").mapInArrow(lambda batches: _score(batches, model), _SCORED)
 
     rare = encoded.where(F.size("rare") > 0).select("key", F.explode(F.arrays_zip("rare", "times")).alias("r"))

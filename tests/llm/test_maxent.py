@@ -76,7 +76,8 @@ def test_empty_table_no_training_text_and_clashing_columns(spark):
 def small_model(spark, trained=True):
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice(["the", "cat", "sat", "on", "mats", "dogs", "ran"], 12)) for _ in range(40)]
-    v = maxent.count_words(spark.createDataFrame([(t.encode(),) for t in texts], "body binary"), 1000)
+    rows = spark.createDataFrame([(i, False, t.encode()) for i, t in enumerate(texts)], "doc_id long, held_out boolean, body binary")
+    v = maxent.count_words(maxent.cut_words(rows), 1000)
     w = Weights()
     if trained:
         rng = np.random.default_rng(3)
