@@ -50,6 +50,7 @@ ROW_OVERHEAD_BYTES = 150
 
 _WEIGHT = "_ek_weight"
 _SLICE = "_ek_slice"
+_HOT = "_ek_hot"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -126,16 +127,20 @@ def keyed_join(
 ) -> DataFrame:
     """Join a big table with a key set (one row per key), whatever the set's size and the table's skew.
 
-    ``hot`` lists the keys with more than ``per_slice`` rows in the big table (None: there are none).
+    ``hot`` lists the keys with more than ``per_slice`` rows in the big table (None: there are none). It is broadcast as
+    pairs of a 64-bit digest and a number, so its size is bounded by the number of hot keys, however long their texts
+    are. A key that shares a digest with a hot one is spread as well, on both sides, which changes no result.
     """
     if picked_bytes <= limits.broadcast_bytes:
         return rows.join(F.broadcast(picked), on, how)
     if hot is None:
         return rows.join(picked, on, how)
-    lookup = F.broadcast(hot.selectExpr(*[quoted(k) for k in on], f"{hot_weight} as {_WEIGHT}"))
+    digest = f"xxhash64({', '.join(quoted(k) for k in on)}) as {_HOT}"
+    lookup = hot.selectExpr(digest, f"{hot_weight} as {_WEIGHT}").groupBy(_HOT).agg(F.max(_WEIGHT).alias(_WEIGHT))
+    lookup = F.broadcast(lookup)
     weight = f"coalesce({_WEIGHT}, 1)"
-    rows = spread(rows.join(lookup, on, "left"), weight, per_slice).drop(_WEIGHT)
-    picked = replicate(picked.join(lookup, on, "left"), weight, per_slice).drop(_WEIGHT)
+    rows = spread(rows.selectExpr("*", digest).join(lookup, _HOT, "left"), weight, per_slice).drop(_WEIGHT, _HOT)
+    picked = replicate(picked.selectExpr("*", digest).join(lookup, _HOT, "left"), weight, per_slice).drop(_WEIGHT, _HOT)
     return rows.join(picked, [*on, _SLICE], how).drop(_SLICE)
 
 

@@ -134,6 +134,23 @@ def test_rows_of_a_hot_key_spread_over_slices(spark):
     assert copies.count() == 8
 
 
+def test_hot_keys_are_broadcast_as_numbers(spark):
+    """Two hot keys with long texts: the broadcast holds their digests only."""
+    rows = spark.range(0, 900, 1, 6).selectExpr("repeat(if(id % 3 = 0, 'a', 'b'), 5000) as k", "id")
+    picked = rows.groupBy("k").agg({"id": "count"}).withColumnRenamed("count(id)", "n")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        limits = Limits(broadcast_bytes=0)
+        joined = keyed.keyed_join(rows, picked.drop("n"), ["k"], "inner", 1, picked, "n", 100, limits)
+        assert joined.count() == 900 and joined.columns == ["k", "id"]
+        plan = plan_of(joined)
+        found = re.findall(r"BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)
+        assert found and all(re.fullmatch(r"_ek_hot#\d+L, _ek_weight#\d+L", columns) for columns in found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_intermediates_go_to_the_session_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
