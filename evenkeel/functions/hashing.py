@@ -63,6 +63,11 @@ def plain_columns(left: DataFrame, right: DataFrame, columns: Iterable[str]) ->
     }
 
 
+def exact_type(data_type: T.DataType) -> bool:
+    """Whether two values of a plain type are equal exactly where their texts are (-0.0 and 0.0 are not)."""
+    return isinstance(data_type, _PLAIN_TYPES) and not isinstance(data_type, (T.FloatType, T.DoubleType))
+
+
 def _value(df: DataFrame, column: str) -> str:
     """What to hash for a plain column. The hash function skips nulls and takes -0.0 for 0.0; their texts differ."""
     value = quoted(column)

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.columns import key_list, non_key_columns, quoted, text_literal
-from evenkeel.functions.hashing import key_digest, key_hash, plain_columns, row_digest, row_hash
+from evenkeel.functions.columns import any_null, column_type, key_list, non_key_columns, quoted, text_literal
+from evenkeel.functions.hashing import exact_type, key_digest, key_hash, plain_columns, row_digest, row_hash
 from evenkeel.plans.keyed import DEFAULT_LIMITS, ROW_OVERHEAD_BYTES, Limits, fetch, max_where, nothing, pin, sum_where
 
 # Anomaly names and their descriptions.
@@ -40,22 +40,57 @@ class FullComparison:
 def _profile(
     source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], plain: set[str]
 ) -> DataFrame:
-    """Per key: rows on each side, and the xor of all row digests (zero for a 1:1 pair of equal rows)."""
+    """Per key: rows on each side, and the xor of all row digests (zero for a 1:1 pair of equal rows).
+
+    Keys whose values are equal exactly where their texts are, are grouped by value, which is narrower than digests.
+    """
+    by_value = _by_value(source, keys, plain)
 
     def narrow(df: DataFrame, in_source: int) -> DataFrame:
         key1, key2 = key_digest(df, keys, plain)
         row1, row2 = row_digest(df, columns, plain)
+        grouping = [quoted(k) for k in keys] if by_value else [f"{key1} as {_KEY[0]}", f"{key2} as {_KEY[1]}"]
         return df.selectExpr(
-            f"{key1} as {_KEY[0]}",
-            f"{key2} as {_KEY[1]}",
-            f"{in_source} as s",
-            f"{1 - in_source} as t",
-            f"{row1} as r1",
-            f"{row2} as r2",
+            *grouping, f"{in_source} as _ek_s", f"{1 - in_source} as _ek_t", f"{row1} as _ek_r1", f"{row2} as _ek_r2"
         )
 
-    sums = [F.expr(e) for e in ("sum(s) as n_s", "sum(t) as n_t", "bit_xor(r1) as x1", "bit_xor(r2) as x2")]
-    return narrow(source, 1).unionByName(narrow(target, 0)).groupBy(*_KEY).agg(*sums)
+    sums = {"n_s": "sum(_ek_s)", "n_t": "sum(_ek_t)", "x1": "bit_xor(_ek_r1)", "x2": "bit_xor(_ek_r2)"}
+    rows = narrow(source, 1).unionByName(narrow(target, 0))
+    grouped = rows.groupBy(*([quoted(k) for k in keys] if by_value else _KEY))
+    found = grouped.agg(*[F.expr(f"{total} as _ek_{name}") for name, total in sums.items()])
+    digests = key_digest(found, keys, plain) if by_value else _KEY
+    return found.selectExpr(
+        *[f"{digest} as {name}" for digest, name in zip(digests, _KEY)], *[f"_ek_{name} as {name}" for name in sums]
+    )
+
+
+def _by_value(source: DataFrame, keys: list[str], plain: set[str]) -> bool:
+    return all(k in plain and exact_type(column_type(source, k)) for k in keys)
+
+
+def _bucketed_profile(
+    source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], plain: set[str]
+) -> DataFrame:
+    """The same for tables in equally many buckets by their keys, which are aggregated and joined where they lie.
+
+    A union would lose the buckets, a null-safe join too; ``null_key`` tells the rows that this join cannot match.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        row1, row2 = row_digest(df, columns, plain)
+        rows = df.selectExpr(*[quoted(k) for k in keys], f"{row1} as _ek_r1", f"{row2} as _ek_r2")
+        sums = {"n": "count(1)", "x1": "bit_xor(_ek_r1)", "x2": "bit_xor(_ek_r2)"}
+        return rows.groupBy(*[quoted(k) for k in keys]).agg(*[F.expr(f"{e} as _ek_{c}_{name}") for c, e in sums.items()])
+
+    found = side(source, "s").join(side(target, "t"), keys, "full")
+    key1, key2 = key_digest(found, keys, plain)
+    return found.selectExpr(
+        f"{key1} as {_KEY[0]}",
+        f"{key2} as {_KEY[1]}",
+        *[f"coalesce(_ek_n_{side}, 0) as n_{side}" for side in "st"],
+        *[f"coalesce(_ek_{x}_s, 0) ^ coalesce(_ek_{x}_t, 0) as {x}" for x in ("x1", "x2")],
+        f"{any_null(keys)} as null_key",
+    )
 
 
 def compare_full(
@@ -67,6 +102,7 @@ def compare_full(
     source_name: str = "source",
     target_name: str | None = None,
     limits: Limits = DEFAULT_LIMITS,
+    co_located: bool = False,
 ) -> FullComparison:
     """Like :func:`full_compare`, and also returns row counts, key statistics and anomaly counts.
 
@@ -83,25 +119,27 @@ def compare_full(
     mismatch = "(n_s = 1 and n_t = 1 and (x1 <> 0 or x2 <> 0))"
     anomalous = f"({missing_t} or {missing_s} or {mismatch} or n_s > 1 or n_t > 1)"
 
-    picked, stats = pin(
-        _profile(source, target, keys, columns, plain),
-        keep=anomalous,
-        stats={
-            "source_rows": "sum(n_s)",
-            "target_rows": "sum(n_t)",
-            "unique_keys": "count_if(n_s = 1)",
-            "duplicate_groups": "count_if(n_s > 1)",
-            "source_duplicates": sum_where("n_s > 1", "n_s"),
-            "target_duplicates": sum_where("n_t > 1", "n_t"),
-            "missing_in_target": f"count_if{missing_t}",
-            "missing_in_source": f"count_if{missing_s}",
-            "value_mismatch": f"count_if{mismatch}",
-            "picked_keys": f"count_if{anomalous}",
-            "heaviest_source": max_where(anomalous, "n_s"),
-            "heaviest_target": max_where(anomalous, "n_t"),
-        },
-        label="full-compare",
-    )
+    measures = {
+        "source_rows": "sum(n_s)",
+        "target_rows": "sum(n_t)",
+        "unique_keys": "count_if(n_s = 1)",
+        "duplicate_groups": "count_if(n_s > 1)",
+        "source_duplicates": sum_where("n_s > 1", "n_s"),
+        "target_duplicates": sum_where("n_t > 1", "n_t"),
+        "missing_in_target": f"count_if{missing_t}",
+        "missing_in_source": f"count_if{missing_s}",
+        "value_mismatch": f"count_if{mismatch}",
+        "picked_keys": f"count_if{anomalous}",
+        "heaviest_source": max_where(anomalous, "n_s"),
+        "heaviest_target": max_where(anomalous, "n_t"),
+    }
+    found = None
+    if co_located and _by_value(source, keys, plain):
+        profile = _bucketed_profile(source, target, keys, columns, plain)
+        found = pin(profile, anomalous, measures | {"null_keys": "count_if(null_key)"}, "full-compare")
+        if found[1]["null_keys"]:  # null keys match each other, which takes the general way
+            found = None
+    picked, stats = found or pin(_profile(source, target, keys, columns, plain), anomalous, measures, "full-compare")
     per_type = {
         MISSING_IN_TARGET: stats["missing_in_target"],
         MISSING_IN_SOURCE: stats["missing_in_source"],
@@ -225,6 +263,7 @@ def full_compare(source: DataFrame, target: DataFrame, key_columns: str | Sequen
     is a duplicate there. Keys are matched by text, so null keys match each other.
 
     Options: ``compare_columns`` (default: all non-key columns), ``fail_on_duplicates``, ``source_name``,
-    ``target_name``, ``limits``.
+    ``target_name``, ``limits``, ``co_located`` (both tables are in equally many buckets by the keys: nothing is shuffled
+    to find the anomalies; the result is the same for any tables).
     """
     return compare_full(source, target, key_columns, **options).rows

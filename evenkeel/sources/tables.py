@@ -5,7 +5,8 @@ Layout below the root folder::
     <schema>/<table>/v=<id>/...             files of one load
     <schema>/<table>/v=<id>/_slot=<n>/...   the same in a partitioned table: files of one load and slot
     <schema>/<table>/_current               text: the folders that make up the version in force, one a line
-    <schema>/<table>/_partitioning          text: by which columns the table is dealt into slots
+    <schema>/<table>/_partitioning          text: by which columns the table is dealt into slots or buckets
+    <schema>/<table>/v=<id>/_buckets        text: the same, of a version that was written in buckets
     <schema>/<table>/_retired.<id>          text: folders that left the table, for expire()
     <log schema>/<log>/run=<id>/...         files of one append
     <log schema>/<log>/_schemas/<digest>    text: a schema that an append had
@@ -140,7 +141,30 @@ class TableStore:
 
     def _read_parts(self, parts: list[str]) -> DataFrame:
         """Rows of the listed folders. Each is a root of its own, so its name makes no column of the table."""
-        return self.spark.read.parquet(*parts)
+        buckets = self._read_text(f"{parts[0]}/_buckets") if len(parts) == 1 else None
+        return self.spark.read.parquet(*parts) if buckets is None else self._read_buckets(parts[0], json.loads(buckets))
+
+    def _read_buckets(self, part: str, deal: dict) -> DataFrame:
+        """A version in buckets, as a table of the session's catalog over its folder: only a catalog tells Spark of them."""
+        name = f"ek_buckets_{hashlib.sha256(part.encode()).hexdigest()[:24]}"
+        if not self.spark.catalog.tableExists(name):
+            fields = self.spark.read.parquet(part).schema
+            columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+            keys = ", ".join(quoted(c) for c in deal["columns"])
+            self.spark.sql(
+                f"create table {name} ({columns}) using parquet clustered by ({keys}) sorted by ({keys}) "
+                f"into {deal['buckets']} buckets location '{part}'"
+            )
+        return self.spark.table(name)
+
+    def _write_buckets(self, folder: str, df: DataFrame, deal: dict) -> None:
+        """One file per bucket. The catalog entry of the write is dropped; reading makes one where it is needed."""
+        name = f"ek_writing_{uuid.uuid4().hex}"
+        keys, n = [ref(c) for c in deal["columns"]], deal["buckets"]
+        writer = df.repartition(n, *keys).write.format("parquet").bucketBy(n, *deal["columns"]).sortBy(*deal["columns"])
+        writer.option("path", folder).saveAsTable(name)
+        self.spark.sql(f"drop table {name}")
+        self._write_text(f"{folder}/_buckets", json.dumps(deal))
 
     def parts(self, name: str) -> list[str]:
         """The folders that make up the table at present."""
@@ -162,7 +186,10 @@ class TableStore:
         folder = self._table_folder(name)
         fresh = f"{folder}/v={uuid.uuid4().hex}"
         deal = self.partitioning(name)
-        if deal is None:
+        if deal is not None and "buckets" in deal and not beside:
+            self._write_buckets(fresh, df, deal)
+            return self._put_in_force(name, [fresh])
+        if deal is None or "buckets" in deal:  # an append's batch is a plain part beside the buckets
             df.write.parquet(fresh)
             return self._put_in_force(name, [*beside, fresh])
         # Each slot's rows together, large slots split and small ones joined where the shuffle is read.
@@ -176,26 +203,40 @@ class TableStore:
         return self._put_in_force(name, [*held, *[f"{fresh}/{slot}" for slot in slots]])
 
     def write(
-        self, name: str, df: DataFrame, partition_by: str | Sequence[str] | None = None, slots: int | None = None
+        self,
+        name: str,
+        df: DataFrame,
+        partition_by: str | Sequence[str] | None = None,
+        slots: int | None = None,
+        bucket_by: str | Sequence[str] | None = None,
+        buckets: int = 200,
     ) -> DataFrame:
         """Write a complete new version and put it in force; ``write(name, read(name))`` joins the parts of many appends.
 
         ``partition_by`` deals the table, from now on, into slots by these columns: one for each combination of their
         values, or ``slots`` of them by hash. An upsert or delete-insert then writes only slots that it touches. Choose
         columns that a batch has few values of (a day, a region); a table keeps its partitioning until told another.
+
+        ``bucket_by`` writes whole versions, from now on, in ``buckets`` sorted by these columns instead: two versions, or
+        tables with as many buckets, are then compared by them without a shuffle. That holds until an append; the next
+        whole version is in buckets again.
         """
-        if partition_by is not None:
-            columns = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        if partition_by is not None and bucket_by is not None:
+            raise ValueError(f"write: {name!r} can be dealt into slots or into buckets, not both")
+        dealt = partition_by if bucket_by is None else bucket_by
+        if dealt is not None:
+            columns = [dealt] if isinstance(dealt, str) else list(dealt)
             missing = [c for c in columns if c not in df.columns]
             if missing:
                 raise ValueError(f"write: no column {', '.join(missing)} to partition {name!r} by")
             fs, hadoop_path = self._file(self._table_folder(name))
             fs.mkdirs(hadoop_path)
-            self._write_text(f"{self._table_folder(name)}/_partitioning", json.dumps({"columns": columns, "slots": slots}))
+            deal = {"columns": columns} | ({"slots": slots} if bucket_by is None else {"buckets": buckets})
+            self._write_text(f"{self._table_folder(name)}/_partitioning", json.dumps(deal))
         return self._write_part(name, df, [])
 
     def partitioning(self, name: str) -> dict | None:
-        """Columns and number of slots (None: one per combination of values) of a partitioned table."""
+        """Columns and number of slots (None: one per combination of values) or buckets of a table that is dealt."""
         text = self._read_text(f"{self._table_folder(name)}/_partitioning")
         return None if text is None else json.loads(text)
 
@@ -340,7 +381,7 @@ class TableStore:
             loaded = self.write(name, batch, partition_by, slots)
             self.take_snapshot(name)
             return loaded
-        if strategy in ("upsert", "delete_insert") and self.partitioning(name) is not None:
+        if strategy in ("upsert", "delete_insert") and "slots" in (self.partitioning(name) or {}):
             self.take_snapshot(name)
             return self._load_slots(name, batch, unique_key, strategy, order_by, limits)
         target = self.read(name)

@@ -303,6 +303,7 @@ UNION ALL SELECT *, 'before', 1 FROM orders"""
 
 EXPECTED: dict[str, str] = {
     "full_compare": full_sql(r.ORDERS_PAIR_SQL, ORDER_KEY, others(ORDERS, ORDER_KEY), "orders", "orders_expected"),
+    "full_compare_bucketed": full_sql(r.ORDERS_PAIR_SQL, ORDER_KEY, others(ORDERS, ORDER_KEY), "orders", "orders_expected"),
     "full_compare_composite": full_sql(
         r.LINEITEM_PAIR_SQL, LINE_KEY, others(LINEITEM, LINE_KEY), "lineitem", "lineitem_expected"
     ),

@@ -41,6 +41,16 @@ def full_compare_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steady(ek.full_compare(source, target, LINE_KEY, source_name="lineitem", target_name="lineitem_expected"))
 
 
+def full_compare_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables written in buckets by their key."""
+    source, target = recipes.orders_pair(spark, sf_dir)
+    store = ek.TableStore(spark, scratch_path(spark, "store"))
+    one = store.write("orders", source, bucket_by=ORDER_KEY, buckets=8)
+    two = store.write("orders_expected", target, bucket_by=ORDER_KEY, buckets=8)
+    found = ek.full_compare(one, two, ORDER_KEY, source_name="orders", target_name="orders_expected", co_located=True)
+    return steady(found)
+
+
 def full_compare_dup_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = recipes.orders_pair(spark, sf_dir, null_keys=True)
     found = ek.full_compare(
@@ -493,6 +503,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         full_compare,
         full_compare_composite,
+        full_compare_bucketed,
         full_compare_dup_info,
         full_compare_null_keys,
         full_compare_keys_only,
