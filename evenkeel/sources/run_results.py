@@ -51,7 +51,7 @@ def _number(text: Column, kind: str) -> Column:
 
 def _documents(spark: SparkSession, reports: str, *columns: Column, **options: str) -> DataFrame:
     """``run``, ``modified_at`` and the columns asked for, one row per file; without the text only metadata is read."""
-    files = spark.read.options(wholetext=True, **options).text(f"{reports.rstrip('/')}/*/{FILE_NAME}")
+    files = spark.read.options(**options).text(f"{reports.rstrip('/')}/*/{FILE_NAME}", wholetext=True)
     return files.select(
         F.element_at(F.split("_metadata.file_path", "/"), -2).alias("run"),
         F.col("_metadata.file_modification_time").alias("modified_at"),

@@ -383,5 +383,5 @@ def test_audit_time_is_the_session_clock(spark, loaded, monkeypatch):
 def test_check_rows_are_counted_by_the_write(spark, tmp_path):
     store = ek.TableStore(spark, str(tmp_path))
     rows = frame(spark, [("1", None, "x"), ("2", None, "y")])
-    assert [ek.store_check_failures(store, "c", rows, "run1") for _ in range(2)] == [2, 2]
-    assert store.read_log("c_failures").count() == 4
+    assert [ek.store_check_failures(store, "c", rows, run) for run in ("run1", "run2", "run1")] == [2, 2, 2]
+    assert store.read_log("c_failures").count() == 4  # a repeated run replaces its rows
