@@ -71,4 +71,55 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 WHERE rank <= 50
 """
 
-EXPECTED: dict[str, str] = {"op12_prefix_trie": PREFIX_TRIE, "op13_lexical_search": LEXICAL_SEARCH}
+_WORDS = "regexp_extract_all(coalesce({0}, ''), '[^\\x20\\x09-\\x0D]+')"
+
+JACCARD_GROUPS = f"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+           {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents
+), shingles AS (
+    SELECT row_id, unnest(CASE WHEN len(w) >= 4
+        THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM docs
+), sizes AS (
+    SELECT row_id, count(*) AS n FROM shingles GROUP BY 1
+), shared AS (
+    SELECT a.row_id AS a, b.row_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.row_id <> b.row_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.row_id = a JOIN sizes y ON y.row_id = b WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+), reach AS (
+    SELECT row_id AS a, row_id AS b FROM docs
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.component_id
+FROM docs d LEFT JOIN sizes s ON s.row_id = d.row_id
+JOIN (SELECT reach.a, min(doc_id) AS component_id FROM reach JOIN docs ON docs.row_id = reach.b GROUP BY 1) r ON r.a = d.row_id
+"""
+
+REPEATED_WINDOWS = f"""
+WITH docs AS (
+    SELECT doc_id, {_WORDS.format('text')} AS w FROM documents
+), places AS (
+    SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS at FROM docs
+), windows AS (
+    SELECT doc_id, at, row_number() OVER (PARTITION BY array_to_string(w[at:at + 19], ' ') ORDER BY doc_id, at) AS nth
+    FROM places WHERE at + 19 <= len(w)
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(at, at + 20)) AS at FROM windows WHERE nth > 1
+), kept AS (
+    SELECT p.doc_id, string_agg(p.w[p.at], ' ' ORDER BY p.at) AS text FROM places p
+    WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = p.doc_id AND g.at = p.at) GROUP BY 1
+), lost AS (
+    SELECT doc_id, count(*) AS n FROM gone GROUP BY 1
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN lost ON lost.doc_id = d.doc_id
+"""
+
+EXPECTED: dict[str, str] = {
+    "op8_jaccard": JACCARD_GROUPS,
+    "op10_substring": REPEATED_WINDOWS,
+    "op12_prefix_trie": PREFIX_TRIE,
+    "op13_lexical_search": LEXICAL_SEARCH,
+}

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import chunks, hash_words, pin, rolling_hash, runs, scrambled, text_bytes, total_bytes
+from evenkeel.llm.common import by_bytes, chunks, hash_words, pin, rolling_hash, runs, scrambled, text_bytes, tidy, total_bytes
 from evenkeel.llm.substring import fragments_for
 
 SHINGLE = 4
@@ -59,15 +59,21 @@ def set_digest(shingles: np.ndarray) -> int:
 def document_sets(docs: DataFrame, width: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_shingles, set_id) and the ``carried`` columns per row; ``set_id`` is null for a document without words."""
 
+    @tidy
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "body", CHUNK_BYTES):
             sizes, ids = [], []
             for text in batch["body"].to_pylist():
                 found = shingle_set(text, width)
                 sizes.append(len(found))
                 ids.append(set_digest(found) if len(found) else None)
             yield pa.record_batch(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), *[batch[c] for c in carried]],
+                [
+                    batch["doc_id"].combine_chunks(),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(ids, pa.int64()),
+                    *[batch[c].combine_chunks() for c in carried],
+                ],
                 ["doc_id", "n_shingles", "set_id", *carried],
             )
 
@@ -76,6 +82,7 @@ def document_sets(docs: DataFrame, width: int = SHINGLE, carried: tuple[str, ...
     return rows.mapInArrow(digest, ", ".join(["doc_id long, n_shingles long, set_id long", *own]))
 
 
+@tidy
 def _packed(batches: Iterable[pd.DataFrame], width: int, fragments: int) -> Iterator[pd.DataFrame]:
     for rows in chunks(batches, "body", CHUNK_BYTES):
         sets = {}
@@ -88,7 +95,7 @@ def _packed(batches: Iterable[pd.DataFrame], width: int, fragments: int) -> Iter
         ids = np.fromiter(sets.keys(), np.int64, len(sets))
         sizes = np.fromiter(map(len, sets.values()), np.int64, len(sets))
         hashes, of_set = np.concatenate(list(sets.values())), np.repeat(np.arange(len(ids)), sizes)
-        frag = (hashes >> np.uint64(32)) % np.uint64(fragments)
+        frag = ((hashes >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)  # the top bits, which are not sent
         order = np.argsort(frag.astype(np.uint16 if fragments <= 1 << 16 else np.uint64), kind="stable")
         frag, hashes, of_set = frag[order].astype(np.int64), hashes[order], of_set[order]
         out = []

@@ -88,14 +88,17 @@ def mix_sources(
     places). Without any word there is no slot. Other columns are not read; ``carried`` ones are handed to ``documents``.
     """
     own = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), *carried
-    )
-    rows = pin(own.withColumn("doc", F.monotonically_increasing_id()).withColumn("place", hashed_place("doc_id")), "mix-documents")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"),
+        F.xxhash64("text").alias("mark"), *carried
+    )
+    # Many rows may share an id, or have none: their texts tell them apart.
+    rows = own.withColumn("doc", F.monotonically_increasing_id()).withColumn("place", hashed_place("doc_id", "mark"))
+    rows = pin(rows, "mix-documents")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     sources = pin(source_targets(totals.drop("_rows"), weights, share, most_passes), "mix-sources")
     longest = totals.agg(F.max("_rows")).first()[0] or 0
     buckets = F.lit(max(1, math.isqrt(longest)))
-    placed = running_total(rows, ["source"], "place", ["doc_id", "size"], "size", buckets, "begin")
+    placed = running_total(rows, ["source"], "place", ["doc_id", "mark", "size"], "size", buckets, "begin")
     documents = placed.join(sources, placed.source.eqNullSafe(sources.source)).select(
         "doc", "doc_id", placed.source.alias("source"), "size", "source_size", "target", "begin", *carried
     )

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import hashed_place, pin, running_total, text_bytes
+from evenkeel.llm.common import hashed_place, pin, running_total, text_bytes, tidy
 from evenkeel.llm.tokens import TOKENIZER, packed_texts, word_ids
 
 CAPACITY = 2048
@@ -143,6 +143,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOK
     """Pieces of every document: doc_id, piece, start, length, ids_crc32, and ``ids`` (packed) if asked for."""
     end = END_ID.to_bytes(4, "little")
 
+    @tidy
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(tokenizer)
         for batch in batches:
@@ -202,7 +203,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
     roots = [(length, math.isqrt(n) or 1) for length, n in counts.items()]
     buckets = F.broadcast(spark.createDataFrame(roots, "_length long, _buckets long"))
     numbered = pieces.join(buckets, pieces.length == F.col("_length")).drop("_length")
-    numbered = numbered.withColumns({"_place": hashed_place("doc_id", "piece"), "_one": F.lit(1)})
+    numbered = numbered.withColumns({"_place": hashed_place("doc_id", "piece", "ids_crc32"), "_one": F.lit(1)})
     ranked = running_total(numbered, ["length"], "_place", ["doc_id", "piece", "ids_crc32"], "_one", F.col("_buckets"), "_rank")
     place = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("first")) & (F.col("_rank") < F.col("past"))
     nth = F.col("_rank") - F.col("first")

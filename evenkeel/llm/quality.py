@@ -17,9 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import hash_words, pin, rolling_hash, runs, spare, text_bytes
+from evenkeel.llm.common import at_most, by_bytes, hash_words, hashed_place, pin, rolling_hash, runs, spare, text_bytes, tidy
 
 MOST_ROWS = 50_000
+CHUNK_BYTES = 2 << 20  # text looked at together
 WINDOW = 8
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
@@ -92,11 +93,13 @@ def text_counts(text: bytes | None) -> tuple[int, ...]:
 def text_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and the ``COUNTS`` of every row of ``docs`` (doc_id, text), and ``crc`` to tell texts of one doc_id apart."""
 
+    @tidy
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "body", CHUNK_BYTES):
             rows = [text_counts(text) for text in batch["body"].to_pylist()]
             columns = [pa.array([row[i] for row in rows], pa.int64()) for i in range(len(COUNTS))]
-            yield pa.record_batch([batch["doc_id"], batch["crc"], *columns], ["doc_id", "crc", *COUNTS])
+            own = [batch[name].combine_chunks() for name in ("doc_id", "crc")]
+            yield pa.record_batch([*own, *columns], ["doc_id", "crc", *COUNTS])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_crc().alias("crc"), text_bytes().alias("body"))
     return rows.mapInArrow(count, "doc_id long, crc long, " + ", ".join(f"{name} long" for name in COUNTS))
@@ -210,7 +213,7 @@ def judge(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> tup
     """Statistics and verdict per row of ``docs`` (doc_id, text), and the rules, learned from ``labels`` (doc_id, quality).
 
     Columns: doc_id, crc, the ``COUNTS``, base_failed, rule (the first that rejects, null: none), kept. Rows are learned
-    from in the order of a hash of doc_id, at most ``most_rows``, those that pass the base checks only. A doc_id that is
+    from at most ``most_rows``, chosen by a hash of doc_id and text, those that pass the base checks only. A doc_id that is
     labelled twice counts as its worse label; null labels and null ids teach nothing. Without labels there are no rules
     and the base checks alone decide. Null and empty texts have no words and fail them. Repeated rows give repeated rows.
     """
@@ -219,6 +222,8 @@ def judge(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> tup
     marks = marks.agg(F.min("quality").alias("_quality"))
     taught = counted.where(~F.col("base_failed")).join(marks, F.col("doc_id") == F.col("_labelled"))
     order = F.xxhash64("doc_id")
+    # Labelled rows are counted first; only a little more than the sample leaves the tasks.
+    taught = at_most(taught, hashed_place("doc_id", "crc"), taught.count(), most_rows)
     sample = (
         taught.select(order.alias("_order"), "doc_id", "_quality", *[F.expr(f"double({sql})").alias(f) for f, sql in FEATURES.items()])
         .orderBy("_order", "doc_id", *FEATURES)

@@ -86,7 +86,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, slac
     ``home`` is the shard at the first virtual node clockwise, ``shard`` where the row ends up: no shard holds more than
     its capacity, which without ``slack`` means that row counts differ by one at most. ``slot`` numbers a shard's rows
     from 0 without gaps. ``size`` is the text's UTF-8 bytes (null: none) plus 1, ``text_crc32`` of a null text that of
-    the empty one. Null ids share one place. Repeated rows have one place and get slots of their own. An empty table
+    the empty one. Rows with one id, and those with none, share a place on the ring and are ordered by a hash of id and
+    text. Repeated rows get slots of their own. An empty table
     gives an empty result.
     """
     spark = docs.sparkSession
@@ -97,6 +98,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, slac
         (F.length(body) + 1).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
         hashed_place("doc_id").alias("place"),
+        # Order within an arc: by id and text, as a third of all rows may share one id, or have none.
+        hashed_place("doc_id", F.crc32(body), F.lit("slot")).alias("within"),
         F.lit(1).alias("one"),
     )
     edges = [-math.inf, *[place for place, _ in nodes], math.inf]
@@ -112,10 +115,13 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, slac
     starts = [0]
     for n in counts[:-1]:
         starts.append(starts[-1] + n)
-    lookup = [(arc, owners[arc], r.first, r.past, r.shard, r.slot) for arc, r in _by_arc(found, starts, counts)]
+    lookup = [
+        (arc, owners[arc], r.first - starts[arc], r.past - starts[arc], r.shard, r.slot) for arc, r in _by_arc(found, starts, counts)
+    ]
     schema = "arc int, home int, first long, past long, shard int, slot0 long"
     bounded = spark.createDataFrame(lookup, schema)  # at most shards * (vnodes + shards) rows
-    ranked = running_total(on_ring, [], "place", ["doc_id", "text_crc32", "size"], "one", F.lit(max(1, math.isqrt(total))), "rank")
+    buckets = F.lit(max(1, math.isqrt(max(counts))))
+    ranked = running_total(on_ring, ["arc"], "within", ["doc_id", "text_crc32", "size"], "one", buckets, "rank")
     joined = ranked.join(F.broadcast(bounded), "arc").where("rank >= first and rank < past")
     return joined.select(
         "doc_id", "size", "text_crc32", "home", "shard", (F.col("slot0") + F.col("rank") - F.col("first")).alias("slot")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.llm.common import chunks, hash_words, pin, rolling_hash, runs, spare, text_bytes, total_bytes
+from evenkeel.llm.common import by_bytes, chunks, hash_words, pin, rolling_hash, runs, spare, text_bytes, tidy, total_bytes
 
 WIDTH = 20
 FRAGMENT_BYTES = 12 << 20  # text whose windows meet in one fragment
@@ -85,6 +85,7 @@ def _by_document(ids: np.ndarray, crcs: np.ndarray, starts: np.ndarray) -> pd.Da
     )
 
 
+@tidy
 def _packed(batches: Iterable[pd.DataFrame], width: int, fragments: int) -> Iterator[pd.DataFrame]:
     for rows in chunks(batches, "body", CHUNK_BYTES):
         c = _Chunk(rows, width)
@@ -113,6 +114,7 @@ def _packed(batches: Iterable[pd.DataFrame], width: int, fragments: int) -> Iter
         yield pd.DataFrame(out, columns=[x.split()[0] for x in _PACKED.split(", ")])
 
 
+@tidy
 def _known_repeats(batches: Iterable[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for rows in chunks(batches, "body", CHUNK_BYTES):
         c = _Chunk(rows, width)
@@ -198,14 +200,15 @@ def strip_repeats(docs: DataFrame, width: int = WIDTH, fragment_bytes: int = FRA
     other. An empty table gives an empty result; other columns are not read.
     """
 
+    @tidy
     def strip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "_body", CHUNK_BYTES):
             done = [_strip(b, p, width) for b, p in zip(batch["_body"].to_pylist(), batch["_parts"].to_pylist())]
             spans = [[{"first": a, "past": b} for a, b in x[1]] for x in done]
             removed = [sum(b - a for a, b in x[1]) for x in done]
             yield pa.record_batch(
                 [
-                    batch["doc_id"],
+                    batch["doc_id"].combine_chunks(),
                     pa.array([x[0] for x in done], pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("past", pa.int64())]))),
@@ -230,12 +233,13 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, fragment_bytes: int = F
     body, parts = spare(docs.columns, "_body", "_parts")
     names = [f"c{n}" for n in range(len(docs.columns))]  # own names may hold dots, which Python tasks do not take
 
+    @tidy
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "body", CHUNK_BYTES):
             done = [_strip(b, p, width) for b, p in zip(batch["body"].to_pylist(), batch["parts"].to_pylist())]
             yield pa.record_batch(
                 [pa.array([x[2] if x[1] else None for x in done], pa.binary())]
-                + [batch[c] for c in names],
+                + [batch[c].combine_chunks() for c in names],
                 ["fresh", *names],
             )
 

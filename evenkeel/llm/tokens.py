@@ -1,8 +1,8 @@
 """Token ids of whole texts with a public tokenizer, word by word.
 
 The tokenizer splits at white space before anything else and drops it, so a text's ids are those of its words in a
-row. Words repeat: the ids of the words seen last are kept as packed 32-bit integers and a text is put together from
-them. A new word of common Latin letters is cut into letters, digits and signs as the tokenizer does and its parts go
+row. Words repeat: the ids of the words seen last are kept as packed 32-bit integers, in two generations so that frequent
+words outlast rare ones, and a text is put together from them. A new word of common Latin letters is cut into letters, digits and signs as the tokenizer does and its parts go
 straight to the tokenizer's model; any other word goes through the whole tokenizer. ``tests/llm`` compare both ways
 with encoding whole texts.
 """
@@ -16,7 +16,7 @@ import regex
 from tokenizers import Tokenizer
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-CACHE_WORDS = 500_000  # words, and parts of words, that a worker keeps
+CACHE_WORDS = 80_000  # words, and parts of words, in a generation; a worker keeps two of each
 
 _END = b"\xff" * 4  # an id that no token has
 
@@ -44,6 +44,8 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = plain
         self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {"\n": _END}
+        self.older: dict[bytes, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
         self.special = () if plain else tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
 
     def _common(self, text: str) -> bool:
@@ -51,10 +53,14 @@ class WordIds(dict):
 
     def learn(self, words: set[bytes]) -> None:
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
         if len(self.parts) >= CACHE_WORDS:
-            self.parts = {"\n": _END}
-        fresh = [word for word in words if word not in self]
+            self.older_parts, self.parts = self.parts, {"\n": _END}
+        missing = words - self.keys()
+        again = missing & self.older.keys()
+        self.update(zip(again, map(self.older.__getitem__, again)))
+        fresh = list(missing - again)
         texts = b"\n".join(fresh).decode("utf-8", "replace").split("\n")
         if not self._common(" ".join(texts).replace(" ", "")):
             odd = [not self._common(text) for text in texts]
@@ -68,7 +74,10 @@ class WordIds(dict):
             return
         # All words in one go: a line feed ends a word, and its id, which no token has, ends the word's ids.
         cut = _SPLIT.findall("\n".join(texts).lower())
-        for part in set(cut) - self.parts.keys():
+        missing_parts = set(cut) - self.parts.keys()
+        known = missing_parts & self.older_parts.keys()
+        self.parts.update(zip(known, map(self.older_parts.__getitem__, known)))
+        for part in missing_parts - known:
             written = part if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
             self.parts[part] = array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
         self.update(zip(fresh, b"".join(map(self.parts.__getitem__, cut)).split(_END)))

@@ -9,6 +9,7 @@ that would take the sum above that is passed over. Every whole text is scored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -18,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import hash_words, scrambled
+from evenkeel.llm.common import by_bytes, hash_words, scrambled, tidy
 
 BITS = 20
 MOST_ROWS = 20_000
 MOST_BYTES = 32 << 20
+CHUNK_BYTES = 2 << 20  # text scored together
 THRESHOLD = 0.7
 EPOCHS = 6
 
@@ -102,20 +104,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, most_rows: int, most_bytes
     sizes = usable.select("order", "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
     sizes = sizes.join(marks, F.col("doc_id") == F.col("_labelled")).groupBy("order", "doc_id", "bytes").agg(F.count(F.lit(1)).alias("n"))
     chosen: list[tuple[int, int, int]] = []
-    rows, left, after = most_rows, most_bytes, F.lit(True)
-    while rows > 0:
-        # Texts longer than what is left never fit, so each round takes its first one at least.
-        asked = rows
-        found = sizes.where(after & (F.col("bytes") <= left)).orderBy("order", "doc_id", "bytes").limit(asked).collect()
-        for row in found:  # at most most_rows rows of four numbers
+    rows, left, total = most_rows, most_bytes, sizes.count()
+    # The hashes are uniform, so a range of them holds about its share of the rows: each round takes the next range,
+    # with a little more than is still wanted, and no task sends more than its part of that.
+    low, past = -(1 << 63), 1 << 63
+    while rows > 0 and low < past and total:
+        high = min(past, low + math.ceil((1 << 64) * (rows + 6 * math.isqrt(rows) + 20) / total))
+        # Texts longer than what is left never fit.
+        within = (F.col("order") >= low) & (F.col("order") <= high - 1) & (F.col("bytes") <= left)
+        for row in sorted(sizes.where(within).collect(), key=lambda r: (r.order, r.doc_id, r.bytes)):
             fit = min(row.n, rows, left // row.bytes if row.bytes else rows)
             if fit:
                 chosen.append((row.doc_id, row.bytes, fit))
                 rows, left = rows - fit, left - fit * row.bytes
-        if len(found) < asked:
-            break
-        at = F.struct(*[F.lit(found[-1][name]).cast("long").alias(name) for name in ("order", "doc_id", "bytes")])
-        after = F.struct(*[F.col(name).cast("long").alias(name) for name in ("order", "doc_id", "bytes")]) > at
+        low = high
     picked = docs.sparkSession.createDataFrame(chosen, "_doc long, _bytes long, _fit long")
     same = (F.col("doc_id") == F.col("_doc")) & (F.coalesce(F.octet_length("text"), F.lit(0)) == F.col("_bytes"))
     taken = usable.join(F.broadcast(picked), same)
@@ -150,15 +152,16 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1) per row of ``docs`` (doc_id, text); a text without words gets the bias alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = shared.value.dense()
-        for batch in batches:
+        for batch in by_bytes(batches, "text", CHUNK_BYTES):
             scores = []
             for text in batch["text"].to_pylist():
                 at = features(text, shared.value.bits)
                 hits = np.unique(at[dense[at] != 0])
                 scores.append(1 / (1 + np.exp(-np.clip(dense[hits].sum() + shared.value.bias, -35, 35))))
-            yield pa.record_batch([batch["doc_id"], pa.array(scores, pa.float64())], ["doc_id", "score"])
+            yield pa.record_batch([batch["doc_id"].combine_chunks(), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(score, "doc_id long, score double")
