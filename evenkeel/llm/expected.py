@@ -101,15 +101,15 @@ REPEATED_WINDOWS = f"""
 WITH docs AS (
     SELECT doc_id, {_WORDS.format('text')} AS w FROM documents
 ), places AS (
-    SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS at FROM docs
+    SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM docs
 ), windows AS (
-    SELECT doc_id, at, row_number() OVER (PARTITION BY array_to_string(w[at:at + 19], ' ') ORDER BY doc_id, at) AS nth
-    FROM places WHERE at + 19 <= len(w)
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY array_to_string(w[pos:pos + 19], ' ') ORDER BY doc_id, pos) AS nth
+    FROM places WHERE pos + 19 <= len(w)
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest(range(at, at + 20)) AS at FROM windows WHERE nth > 1
+    SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM windows WHERE nth > 1
 ), kept AS (
-    SELECT p.doc_id, string_agg(p.w[p.at], ' ' ORDER BY p.at) AS text FROM places p
-    WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = p.doc_id AND g.at = p.at) GROUP BY 1
+    SELECT p.doc_id, string_agg(p.w[p.pos], ' ' ORDER BY p.pos) AS text FROM places p
+    WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = p.doc_id AND g.pos = p.pos) GROUP BY 1
 ), lost AS (
     SELECT doc_id, count(*) AS n FROM gone GROUP BY 1
 )

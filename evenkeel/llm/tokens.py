@@ -16,7 +16,7 @@ import regex
 from tokenizers import Tokenizer
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-CACHE_WORDS = 80_000  # words, and parts of words, in a generation; a worker keeps two of each
+CACHE_WORDS = 250_000  # words, and parts of words, in a generation; a worker keeps two of each
 
 _END = b"\xff" * 4  # an id that no token has
 
