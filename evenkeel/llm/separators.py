@@ -64,6 +64,9 @@ def token_file_blocks(
                     size += len(texts[past] or b"")
                     past += 1
                 packed = packed_texts(texts[at:past], known)
+                found = np.frombuffer(b"".join(packed), "<u4")
+                if len(found) and (int(found.max()) >= 1 << 8 * width or (found == end).any()):
+                    raise ValueError(f"token ids of {tokenizer} do not fit into {width} bytes, or a text holds the end id {end}")
                 rest += b"".join(np.frombuffer(p, "<u4").astype(WIDTHS[width]).tobytes() + mark for p in packed)
                 whole = len(rest) // block_bytes * block_bytes
                 if whole:
