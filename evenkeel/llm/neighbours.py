@@ -10,9 +10,9 @@
    vec_id it holds, meets in one task. Exact repeats of a row are dropped before. The queries that search a bundle are
    dealt into slots of about ``slot_queries``, for the same reason.
 4. A query searches the lists whose centroids are at most ``ratio`` times as far as the nearest one. The ratio is the
-   smallest that reaches ``target`` recall, by the lower bound of what the number of trials can tell, for sample vectors
-   that the centroids were not fitted to against their exact neighbours in the sample. With fewer than ``FEW_LISTS``
-   lists all are searched.
+   smallest that reaches ``target`` recall, by the lower bound of what the number of trials can tell: up to ``TRIALS``
+   of the queries are compared with all rows, and their neighbours are looked for by the very search that follows, with
+   what the graph fails to meet. If no ratio reaches the target, or with fewer than ``FEW_LISTS`` lists, all are searched.
 5. Parts and queries are joined; a part compares a query with the rows of the lists it searches and returns the
    nearest, which are merged.
 """
@@ -41,7 +41,8 @@ MOST_COPIES = 2
 BOUNDARY = 1.1
 TARGET = 0.95
 FEW_LISTS = 16
-TRIALS = 400  # sample vectors held out from fitting, to choose the ratio by
+TRIALS = 400  # queries that are compared with all rows, to choose the ratio by
+TRIAL_ROWS = 8192
 DEGREE = 24
 BREADTH = 64
 ROUNDS = 8
@@ -85,17 +86,23 @@ class Graph:
         rng = np.random.default_rng(seed)
         near = np.argsort(squared(centroids, centroids), axis=1, kind="stable")[:, 1 : degree + 1]
         far = rng.integers(0, k, (k, max(2, degree // 4)))  # long links keep the graph in one piece
-        return Graph(centroids, np.concatenate([near, far], 1).astype(np.int32), rng.choice(k, min(k, 8), replace=False))
+        # A search only goes downhill, so it begins all over the space: each entry is the centroid farthest from the others.
+        entry = [0]
+        away = squared(centroids, centroids[:1])[:, 0]
+        while len(entry) < min(k, max(8, 2 * math.isqrt(k))):
+            entry.append(int(away.argmax()))
+            away = np.minimum(away, squared(centroids, centroids[entry[-1:]])[:, 0])
+        return Graph(centroids, np.concatenate([near, far], 1).astype(np.int32), np.array(entry))
 
     def search(self, vectors: np.ndarray, breadth: int, ratio: float | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The nearest ``breadth`` centroids met per vector, nearest first, and their distances.
 
-        Four unopened centroids are opened per round, for ``ROUNDS`` rounds or, with a ``ratio``, as long as one lies
-        within that many times the nearest distance.
+        Four unopened centroids are opened per round, for ``ROUNDS`` rounds and, with a ``ratio``, for as long after as
+        one lies within that many times the nearest distance.
         """
         k, n = len(self.centroids), len(vectors)
         breadth = min(breadth, k)
-        known = np.full((n, k), np.inf, np.float32)
+        known = np.full((n, k), np.inf)
         opened = np.zeros((n, k), bool)
         row = np.arange(n)[:, None]
 
@@ -104,9 +111,9 @@ class Graph:
             known[row, at] = np.einsum("nbd,nbd->nb", diff, diff)
 
         look(np.broadcast_to(self.entry, (n, len(self.entry))))
-        for _ in range(ROUNDS if ratio is None else k):
+        for number in range(ROUNDS if ratio is None else ROUNDS + k):
             waiting = np.where(opened, np.inf, known)
-            if ratio is not None:
+            if number >= ROUNDS:
                 waiting[waiting > known.min(1, keepdims=True) * ratio**2] = np.inf
             best = np.argpartition(waiting, min(4, k - 1), axis=1)[:, :4]
             if not np.isfinite(waiting[row, best]).any():
@@ -123,6 +130,11 @@ class Graph:
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
+def searched_lists(distance: np.ndarray, ratio: float) -> np.ndarray:
+    """Which of the found centroids (nearest first) a query searches."""
+    return distance <= np.maximum(distance[:, :1], 1e-12) * ratio
+
+
 def copies(distance: np.ndarray, boundary: float, most: int) -> np.ndarray:
     """Which of the found centroids (nearest first) a vector is written to: the nearest, and up to ``most`` in all that
     are within ``boundary`` times its distance."""
@@ -132,32 +144,72 @@ def copies(distance: np.ndarray, boundary: float, most: int) -> np.ndarray:
     return chosen
 
 
-def calibrated_ratio(
-    graph: Graph, sample: np.ndarray, asked: np.ndarray, boundary: float, most: int, target: float, nearest: int
-) -> float:
-    """The smallest distance ratio that finds ``target`` of the exact neighbours of the rows ``asked`` of the sample.
+def exact_neighbours(vectors: DataFrame, queries: pd.DataFrame, nearest: int) -> pd.DataFrame:
+    """The nearest rows (query_id, vec_id, score, vector) of a few queries (query_id, query), by comparison with all rows.
+
+    The tasks send ``nearest`` rows a query, and so does Spark's merge.
+    """
+    shared = vectors.sparkSession.sparkContext.broadcast(queries.assign(lists=[[0]] * len(queries)))
+    schema = "query_id long, vec_id long, score double, vector array<double>"
+
+    def best(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["query_id", "score", "vec_id"], kind="stable").drop_duplicates(["query_id", "vec_id"])
+        return rows.groupby("query_id").head(nearest)
+
+    def closest(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "vector": []})
+        for batch in batches:
+            for at in range(0, len(batch), TRIAL_ROWS):
+                held = batch.iloc[at : at + TRIAL_ROWS].assign(list=0).sort_values("vec_id", ignore_index=True)
+                near = _nearest_rows(held, shared.value, nearest)
+                near = near.assign(vector=held["vector"].to_numpy()[near["row"].to_numpy(np.int64)]).drop(columns="row")
+                found = best(pd.concat([found, near])) if len(found) else near
+        if len(found):
+            yield found
+
+    single = vectors.select("vec_id", "vector").mapInPandas(closest, schema)
+    first = F.min_by(F.struct("score", "vector"), "score").alias("first")
+    single = single.groupBy("query_id", "vec_id").agg(first).select("query_id", "vec_id", "first.*")
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return single.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest).drop("rank").toPandas()
+
+
+def calibrated_ratio(graph: Graph, queries: pd.DataFrame, exact: pd.DataFrame, boundary: float, most: int, target: float) -> float:
+    """The smallest distance ratio by which a search finds ``target`` of the exact neighbours of the trial queries.
 
     The aim is raised by two standard errors of the recall over the trials, so that it holds for other queries too.
     """
-    if len(graph.centroids) < FEW_LISTS:
+    if not len(exact):
         return math.inf
-    found, distance = graph.nearest(sample)
-    lists = copies(distance, boundary, most)
     k = len(graph.centroids)
-    member = np.zeros((len(sample), k), bool)
-    member[np.arange(len(sample))[:, None].repeat(found.shape[1], 1)[lists], found[lists]] = True
-    exact = squared(sample[asked], sample)
-    exact[np.arange(len(asked)), asked] = np.inf
-    best = np.argpartition(exact, min(nearest, exact.shape[1] - 1), axis=1)[:, :nearest]
-    to_list = np.sqrt(squared(sample[asked], graph.centroids))
+    asked = np.array(queries["query"].tolist(), float)
+    of = queries.reset_index().set_index("query_id")["index"].loc[exact["query_id"]].to_numpy()
+    found, distance = graph.nearest(np.array(exact["vector"].tolist(), float))
+    held = copies(distance, boundary, most)[:, :most]
+    lists = found[:, :most]
+    number = np.bincount(of, minlength=len(asked))
+    with_rows = number > 0
+
+    def reached(ratio: float) -> bool:
+        near, away = graph.nearest(asked, k, ratio)
+        at, which = np.nonzero(searched_lists(away, ratio))
+        searched = np.zeros((len(asked), k), bool)
+        searched[at, near[at, which]] = True
+        hit = (searched[of[:, None], lists] & held).any(1)
+        recall = np.bincount(of, hit, len(asked))[with_rows] / number[with_rows]
+        return recall.mean() - 2 * recall.std() / math.sqrt(len(recall)) >= target
+
+    # The ratio at which each true neighbour is met through the nearest of its lists, if the graph leads there.
+    to_list = np.sqrt(squared(asked, graph.centroids))
     to_list /= np.maximum(to_list.min(1, keepdims=True), 1e-12)
-    # The ratio at which each true neighbour is reached through the nearest of its lists.
-    reached = np.where(member[best], to_list[:, None, :], np.inf).min(2)
-    for ratio in np.quantile(reached, np.linspace(target, 1, 101), method="higher"):
-        per_query = (reached <= ratio).mean(1)
-        if per_query.mean() - 2 * per_query.std() / math.sqrt(len(asked)) >= target:
-            return float(ratio) + 1e-9
-    return math.inf
+    needed = np.where(held, to_list[of[:, None], lists], np.inf).min(1)
+    steps = np.unique(np.quantile(needed, np.linspace(target, 1, 101), method="higher")) + 1e-9
+    steps = np.concatenate([steps, steps[-1] * np.array([1.25, 1.5, 2])])
+    low, high = 0, len(steps)
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if reached(steps[middle]) else (middle + 1, high)
+    return float(steps[low]) if low < len(steps) else math.inf
 
 
 def usable_vectors(embeddings: DataFrame) -> DataFrame:
@@ -173,29 +225,36 @@ def _matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(lists), -1)
 
 
-def fit_graph(vectors: DataFrame, rows: int, most_sample: int, list_size: int) -> tuple[Graph, np.ndarray, np.ndarray]:
-    """The graph, the different vectors of the sample, and which of them were held out from fitting."""
+def fit_graph(vectors: DataFrame, rows: int, most_sample: int, list_size: int) -> Graph:
+    """The graph of centroids of the different vectors of a sample."""
     place = hashed_place("vec_id", "vector")
     drawn = at_most(vectors, place, rows, most_sample).orderBy(place, "vec_id").limit(min(rows, most_sample)).toPandas()
-    points, first = np.unique(np.array(drawn["vector"].tolist(), float), axis=0, return_index=True)  # copies look near
-    order = np.random.default_rng(7).permutation(len(points))
-    points, ids = points[order], drawn["vec_id"].to_numpy()[first][order]
-    # One trial per vec_id: an id with most of the rows must not speak for all queries.
-    _, trials = np.unique(ids, return_index=True)
-    held = np.sort(trials)[: min(TRIALS, len(trials) // 5)]
+    points = np.unique(np.array(drawn["vector"].tolist(), float), axis=0)  # copies look near
+    points = points[np.random.default_rng(7).permutation(len(points))]
     k = int(min(max(1, rows // list_size), max(1, len(points) // 8)))
-    return Graph.build(balanced_centroids(np.delete(points, held, axis=0), k)), points, held
+    return Graph.build(balanced_centroids(points, k))
 
 
-def _scan(held: pd.DataFrame, wanted: pd.DataFrame, nearest: int) -> pd.DataFrame:
-    """The nearest rows of a part for each query that searches one of its lists.
+def trial_queries(asked: DataFrame) -> pd.DataFrame:
+    """query_id and query of up to ``TRIALS`` queries, one per vec_id: an id with most of the rows must not speak for all.
+
+    The hash that chooses them is another one than the sample's, so that they are in it as often as the others.
+    """
+    first = F.min_by("vector", F.xxhash64("vector")).alias("query")
+    single = asked.groupBy(F.col("vec_id").alias("query_id")).agg(first)
+    place = hashed_place(F.lit(TRIALS), "query_id")
+    return at_most(single, place, single.count(), TRIALS).orderBy(place, "query_id").limit(TRIALS).toPandas()
+
+
+def _nearest_rows(held: pd.DataFrame, wanted: pd.DataFrame, nearest: int) -> pd.DataFrame:
+    """The nearest rows of a part, ordered by vec_id, for each query that searches one of its lists.
 
     Distances by matrix product choose the candidates, with a margin for rounding; they are then measured exactly. The
     nearest row of each vec_id decides how far the candidates reach, so that ``nearest`` different ones are among them.
     """
-    out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
+    none = np.zeros(0, np.int64)
+    out = [pd.DataFrame({"query_id": none, "vec_id": none, "score": np.zeros(0), "row": none})]
     if len(held) and len(wanted):
-        held = held.sort_values("vec_id")
         ids, lists = held["vec_id"].to_numpy(), held["list"].to_numpy()
         head, _ = runs(ids)
         most = min(nearest, len(head)) - 1
@@ -215,10 +274,15 @@ def _scan(held: pd.DataFrame, wanted: pd.DataFrame, nearest: int) -> pd.DataFram
                 best = near[order]
                 _, first = np.unique(ids[best], return_index=True)
                 kept = np.sort(first)[:nearest]
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best[kept]], "score": score[order[kept]]}))
+                best = best[kept]
+                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[best], "score": score[order[kept]], "row": best}))
     return pd.concat(out)
 
 
+def _scan(held: pd.DataFrame, wanted: pd.DataFrame, nearest: int) -> pd.DataFrame:
+    return _nearest_rows(held.sort_values("vec_id"), wanted, nearest).drop(columns="row")
+
+
 def nearest_neighbours(
     embeddings: DataFrame,
     queries: DataFrame | None = None,
@@ -251,8 +315,11 @@ def nearest_neighbours(
     one_length = F.size("vector") == lengths["length"]
     vectors, rows = vectors.where(one_length), lengths["count"]
     asked = vectors.where("vec_id % 100 = 0") if queries is None else usable_vectors(queries).distinct().where(one_length)
-    graph, points, held = fit_graph(vectors, rows, most_sample, list_size)
-    ratio = calibrated_ratio(graph, points, held, boundary, MOST_COPIES, target, nearest)
+    graph = fit_graph(vectors, rows, most_sample, list_size)
+    ratio = math.inf
+    if len(graph.centroids) >= FEW_LISTS:
+        trials = trial_queries(asked)
+        ratio = calibrated_ratio(graph, trials, exact_neighbours(vectors, trials, nearest), boundary, MOST_COPIES, target)
     shared = spark.sparkContext.broadcast(graph)
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +355,7 @@ def nearest_neighbours(
                 found, few = None, np.ones(len(batch), bool)
             else:
                 found, distance = shared.value.nearest(_matrix(batch["vector"]), len(sizes), ratio)
-                wanted = distance <= np.maximum(distance[:, :1], 1e-12) * ratio
+                wanted = searched_lists(distance, ratio)
                 few = np.where(wanted, different[found], 0).max(1) <= nearest  # one may be the query's own
             rows: list[tuple[int, int, int, list[int]]] = []
             for at in range(len(batch)):
