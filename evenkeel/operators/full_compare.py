@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.columns import any_null, column_type, key_list, non_key_columns, quoted, text_literal
 from evenkeel.functions.hashing import exact_type, key_digest, key_hash, plain_columns, row_digest, row_hash
-from evenkeel.plans.keyed import DEFAULT_LIMITS, ROW_OVERHEAD_BYTES, Limits, fetch, max_where, nothing, pin, sum_where
+from evenkeel.plans.keyed import DEFAULT_LIMITS, ROW_OVERHEAD_BYTES, Limits, buckets_as_sorted, fetch, max_where, nothing, pin, sum_where
 
 # Anomaly names and their descriptions.
 MISSING_IN_TARGET = "MISSING_IN_TARGET"
@@ -136,7 +136,8 @@ def compare_full(
     found = None
     if co_located and _by_value(source, keys, plain):
         profile = _bucketed_profile(source, target, keys, columns, plain)
-        found = pin(profile, anomalous, measures | {"null_keys": "count_if(null_key)"}, "full-compare")
+        with buckets_as_sorted(source.sparkSession):
+            found = pin(profile, anomalous, measures | {"null_keys": "count_if(null_key)"}, "full-compare")
         if found[1]["null_keys"]:  # null keys match each other, which takes the general way
             found = None
     picked, stats = found or pin(_profile(source, target, keys, columns, plain), anomalous, measures, "full-compare")

@@ -6,7 +6,8 @@ shuffle files of the first pass. The second pass fetches full rows for just thos
 
 * set within ``Limits.broadcast_bytes``: broadcast it, so the big table is filtered where it is read and never
   shuffled;
-* larger: shuffle both sides, with the rows of hot keys spread over several slices.
+* larger: shuffle both sides, with the rows of hot keys spread over several slices. Before that the rows are tested
+  where they are read against a Bloom filter of the key set, so that of a table with few anomalies little is shuffled.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -48,6 +51,14 @@ DEFAULT_LIMITS = Limits()
 # Estimated bytes of one key set row in a broadcast hash table, without the key texts.
 ROW_OVERHEAD_BYTES = 150
 
+# Keys per 64-bit word of the Bloom filter, its most words (a broadcast table of about 50 bytes a word), and bits a key.
+_WORD_KEYS = 6
+_MOST_WORDS = 1 << 21
+_KEY_BITS = 3
+
+_WORD = "_ek_word"
+_BITS = "_ek_bits"
+_SET = "_ek_set"
 _WEIGHT = "_ek_weight"
 _SLICE = "_ek_slice"
 _HOT = "_ek_hot"
@@ -71,6 +82,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/evenkeel/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def buckets_as_sorted(spark: SparkSession) -> Iterator[None]:
+    """Jobs in here take buckets of one file as sorted, so that they are aggregated and joined row by row, not in memory."""
+    names = ["spark.sql.legacy.bucketedTableScan.outputOrdering", "spark.sql.execution.replaceHashWithSortAgg"]
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def pin(df: DataFrame, keep: str, stats: dict[str, str], label: str) -> tuple[DataFrame, dict[str, int]]:
     """Write the rows of ``df`` where ``keep`` holds, and measure all of ``df``, in one job."""
     spark = df.sparkSession
@@ -97,6 +122,21 @@ def max_where(condition: str, value: str) -> str:
     return f"max(case when {condition} then {value} end)"
 
 
+def maybe_among(rows: DataFrame, picked: DataFrame, on: list[str], keys: int) -> DataFrame:
+    """The rows whose keys are picked, and a few others: those that pass a Bloom filter of ``keys`` picked keys.
+
+    A key sets a few bits of one 64-bit word; the words are broadcast. With more keys than the words are made for, more
+    other rows pass.
+    """
+    words = max(1, min(_MOST_WORDS, keys // _WORD_KEYS))
+    digest = f"xxhash64(7L, {', '.join(quoted(k) for k in on)})"
+    word = f"cast(pmod(shiftright({digest}, 20), {words}) as int) as {_WORD}"
+    bits = " | ".join(f"shiftleft(1L, cast(shiftright({digest}, {6 * i}) & 63 as int))" for i in range(_KEY_BITS))
+    filled = picked.selectExpr(word, f"{bits} as {_BITS}").groupBy(_WORD).agg(F.bit_or(_BITS).alias(_SET))
+    marked = rows.selectExpr("*", word, f"{bits} as {_BITS}")
+    return marked.join(F.broadcast(filled), _WORD).where(f"{_SET} & {_BITS} = {_BITS}").drop(_WORD, _BITS, _SET)
+
+
 def _slice_count(weight: str, per_slice: int) -> str:
     return f"cast(greatest(ceil({weight} / {per_slice}), 1) as int)"
 
@@ -162,6 +202,8 @@ def fetch(
     per_slice = limits.rows_per_slice(total_rows)
     picked = picked.where(f"{weight} > 0")
     hot = picked.where(f"{weight} > {per_slice}") if heaviest > per_slice else None
+    if picked_bytes > limits.broadcast_bytes and picked_bytes // ROW_OVERHEAD_BYTES < total_rows // 2:
+        rows = maybe_among(rows, picked, on, picked_bytes // ROW_OVERHEAD_BYTES)
     return keyed_join(rows, picked, on, "inner", picked_bytes, hot, weight, per_slice, limits)
 
 
