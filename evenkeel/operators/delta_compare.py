@@ -34,6 +34,7 @@ PARTIAL_MATCH_TEXT = ("DUPLICATE KEY — partial match (", " of ", " view rows m
 # Pair counts can exceed a bigint: one key may hold billions of equal rows on both sides. Contents with at most
 # _SMALL rows per side are summed as bigints, the rare others as decimals.
 _SMALL = 1 << 20
+_TASK_ROWS = 500_000
 _WIDE = "decimal(38,0)"
 
 
@@ -108,9 +109,11 @@ class _Changes:
     limits: Limits
     total_rows: dict[str, int]
 
-    def fetch(self, name: str, rows: DataFrame, picked: DataFrame, picked_bytes: int, heaviest: int) -> DataFrame:
+    def fetch(
+        self, name: str, rows: DataFrame, picked: DataFrame, picked_bytes: int, heaviest: int, task_rows: int | None = None
+    ) -> DataFrame:
         weight = "_ek_n_v" if name == "view" else "_ek_n_b"
-        return fetch(rows, picked, self.keys, weight, picked_bytes, heaviest, self.total_rows[name], self.limits)
+        return fetch(rows, picked, self.keys, weight, picked_bytes, heaviest, self.total_rows[name], self.limits, task_rows)
 
     def side(self, name: str, prefix: str, columns: list[str]) -> DataFrame:
         df = self.view if name == "view" else self.before
@@ -128,6 +131,7 @@ class _Changes:
                 picked,
                 stats["repeated_bytes"],
                 stats[f"heaviest_{name}"],
+                _TASK_ROWS,
             ).drop("_ek_n_v", "_ek_n_b")
             for name, df, in_view in sides
         ]

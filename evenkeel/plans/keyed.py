@@ -193,6 +193,7 @@ def fetch(
     heaviest: int,
     total_rows: int,
     limits: Limits,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Full rows of the picked keys. ``weight`` is the number of rows a key has in ``rows``.
 
@@ -204,6 +205,10 @@ def fetch(
     hot = picked.where(f"{weight} > {per_slice}") if heaviest > per_slice else None
     if picked_bytes > limits.broadcast_bytes and picked_bytes // ROW_OVERHEAD_BYTES < total_rows // 2:
         rows = maybe_among(rows, picked, on, picked_bytes // ROW_OVERHEAD_BYTES)
+    if task_rows and hot is None and picked_bytes > limits.broadcast_bytes:
+        # For aggregates above the join, whose memory the bytes shuffled do not tell: tasks are not merged by those.
+        usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(max(usual, math.ceil(total_rows / task_rows)), *[F.col(quoted(k)) for k in on])
     return keyed_join(rows, picked, on, "inner", picked_bytes, hot, weight, per_slice, limits)
 
 
