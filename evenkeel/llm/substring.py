@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.llm.common import by_bytes, chunks, hash_words, pin, rolling_hash, runs, spare, text_bytes, tidy, total_bytes
+from evenkeel.llm.common import by_bytes, hash_words, pin, rolling_hash, runs, spare, text_bytes, tidy, total_bytes
 
 WIDTH = 20
 FRAGMENT_BYTES = 12 << 20  # text whose windows meet in one fragment
@@ -37,6 +37,11 @@ _PACKED = "frag long, ids binary, crcs binary, counts binary, hashes binary, low
 _REPEATS = "id long, crc long, starts binary"
 
 
+def _arrow(schema: str) -> pa.Schema:
+    fields = (field.split() for field in schema.split(", "))
+    return pa.schema([(name, {"long": pa.int64(), "binary": pa.binary()}[kind]) for name, kind in fields])
+
+
 def _crc(text: bytes | None) -> int:
     return zlib.crc32(text or b"")
 
@@ -86,9 +91,11 @@ def _by_document(ids: np.ndarray, crcs: np.ndarray, starts: np.ndarray) -> pd.Da
 
 
 @tidy
-def _packed(batches: Iterable[pd.DataFrame], width: int, fragments: int) -> Iterator[pd.DataFrame]:
-    for rows in chunks(batches, "body", CHUNK_BYTES):
-        c = _Chunk(rows, width)
+def _packed(batches: Iterable[pa.RecordBatch], width: int, fragments: int) -> Iterator[pa.RecordBatch]:
+    # A batch is cut before it is made into Python objects: it may hold many times a chunk's text.
+    schema = _arrow(_PACKED)
+    for rows in by_bytes(batches, "body", CHUNK_BYTES):
+        c = _Chunk(rows.to_pandas(), width)
         entry = np.flatnonzero(c.lead)
         frag = (c.second[entry] >> np.uint64(32)) % np.uint64(fragments)
         kind = np.uint16 if fragments <= 1 << 16 else np.uint64
@@ -111,15 +118,16 @@ def _packed(batches: Iterable[pd.DataFrame], width: int, fragments: int) -> Iter
                     (starts >> 16).astype(np.uint16).tobytes(),
                 )
             )
-        yield pd.DataFrame(out, columns=[x.split()[0] for x in _PACKED.split(", ")])
+        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in out], schema)
 
 
 @tidy
-def _known_repeats(batches: Iterable[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
-    for rows in chunks(batches, "body", CHUNK_BYTES):
-        c = _Chunk(rows, width)
+def _known_repeats(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for rows in by_bytes(batches, "body", CHUNK_BYTES):
+        c = _Chunk(rows.to_pandas(), width)
         own = np.flatnonzero(c.repeat)
-        yield _by_document(c.ids[c.doc[own]], c.crcs[c.doc[own]], c.start[own])
+        found = _by_document(c.ids[c.doc[own]], c.crcs[c.doc[own]], c.start[own])
+        yield pa.RecordBatch.from_pandas(found, _arrow(_REPEATS), preserve_index=False)
 
 
 def _joined(parts: Iterable[bytes], kind: type) -> np.ndarray:
@@ -127,19 +135,25 @@ def _joined(parts: Iterable[bytes], kind: type) -> np.ndarray:
 
 
 def _fragment_repeats(group: pd.DataFrame) -> pd.DataFrame:
-    counts = _joined(group["counts"], np.uint32)
-    ids = np.concatenate([np.cumsum(np.frombuffer(x, np.int64)) for x in group["ids"]])
-    ids = np.repeat(ids, counts)
-    crcs = np.repeat(_joined(group["crcs"], np.uint32).astype(np.int64), counts)
     hashes = _joined(group["hashes"], np.uint64)
-    starts = _joined(group["low"], np.uint16).astype(np.int64) | (_joined(group["high"], np.uint16).astype(np.int64) << 16)
     order = np.argsort(hashes, kind="stable")
-    first, size = runs(hashes[order])
-    order, size_of = order[np.repeat(size, size) > 1], size[size > 1]
-    inner = np.lexsort((starts[order], ids[order], hashes[order]))
-    order = order[inner]
-    head = np.repeat(order[np.cumsum(size_of) - size_of], size_of)
-    later = order[(ids[order] != ids[head]) | (starts[order] != starts[head])]
+    hashes = hashes[order]
+    shared = np.zeros(len(hashes), bool)
+    np.equal(hashes[1:], hashes[:-1], out=shared[1:])
+    shared[:-1] |= shared[1:]
+    # Most windows occur once; places are looked up for the others only.
+    order, hashes = order[shared], hashes[shared]
+    counts = _joined(group["counts"], np.uint32)
+    doc = np.repeat(np.arange(len(counts), dtype=np.uint32), counts)[order]
+    ids = np.concatenate([np.cumsum(np.frombuffer(x, np.int64)) for x in group["ids"]])[doc]
+    crcs = _joined(group["crcs"], np.uint32)[doc].astype(np.int64)
+    starts = _joined(group["low"], np.uint16)[order].astype(np.int64)
+    starts |= _joined(group["high"], np.uint16)[order].astype(np.int64) << 16
+    inner = np.lexsort((starts, ids, hashes))
+    ids, crcs, starts = ids[inner], crcs[inner], starts[inner]
+    first, size = runs(hashes)
+    head = np.repeat(first, size)
+    later = (ids != ids[head]) | (starts != starts[head])
     return _by_document(ids[later], crcs[later], starts[later])
 
 
@@ -151,9 +165,9 @@ def repeated_starts(docs: DataFrame, width: int = WIDTH, fragment_bytes: int = F
     """(id, crc, parts): starts of the windows of a document that also start earlier, as packed 32-bit integers."""
     fragments = fragments_for(total_bytes(docs), fragment_bytes)
     body = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("id"), text_bytes().alias("body"))
-    packed = body.mapInPandas(lambda batches: _packed(batches, width, fragments), _PACKED)
+    packed = body.mapInArrow(lambda batches: _packed(batches, width, fragments), _PACKED)
     across = packed.groupBy("frag").applyInPandas(_fragment_repeats, _REPEATS)
-    inside = body.mapInPandas(lambda batches: _known_repeats(batches, width), _REPEATS)
+    inside = body.mapInArrow(lambda batches: _known_repeats(batches, width), _REPEATS)
     return across.unionByName(inside).groupBy("id", "crc").agg(F.collect_list("starts").alias("parts"))
 
 
